@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import trips
+from checks.rounding import DIGITS
 from tripmarts.operators import marts
 from tripmarts.operators.silver import (
     add_local_time,
@@ -118,9 +119,13 @@ def silver_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Inputs and summaries that name places, and so need the zone joins.
+PLACES = {"trips_by_borough", EDGES, "distance_distribution_by_borough"}
+
+
 def _mart(name: str, kind: str = "yellow") -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return getattr(marts, name)(trips.silver(spark, sf_dir, kind))
+        return getattr(marts, name)(trips.silver(spark, sf_dir, kind, named=name in PLACES))
 
     return query
 
@@ -130,20 +135,29 @@ def _grain(build: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 def _summary(name: str, kind: str = "yellow") -> Query:
-    """A summary straight from its input; ranked and windowed ones arrive in order anyway."""
+    """A summary in one plan from the raw trips on, through its mart if it is built from one."""
     summary = SUMMARIES[name]
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        silver = trips.silver(spark, sf_dir, kind)
-        if summary.source in (SILVER, EDGES, PROFILE):
-            source = silver
-        else:
-            source = getattr(marts, summary.source)(silver)
+        named = summary.source in PLACES or name in PLACES
+        source = trips.silver(spark, sf_dir, kind, named=named)
+        if summary.source not in (SILVER, EDGES, PROFILE):
+            source = getattr(marts, summary.source)(source)
         return summary.build(source, **summary.params, **SUMMARY_PARAMS.get(name, {}))
 
     return query
 
 
+def _steady(query: Query, columns: Mapping[str, int]) -> Query:
+    """Round away the last bits of doubles, which depend on the order of additions."""
+
+    def rounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows = query(spark, sf_dir)
+        return rows.withColumns({name: F.round(name, to) for name, to in columns.items()})
+
+    return rounded
+
+
 def queries() -> dict[str, Query]:
     found: dict[str, Query] = {
         "bronze_projection": bronze_projection,
@@ -177,4 +191,4 @@ def queries() -> dict[str, Query]:
         "fhvhv_monthly_volume_trend": _summary("monthly_volume_trend", "fhvhv"),
         "fhvhv_fare_anomaly_detection": _summary("fare_anomaly_detection", "fhvhv"),
     }
-    return found
+    return {name: _steady(query, DIGITS.get(name, {})) for name, query in found.items()}

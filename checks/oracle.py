@@ -3,6 +3,8 @@ code: real joins where the library avoids them, `quantile_disc` where it counts
 
 from __future__ import annotations
 
+from checks.rounding import DIGITS
+
 _TRIPS = """
 WITH priced AS (
     SELECT *, CAST(floor(l_extendedprice * l_quantity / 10000) AS DOUBLE) - 2 AS fare
@@ -409,5 +411,10 @@ _BODIES = {
 _BODIES["green_top_revenue_zones"] = _BODIES["top_revenue_zones"]
 
 
+def _steady(name: str, sql: str) -> str:
+    rounded = [f"round({c}, {to}) AS {c}" for c, to in DIGITS.get(name, {}).items()]
+    return f"SELECT * REPLACE ({', '.join(rounded)}) FROM ({sql})" if rounded else sql
+
+
 def queries() -> dict[str, str]:
-    return {name: _TRIPS + body for name, body in _BODIES.items()}
+    return {name: _steady(name, _TRIPS + body) for name, body in _BODIES.items()}

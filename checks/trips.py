@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tripmarts.operators.bronze import to_bronze
-from tripmarts.operators.silver import to_silver
+from tripmarts.operators.silver import refine, to_silver
 from tripmarts.session import pin_session_zone
 from tripmarts.settings import Refinement
 from tripmarts.sources.zones import Zones
@@ -19,7 +19,7 @@ AIRPORTS = (1, 13, 18)
 REFINEMENT = Refinement(airport_ids=AIRPORTS)
 
 _SHARED = """
-    o_orderdate,
+    unix_seconds(CAST(o_orderdate AS TIMESTAMP)) AS midnight,
     l_orderkey * 7919 % 86400 AS pickup_second,
     CAST((l_quantity - 1) * 900 AS BIGINT) AS seconds,
     CAST(l_suppkey % 7 AS DOUBLE) AS passengers,
@@ -33,8 +33,8 @@ _SHARED = """
     l_returnflag AS flag
 """
 
-_START = "timestampadd(SECOND, pickup_second, o_orderdate)"
-_END = "timestampadd(SECOND, pickup_second + seconds, o_orderdate)"
+_START = "timestamp_seconds(midnight + pickup_second)"
+_END = "timestamp_seconds(midnight + pickup_second + seconds)"
 
 _METERED = {
     "VendorID": "payment % 2 + 1",
@@ -86,8 +86,20 @@ RAW_COLUMNS = {
 }
 
 
+# The columns of the given tables. Stating them saves a footer read per query.
+TABLES = {
+    "lineitem": """l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,
+        l_quantity double, l_extendedprice double, l_discount double, l_tax double,
+        l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz""",
+    "orders": """o_orderkey bigint, o_custkey bigint, o_orderstatus string,
+        o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string""",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def raw_trips(spark: SparkSession, sf_dir: str, kind: str = "yellow") -> DataFrame:
@@ -110,6 +122,11 @@ def bronze(spark: SparkSession, sf_dir: str, kind: str = "yellow") -> DataFrame:
     return to_bronze(raw_trips(spark, sf_dir, kind), kind)
 
 
-def silver(spark: SparkSession, sf_dir: str, kind: str = "yellow") -> DataFrame:
-    zones = Zones(zone_rows(spark, sf_dir))
-    return to_silver(bronze(spark, sf_dir, kind), zones, kind, REFINEMENT)
+def silver(
+    spark: SparkSession, sf_dir: str, kind: str = "yellow", named: bool = True
+) -> DataFrame:
+    """Silver trips; `named=False` leaves out the zone joins for queries without places."""
+    rows = bronze(spark, sf_dir, kind)
+    if not named:
+        return refine(rows, kind, REFINEMENT)
+    return to_silver(rows, Zones(zone_rows(spark, sf_dir)), kind, REFINEMENT)

@@ -87,9 +87,16 @@ def add_trip_facts(trips: DataFrame, airport_ids: tuple[int, ...]) -> DataFrame:
     )
 
 
-def to_silver(
-    bronze: DataFrame, zones: Zones, kind: str, refinement: Refinement = Refinement()
+def refine(
+    bronze: DataFrame, kind: str, refinement: Refinement = Refinement()
 ) -> DataFrame:
+    """Silver without zone names: all that summaries by time, fare or duration need."""
     clean = drop_outliers(drop_incomplete(bronze, kind), kind, refinement.quality)
     timed = add_local_time(clean, refinement.local_zone)
-    return add_trip_facts(add_zones(timed, zones), refinement.airport_ids)
+    return add_trip_facts(timed, refinement.airport_ids)
+
+
+def to_silver(
+    bronze: DataFrame, zones: Zones, kind: str, refinement: Refinement = Refinement()
+) -> DataFrame:
+    return add_zones(refine(bronze, kind, refinement), zones)
