@@ -26,8 +26,14 @@ log = logging.getLogger(__name__)
 
 @contextmanager
 def held(rows: DataFrame) -> Iterator[DataFrame]:
-    """Keep a small pre-aggregate while several results are built from it. A block lost with
-    its executor is computed again from the trips."""
+    """Keep a small pre-aggregate while several results are built from it.
+
+    With a checkpoint folder it is stored there, out of reach of a lost executor. Otherwise
+    it is cached, and a block lost with its executor is computed again from the trips.
+    """
+    if rows.sparkSession.sparkContext.getCheckpointDir():
+        yield rows.checkpoint()
+        return
     rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         yield rows
@@ -104,8 +110,9 @@ def analyse(
     pin_session_zone(lake.spark)
     chosen = [s for s in SUMMARIES.values() if domain in (None, s.domain)]
     wanted = [s for s in chosen if s.supports(kind)]
-    for skipped in set(chosen) - set(wanted):
-        log.info("%s needs columns that %s trips lack: %s", skipped.name, kind, skipped.needs)
+    for summary in chosen:
+        if summary not in wanted:
+            log.info("left out, %s trips lack its columns: %s", kind, summary.name)
 
     sources = {mart: lambda mart=mart: lake.read_mart(mart, kind) for mart in MARTS}
     sources[SILVER] = lambda: lake.read_silver(kind)

@@ -7,9 +7,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Fixed value: columns of the lookup file.
-LOOKUP_SCHEMA = "LocationID int, Borough string, Zone string, service_zone string"
-
 # A zone row is well under 200 bytes, so this many are a few megabytes on each executor.
 BROADCAST_ROWS = 20_000
 
@@ -29,9 +26,8 @@ class Zones:
 
 def load_zone_lookup(spark: SparkSession, path: str) -> Zones:
     """Read the lookup file, refusing ids that occur twice: they would multiply trips."""
-    header = spark.read.option("header", True).option("enforceSchema", False)
-    rows = header.schema(LOOKUP_SCHEMA).csv(path).select(
-        F.col("LocationID").alias("location_id"),
+    rows = spark.read.option("header", True).csv(path).select(
+        F.col("LocationID").try_cast("int").alias("location_id"),
         F.col("Borough").alias("borough"),
         F.col("Zone").alias("zone_name"),
         F.col("service_zone"),
