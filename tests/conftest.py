@@ -35,6 +35,9 @@ def spark(tmp_path_factory) -> SparkSession:
             "spark.ui.enabled": "false",
             "spark.driver.memory": "4g",
             "spark.sql.maxMetadataStringLength": "5000",
+            # Tables of a few rows: compiling each stage would take longer than running it.
+            "spark.sql.codegen.wholeStage": "false",
+            "spark.sql.codegen.factoryMode": "NO_CODEGEN",
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
         },
     )

@@ -30,6 +30,8 @@ def get_session(app_name: str, master: str | None = None, **conf: str) -> SparkS
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.parquet.mergeSchema": "false",
         "spark.sql.parquet.filterPushdown": "true",
+        # Noting the call site of every column expression costs several round trips to the JVM.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     if "SHUFFLE_PARTITIONS" in os.environ:
         settings["spark.sql.shuffle.partitions"] = os.environ["SHUFFLE_PARTITIONS"]
