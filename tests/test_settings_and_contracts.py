@@ -58,7 +58,7 @@ def test_unknown_kind():
 
 def test_enforce_fills_and_types(spark):
     raw = spark.createDataFrame([(5, "x")], "pulocationid bigint, unexpected string")
-    rows = raw.select(*CONTRACTS["yellow"].enforce(raw))
+    rows = raw.selectExpr(*CONTRACTS["yellow"].enforce(raw))
     assert rows.columns == [f.raw for f in CONTRACTS["yellow"].fields]
     assert dict(rows.dtypes)["PULocationID"] == "int"
     assert dict(rows.dtypes)["airport_fee"] == "double"
@@ -68,5 +68,5 @@ def test_enforce_fills_and_types(spark):
 
 def test_a_number_out_of_range_becomes_null(spark):
     raw = spark.createDataFrame([(1e12,), (7.0,)], "PUlocationID double")
-    rows = raw.select(*CONTRACTS["fhv"].enforce(raw))
+    rows = raw.selectExpr(*CONTRACTS["fhv"].enforce(raw))
     assert [r["PUlocationID"] for r in rows.collect()] == [None, 7]

@@ -9,8 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 # Raw column, column from Bronze on, type.
 _YELLOW = """
@@ -102,10 +101,6 @@ class Field:
     name: str
     type: str
 
-    def typed(self, column: Column) -> Column:
-        # A single out-of-range number should not fail a whole month: it becomes null.
-        return column.try_cast(self.type)
-
 
 @dataclass(frozen=True)
 class Contract:
@@ -122,14 +117,19 @@ class Contract:
     def has_payments(self) -> bool:
         return "payment_type" in self.columns
 
-    def enforce(self, raw: DataFrame) -> list[Column]:
-        """The contract's raw columns in contract types; a missing column is a typed null."""
+    def enforce(self, raw: DataFrame, renamed: bool = False) -> list[str]:
+        """Select expressions for the contract's columns in its types.
+
+        A column that the file lacks is a typed null, and so is a single number out of range:
+        it should not fail a whole month.
+        """
         delivered = {c.lower(): c for c in raw.columns}
         projection = []
         for f in self.fields:
             found = delivered.get(f.raw.lower())
-            column = F.col(f"`{found}`") if found else F.lit(None)
-            projection.append(f.typed(column).alias(f.raw))
+            source = f"`{found}`" if found else "NULL"
+            name = f.name if renamed else f.raw
+            projection.append(f"try_cast({source} AS {f.type}) AS `{name}`")
         return projection
 
 

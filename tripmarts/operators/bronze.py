@@ -10,12 +10,9 @@ from tripmarts.sources.raw import SOURCE_FILE
 
 
 def to_bronze(raw: DataFrame, kind: str) -> DataFrame:
-    contract = contract_for(kind)
-    typed = raw.select(
-        *contract.enforce(raw), *(name for name in raw.columns if name == SOURCE_FILE)
-    )
-    renamed = typed.withColumnsRenamed({f.raw: f.name for f in contract.fields})
-    return renamed.withColumns(
+    kept = [name for name in raw.columns if name == SOURCE_FILE]
+    named = raw.selectExpr(*contract_for(kind).enforce(raw, renamed=True), *kept)
+    return named.withColumns(
         {
             "_ingested_at": F.current_timestamp(),
             "_trip_type": F.lit(kind),

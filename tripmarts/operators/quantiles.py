@@ -25,10 +25,10 @@ from tripmarts.operators.rollup import TRIPS, Measure, aggregates, partials
 CELLS_PER_UNIT = 1000
 
 
-def _rank(count: Column, point: str) -> Column:
-    """Smallest rank covering the point, in whole numbers: ceil(count * point)."""
+def _covers(rank: Column, size: Column, point: str) -> Column:
+    """Whether `rank` of `size` values reach the share, in whole numbers: no rounding."""
     share = Fraction(point)
-    return F.ceil((count * share.numerator).cast("decimal(30,0)") / share.denominator)
+    return rank * F.lit(share.denominator) >= size * F.lit(share.numerator)
 
 
 def rollup_with_quantiles(
@@ -92,7 +92,7 @@ def quantiles_of_cells(
         }
     )
     reached = [
-        F.min(F.when(F.col("_rank") >= _rank(F.col("_size"), share), F.col("_value"))).alias(name)
+        F.min(F.when(_covers(F.col("_rank"), F.col("_size"), share), F.col("_value"))).alias(name)
         for name, share in points.items()
     ]
     return ranked.groupBy(*keys).agg(*aggregates(ranked, measures), *reached)

@@ -36,7 +36,7 @@ def scan_file(spark: SparkSession, kind: str, path: str) -> DataFrame:
         .option("pathGlobFilter", "*.parquet")
         .parquet(path)
     )
-    return raw.select(*contract.enforce(raw), raw["_metadata.file_path"].alias(SOURCE_FILE))
+    return raw.selectExpr(*contract.enforce(raw), f"_metadata.file_path AS {SOURCE_FILE}")
 
 
 def scan_months(
