@@ -156,6 +156,34 @@ def test_append_adds_and_unknown_modes_are_refused(scene):
         scene.ingest(mode="upsert")
 
 
+def test_rebalanced_layers_hold_the_same_rows_in_fewer_files(scene):
+    def files_and_rows():
+        rows = scene.lake.read_silver("yellow")
+        audit = ("_ingested_at", "_source_file")
+        return len(rows.inputFiles()), sorted(map(str, rows.drop(*audit).collect()))
+
+    scene.store("yellow", 2022, 1, month_of_trips(2022, 1) + month_of_trips(2022, 2))
+    scene.ingest()
+    scene.transform()
+    plain_files, plain_rows = files_and_rows()
+    scene.ingest(rebalance=True)
+    scene.transform(rebalance=True)
+    files, rows = files_and_rows()
+    assert rows == plain_rows
+    assert files == 5 < plain_files, "one file for each of the five local months"
+
+
+def test_a_failed_write_is_reported(spark):
+    done = []
+
+    def fail():
+        raise RuntimeError("lost")
+
+    with pytest.raises(RuntimeError, match="lost"):
+        stages.side_by_side(spark, [fail, lambda: done.append(1), lambda: done.append(2)])
+    assert sorted(done) == [1, 2]
+
+
 def test_skip_gold(scene):
     scene.ingest()
     scene.transform(skip_gold=True)

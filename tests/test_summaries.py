@@ -319,6 +319,16 @@ def test_only_card_tips_are_distributed(silver):
     }
 
 
+def test_orders_of_the_summaries(silver):
+    summary = SUMMARIES["inter_borough_flow"]
+    counts = [r["trip_count"] for r in summary.ordered(summary.build(silver)).collect()]
+    assert counts == sorted(counts, reverse=True)
+    summary = SUMMARIES["hourly_pattern_by_day_type"]
+    keys = [(r["is_weekend"], r["pickup_hour"]) for r in
+            summary.ordered(summary.build(silver)).collect()]
+    assert keys == sorted(keys)
+
+
 def test_payment_trend_comes_from_the_mart(silver):
     trend = fare.payment_type_trend(marts.fare_summary(silver))
     assert trend.agg(F.sum("trip_count")).first()[0] == silver.count()

@@ -38,6 +38,8 @@ def build_parser() -> argparse.ArgumentParser:
 
     mode = argparse.ArgumentParser(add_help=False)
     mode.add_argument("--mode", choices=MODES, default="overwrite")
+    mode.add_argument("--rebalance", action="store_true",
+                      help="shuffle into evenly sized files; for input not ordered by month")
 
     files = argparse.ArgumentParser(add_help=False)
     files.add_argument("--skip-missing", action="store_true", help="pass over absent files")
@@ -70,7 +72,15 @@ def execute(args: argparse.Namespace, lake: Lake) -> None:
     stage = args.stage if args.command == "run" else args.command
     planned = STAGES if stage == "all" else (stage,)
     if "ingest" in planned:
-        stages.ingest(lake, args.raw_root, kind, _months(args), args.mode, args.skip_missing)
+        stages.ingest(
+            lake,
+            args.raw_root,
+            kind,
+            _months(args),
+            args.mode,
+            args.skip_missing,
+            args.rebalance,
+        )
     if "transform" in planned:
         stages.transform(
             lake,
@@ -80,6 +90,7 @@ def execute(args: argparse.Namespace, lake: Lake) -> None:
             args.mode,
             args.skip_gold,
             accuracy=args.accuracy,
+            rebalance=args.rebalance,
         )
     if "analytics" in planned:
         stages.analyse(lake, kind, None if args.module == "all" else args.module)

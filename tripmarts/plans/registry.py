@@ -43,6 +43,9 @@ class Summary:
             for key in self.order
         )
 
+    def ordered(self, rows: DataFrame) -> DataFrame:
+        return rows.orderBy(*self.sort_columns())
+
 
 def _summary(domain, build, source, output, order, needs="", **params) -> Summary:
     return Summary(domain, build, source, output, tuple(order.split()), tuple(needs.split()), params)

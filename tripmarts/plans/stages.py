@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from functools import partial
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark import StorageLevel, inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession
 
 from tripmarts.contracts import contract_for
 from tripmarts.operators.bronze import to_bronze
@@ -23,6 +25,25 @@ from tripmarts.sources.zones import load_zone_lookup
 
 log = logging.getLogger(__name__)
 
+JOBS_AT_ONCE = 4
+
+
+def side_by_side(spark: SparkSession, jobs: Iterable[Callable[[], None]]) -> None:
+    """Run independent writes a few at a time, so that the last tasks of one job do not leave
+    the other executors idle. The first failure is raised once all have ended."""
+    inherit = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
+        running = [pool.submit(inherit(job)) for job in jobs]
+    for job in running:
+        job.result()
+
+
+def one_then_others(spark: SparkSession, jobs: Iterable[Callable[[], None]]) -> None:
+    """For jobs over held rows: the first fills them, the others find them."""
+    first, *others = jobs
+    first()
+    side_by_side(spark, others)
+
 
 @contextmanager
 def held(rows: DataFrame) -> Iterator[DataFrame]:
@@ -48,6 +69,7 @@ def ingest(
     months: MonthRange,
     mode: str = "overwrite",
     skip_missing: bool = False,
+    rebalance: bool = False,
 ) -> list[tuple[int, int]]:
     """Raw files to Bronze; returns the months stored.
 
@@ -58,9 +80,14 @@ def ingest(
     found = list(scan_months(lake.spark, raw_root, kind, months, skip_missing))
     if not found:
         raise FileNotFoundError(f"no {kind} file under {raw_root} for {months}")
-    for month, rows in found:
-        log.info("bronze: %s %d-%02d", kind, *month)
-        lake.write_bronze(to_bronze(rows, kind), kind, month, mode)
+    log.info("bronze: %s, %d files", kind, len(found))
+    side_by_side(
+        lake.spark,
+        [
+            partial(lake.write_bronze, to_bronze(rows, kind), kind, month, mode, rebalance)
+            for month, rows in found
+        ],
+    )
     return [month for month, _ in found]
 
 
@@ -73,6 +100,7 @@ def transform(
     skip_gold: bool = False,
     refinement: Refinement = Refinement(),
     accuracy: int | None = None,
+    rebalance: bool = False,
 ) -> None:
     """Bronze to Silver to Gold: everything, or only the given *local* months.
 
@@ -82,21 +110,27 @@ def transform(
     """
     contract_for(kind)
     pin_session_zone(lake.spark)
-    partial = months is not None
+    some_months = months is not None
     zones = load_zone_lookup(lake.spark, zone_lookup)
     bronze = lake.read_bronze(kind, months.widened() if months else None)
     silver = to_silver(bronze, zones, kind, refinement)
     if months:
         silver = silver.filter(months.covers(*LOCAL_PARTITIONS))
     log.info("silver: %s", kind)
-    lake.write_silver(silver, kind, mode, only_given_months=partial)
+    lake.write_silver(silver, kind, mode, some_months, rebalance)
 
     if not skip_gold:
         stored = lake.read_silver(kind, months)
         with held(slot_grain(stored)) as slots:
             log.info("gold: %s", kind)
             marts = build_marts(stored, kind, slots, accuracy)
-            lake.write_marts(marts, kind, only_given_months=partial)
+            one_then_others(
+                lake.spark,
+                [
+                    partial(lake.write_mart, rows, mart, kind, some_months)
+                    for mart, rows in marts.items()
+                ],
+            )
 
 
 def analyse(
@@ -114,30 +148,30 @@ def analyse(
         if summary not in wanted:
             log.info("left out, %s trips lack its columns: %s", kind, summary.name)
 
-    sources = {mart: lambda mart=mart: lake.read_mart(mart, kind) for mart in MARTS}
-    sources[SILVER] = lambda: lake.read_silver(kind)
-    for summary in wanted:
-        if summary.source in sources:
-            _write(lake, kind, summary, sources[summary.source](), params)
-    for grain_name, build in ((EDGES, edge_grain), (PROFILE, profile_grain)):
-        served = [s for s in wanted if s.source == grain_name]
-        if served:
-            with held(build(lake.read_silver(kind))) as rows:
-                for summary in served:
-                    _write(lake, kind, summary, rows, params)
-    return [s.name for s in wanted]
-
-
-def _write(
-    lake: Lake, kind: str, summary: Summary, source: DataFrame, params: dict[str, dict[str, int]]
-) -> None:
-    arguments = {**summary.params, **params.get(summary.name, {})}
-    rows = summary.build(source, **arguments)
-    log.info("%s: %s", summary.domain, summary.name)
-    lake.write_summary(
-        rows,
-        summary.domain,
-        summary.output_name(**arguments),
-        kind,
-        summary.sort_columns(),
+    def write(summary: Summary, source: DataFrame) -> None:
+        arguments = {**summary.params, **params.get(summary.name, {})}
+        log.info("%s: %s", summary.domain, summary.name)
+        lake.write_summary(
+            summary.build(source, **arguments),
+            summary.domain,
+            summary.output_name(**arguments),
+            kind,
+            summary.sort_columns(),
+        )
+
+    def jobs(source_name: str, source: DataFrame) -> list[Callable[[], None]]:
+        return [partial(write, s, source) for s in wanted if s.source == source_name]
+
+    needed = {s.source for s in wanted}
+    side_by_side(
+        lake.spark,
+        [job for mart in MARTS if mart in needed for job in jobs(mart, lake.read_mart(mart, kind))],
     )
+    if needed - set(MARTS):
+        silver = lake.read_silver(kind)
+        side_by_side(lake.spark, jobs(SILVER, silver))
+        for name, build in ((EDGES, edge_grain), (PROFILE, profile_grain)):
+            if name in needed:
+                with held(build(silver)) as rows:
+                    one_then_others(lake.spark, jobs(name, rows))
+    return [s.name for s in wanted]

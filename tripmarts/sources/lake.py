@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -67,7 +66,12 @@ class Lake:
     # -- writing ---------------------------------------------------------------------------
 
     def write_bronze(
-        self, rows: DataFrame, kind: str, source_month: tuple[int, int], mode: str = "overwrite"
+        self,
+        rows: DataFrame,
+        kind: str,
+        source_month: tuple[int, int],
+        mode: str = "overwrite",
+        rebalance: bool = False,
     ) -> None:
         """Store the rows of one source file.
 
@@ -77,28 +81,34 @@ class Lake:
         """
         year, month = source_month
         path = f"{self.bronze_path(kind)}/{SOURCE_MONTH}={year}{month:02d}"
-        _save(rows, path, BRONZE_PARTITIONS, mode, dynamic=False)
+        _save(rows, path, BRONZE_PARTITIONS, mode, dynamic=False, rebalance=rebalance)
 
     def write_silver(
-        self, rows: DataFrame, kind: str, mode: str = "overwrite", only_given_months: bool = False
+        self,
+        rows: DataFrame,
+        kind: str,
+        mode: str = "overwrite",
+        only_given_months: bool = False,
+        rebalance: bool = False,
     ) -> None:
         """Map-only: a task's rows come from one Bronze split, so from one or two months.
 
         `only_given_months` keeps the months that `rows` do not contain.
         """
-        _save(rows, self.silver_path(kind), LOCAL_PARTITIONS, mode, dynamic=only_given_months)
+        path = self.silver_path(kind)
+        _save(rows, path, LOCAL_PARTITIONS, mode, only_given_months, rebalance)
 
-    def write_marts(
+    def write_mart(
         self,
-        marts: Mapping[str, DataFrame],
+        rows: DataFrame,
+        mart: str,
         kind: str,
-        mode: str = "overwrite",
         only_given_months: bool = False,
+        mode: str = "overwrite",
     ) -> None:
-        for mart, rows in marts.items():
-            in_order = rows.sortWithinPartitions(*LOCAL_PARTITIONS, *_other_keys(rows))
-            path = self.mart_path(mart, kind)
-            _save(in_order, path, LOCAL_PARTITIONS, mode, dynamic=only_given_months)
+        in_order = rows.sortWithinPartitions(*LOCAL_PARTITIONS, *_other_keys(rows))
+        path = self.mart_path(mart, kind)
+        _save(in_order, path, LOCAL_PARTITIONS, mode, dynamic=only_given_months)
 
     def write_summary(
         self, rows: DataFrame, domain: str, name: str, kind: str, order: tuple[Column, ...] = ()
@@ -129,13 +139,23 @@ def _other_keys(mart: DataFrame) -> list[str]:
 
 
 def _save(
-    rows: DataFrame, path: str, partitions: tuple[str, ...], mode: str, dynamic: bool
+    rows: DataFrame,
+    path: str,
+    partitions: tuple[str, ...],
+    mode: str,
+    dynamic: bool,
+    rebalance: bool = False,
 ) -> None:
+    """Write Parquet. `rebalance` shuffles rows into evenly sized files per partition (a large
+    partition is split, small ones share a task); it pays off if each task would otherwise
+    hold rows of many months and leave as many small files."""
     if mode not in MODES:
         raise ValueError(f"unknown write mode {mode!r}; choose from {', '.join(MODES)}")
+    present = [name for name in partitions if name in rows.columns]
+    if rebalance and present:
+        rows = rows.hint("rebalance", *present)
     writer = rows.write.mode(mode)
     writer = writer.option("partitionOverwriteMode", "dynamic" if dynamic else "static")
-    present = [name for name in partitions if name in rows.columns]
     if present:
         writer = writer.partitionBy(*present)
     writer.parquet(path)
