@@ -1,6 +1,5 @@
 """Command line: one stage, or all of them in one session.
 
-    spark-submit --py-files tripmarts.zip run_tripmarts.py run --lake s3a://bucket/lake ...
     python -m tripmarts ingest --trip-type yellow --raw-root /data/raw --lake /data/lake
 """
 
