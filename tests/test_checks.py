@@ -10,12 +10,12 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
-from checks import trips
+from checks import catalog, oracle, trips
 
 SF_DIR = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
-QUERIES = entry_point.queries()
-ORACLE = entry_point.oracle_sql()
+QUERIES = catalog.queries()
+ORACLE = oracle.queries()
 TYPES = {
     "int": "INTEGER",
     "bigint": "BIGINT",
@@ -51,8 +51,10 @@ def same(row, other, rel=1e-12):
     return len(row) == len(other) and all(map(pair, row, other))
 
 
-def test_every_query_has_sql():
+def test_every_query_has_sql_and_is_registered():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(ORACLE) <= set(entry_point.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
