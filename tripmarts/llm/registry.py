@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmarts.llm import mixing, quality
+from tripmarts.llm import mixing, quality, simhash
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op8_mixing": mixing.op8_mixing,
         "op9_quality_rules": quality.op9_quality_rules,
+        "op10_simhash": simhash.op10_simhash,
     }
 
 
