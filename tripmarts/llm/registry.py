@@ -6,11 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmarts.llm import mixing, quality, simhash
+from tripmarts.llm import bpe, chat, langid, mixing, quality, simhash
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op5_byte_bpe": bpe.op5_byte_bpe,
+        "op6_language_id": langid.op6_language_id,
+        "op7_chat_format": chat.op7_chat_format,
         "op8_mixing": mixing.op8_mixing,
         "op9_quality_rules": quality.op9_quality_rules,
         "op10_simhash": simhash.op10_simhash,
@@ -18,4 +21,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_mixing": mixing.OP8_SQL, "op9_quality_rules": quality.OP9_SQL}
+    return {
+        "op7_chat_format": chat.OP7_SQL,
+        "op8_mixing": mixing.OP8_SQL,
+        "op9_quality_rules": quality.OP9_SQL,
+    }
