@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmarts.llm import bpe, chat, langid, mixing, quality, simhash
+from tripmarts.llm import bpe, chat, langid, mixing, quality, simhash, urllists
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_url_lists": urllists.op2_url_lists,
         "op5_byte_bpe": bpe.op5_byte_bpe,
         "op6_language_id": langid.op6_language_id,
         "op7_chat_format": chat.op7_chat_format,
@@ -22,6 +23,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_url_lists": urllists.OP2_SQL,
         "op7_chat_format": chat.OP7_SQL,
         "op8_mixing": mixing.OP8_SQL,
         "op9_quality_rules": quality.OP9_SQL,
