@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmarts.llm import bpe, chat, langid, mixing, quality, simhash, urllists
+from tripmarts.llm import bpe, chat, langid, mixing, neardup_vectors, quality, simhash, urllists
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_embedding_neardup": neardup_vectors.op1_embedding_neardup,
         "op2_url_lists": urllists.op2_url_lists,
         "op5_byte_bpe": bpe.op5_byte_bpe,
         "op6_language_id": langid.op6_language_id,
