@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmarts.llm import bpe, chat, langid, mixing, neardup_vectors, quality, repeats, simhash, urllists
+from tripmarts.llm import bpe, chat, hmm, langid, mixing, neardup_vectors, quality, repeats, simhash, urllists
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_embedding_neardup": neardup_vectors.op1_embedding_neardup,
         "op2_url_lists": urllists.op2_url_lists,
+        "op3_lm_scores": hmm.op3_lm_scores,
         "op4_repeated_passages": repeats.op4_repeated_passages,
         "op5_byte_bpe": bpe.op5_byte_bpe,
         "op6_language_id": langid.op6_language_id,
