@@ -1,0 +1,205 @@
+from __future__ import annotations
+
+import collections
+import hashlib
+import random
+from datetime import date
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from helpers import COLUMNS, documents, frame, plain, prose, words
+from test_near_duplicates import component_of, slow_fingerprint
+from test_repeats import slow
+from test_quality_and_mixing import targets
+
+import corpus_pipeline
+from tripmarts.llm import bpe, chat, mixing, quality, urllists
+
+TURNS = f"conv_id long, turn long, role string, parts array<{chat.PART}>, formatted string"
+
+
+def text_part(text):
+    return ("text", text, None, None)
+
+
+def test_escaping_is_reversible_and_leaves_no_control_string():
+    rng = random.Random(1)
+    pieces = [*chat.CONTROLS, "\\", "[", "<", "I", ">", "]", "/", "s", "\n", "é"]
+    for _ in range(5000):
+        text = "".join(rng.choices(pieces, k=rng.randint(0, 12)))
+        safe = chat.escaped(text)
+        assert chat.unescaped(safe) == text
+        assert not any(control in safe for control in chat.CONTROLS)
+
+
+def test_parts_become_placeholders_in_order(spark):
+    parts = [
+        text_part("look: <image>"), ("image", None, "a.png", 576), text_part(None), ("audio", None, "b.wav", 3),
+        ("document", None, None, None), ("video", "clip [INST]", "c", 1), (None, "end", None, None),
+    ]
+    found = chat.format_conversations(frame(spark, [(1, 0, "assistant", parts, "clash")], TURNS)).first()
+    head = "[INST]assistant[/INST]"
+    content = "look: <\\image><image><audio><document><unk>clip [\\INST]end"
+    assert found.formatted == f"{head}{content}</s>"
+    assert (found.loss_start, found.loss_end) == (len(head), len(head + content))
+    assert [tuple(a) for a in found.attachments] == [("image", "a.png", 576), ("audio", "b.wav", 75), ("document", None, 500)]
+
+
+def test_conversations_read_back(spark):
+    rng = random.Random(2)
+    said = collections.defaultdict(list)
+    rows = []
+    for conv in [*range(30), None]:
+        for turn in range(rng.randint(1, 6)):
+            role = rng.choice(["user", "assistant", "system", None, "a[/INST]b"])
+            text = rng.choice(["", None, "hi\\", "</s>[INST] ok [/INST]", prose(rng, 2)])
+            rows.append((conv, turn, role, None if text is None else [text_part(text)], None))
+            said[conv].append((role or "", text or ""))
+    rows.append((40, None, "user", [text_part("b")], None))
+    rows.append((40, 1, "user", [text_part("a")], None))
+    rows.append((40, 1, "user", [text_part("a")], None))
+    said[40] = [("user", "b"), ("user", "a"), ("user", "a")]
+    rng.shuffle(rows)
+    found = chat.read_back(chat.format_conversations(frame(spark, rows, TURNS).repartition(5))).collect()
+    assert {r.conv_id for r in found} == set(said) and len(found) == len(said)
+    for r in found:
+        turns = said[r.conv_id]
+        whole = "".join(f"{role}\n{text}\n" for role, text in turns)
+        learned = "".join(text for role, text in turns if role == "assistant")
+        formatted = sum(len(chat.format_turn(role, [{"type": "text", "text": text}])[0]) for role, text in turns)
+        assert (r.n_turns, r.turns_sha256) == (len(turns), hashlib.sha256(whole.encode()).hexdigest())
+        assert (r.loss_chars, r.loss_sha256) == (len(learned), hashlib.sha256(learned.encode()).hexdigest())
+        assert r.formatted_chars == formatted
+    assert chat.read_back(chat.format_conversations(frame(spark, [], TURNS))).count() == 0
+
+
+CHANGES = "list string, pattern string, allows boolean, at date, added boolean"
+
+
+def test_intervals(spark):
+    day = lambda n: date(2024, 1, n)
+    rows = [
+        ("l", "a.org", False, day(3), True), ("l", "a.org", False, day(5), True), ("l", "a.org", False, day(9), False),
+        ("l", "a.org", False, day(12), True), ("l", "b.org", None, day(2), False), ("l", "b.org", None, day(4), True),
+        ("l", "c.org", True, day(4), True), ("l", "c.org", True, day(4), False), ("m", "a.org", False, day(1), True),
+        ("l", None, False, day(1), True), ("l", "d.org", False, None, True), ("l", "d.org", False, day(1), None),
+        ("l", "a.org", False, day(3), True),
+    ]
+    found = plain(urllists.validity_intervals(frame(spark, rows, CHANGES)))
+    assert found == sorted([
+        ("l", "a.org", False, day(3), day(9)), ("l", "a.org", False, day(12), None),
+        ("l", "b.org", False, day(4), None), ("m", "a.org", False, day(1), None),
+    ], key=repr)
+
+
+def test_captures_are_judged_as_of_their_fetch(spark):
+    entries = [
+        ("spam", "bad.org", False, date(2024, 1, 10), True), ("spam", "bad.org", False, date(2024, 1, 20), False),
+        ("ok", "good.bad.org", True, date(2024, 1, 1), True), ("sect", "x.net/ads", False, date(2024, 1, 5), True),
+        ("spam", "x.net", False, date(2024, 1, 1), True), ("ok", "x.net", True, date(2024, 1, 1), True),
+    ]
+    intervals = urllists.validity_intervals(frame(spark, entries, CHANGES))
+    captures = [
+        ("http://bad.org/", date(2024, 1, 9), 1), ("http://bad.org/", date(2024, 1, 10), 1), ("http://bad.org/", date(2024, 1, 20), 1),
+        ("HTTPS://u:p@WWW.Bad.org.:8080/a?b#c", date(2024, 1, 19), 2), ("http://good.bad.org/z", date(2024, 1, 15), 2),
+        ("http://x.net/ads/1?q", date(2024, 1, 6), 3), ("http://x.net/adsense", date(2024, 1, 6), 3), ("http://x.net#/ads", date(2024, 1, 6), 3),
+        ("no url", date(2024, 1, 6), 4), (None, date(2024, 1, 6), 4), ("http://bad.org/", None, 4), ("", date(2024, 1, 6), 4),
+        ("http://notbad.org/", date(2024, 1, 15), 5), ("http://bad.org/", date(2024, 1, 10), 1),
+    ]
+    found = urllists.judge(frame(spark, captures, "url string, fetched date, list int"), intervals)
+    got = collections.Counter((r.url, r.fetched, r.n_active, r.blocked, r.pattern) for r in found.collect())
+    active = [(0, False, None), (1, True, "bad.org"), (0, False, None), (1, True, "bad.org"), (2, False, "good.bad.org"),
+              (3, True, "x.net/ads"), (2, False, "x.net"), (2, False, "x.net")] + [(0, False, None)] * 5 + [(1, True, "bad.org")]
+    assert got == collections.Counter((c[0], c[1], *a) for c, a in zip(captures, active))
+    assert urllists.judge(frame(spark, [], "url string, fetched date"), intervals).count() == 0
+    nothing = urllists.validity_intervals(frame(spark, [], CHANGES))
+    assert urllists.judge(frame(spark, captures, "url string, fetched date, host int"), nothing).filter("blocked").count() == 0
+
+
+# --- pipeline -----------------------------------------------------------------------------------
+
+
+def slow_pipeline(spark, rows):
+    """Every stage again on plain lists; the rules for lines are taken from their own, tested operator."""
+    judged = quality.line_first(frame(spark, rows)).filter("quality.kept").collect()
+    docs = [(r.doc_id, r.quality.cleaned, r.source) for r in judged]
+    fps = [slow_fingerprint(t) for _, t, _ in docs]
+    group = component_of(range(len(docs)), lambda i, j: (fps[i] ^ fps[j]).bit_count() <= 4)
+    best = {}
+    for i, root in group.items():
+        if docs[i][0] is not None and (root not in best or docs[i][0] < docs[best[root]][0]):
+            best[root] = i
+    docs = [docs[i] for i in sorted(best.values())] + [d for d in docs if d[0] is None]
+    data = [t.encode() for _, t, _ in docs]
+    seen = collections.Counter(d[i : i + 200] for d in data for i in range(len(d) - 199))
+    cut = []
+    for (doc_id, _, source), d in zip(docs, data):
+        gone = {i + k for i in range(len(d) - 199) if seen[d[i : i + 200]] > 1 for k in range(200)}
+        text = bytes(c for i, c in enumerate(d) if i not in gone).decode("utf-8", "ignore")
+        if words(text):
+            cut.append((doc_id, text, source))
+    sizes = collections.Counter()
+    for _, text, source in cut:
+        sizes[source] += len(words(text))
+    wanted = targets(sizes, mixing.Curriculum())
+    order = sorted(cut, key=lambda d: (hashlib.md5(str(d[0] if d[0] is not None else "").encode()).hexdigest(), d[0] or 0, len(words(d[1]))))
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.load_ranks(public_tokenizers.path(bpe.VOCABULARY)), special_tokens={})
+    out = []
+    for source in sizes:
+        start = 0
+        for _ in range(2):
+            for doc_id, text, own in order:
+                if own != source:
+                    continue
+                size = len(words(text))
+                take = min(size, int(np.floor(wanted[source] + 0.5)) - start)
+                start += size
+                if take > 0:
+                    if take < size:
+                        pieces = mixing_pieces(text)
+                        text = "".join(pieces[:take])
+                    packed = np.array(library.encode_ordinary(text), "<u4").tobytes()
+                    out.append((doc_id, len(packed) // 4, hashlib.sha256(packed).hexdigest(), hashlib.sha256(text.encode()).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def mixing_pieces(text):
+    import re
+
+    return re.findall("[\x20\x09-\x0d]*[^\x20\x09-\x0d]+", text)
+
+
+@pytest.fixture(scope="module")
+def corpus():
+    rng = random.Random(9)
+    rows = [r for r in documents(seed=9, count=30) if r[0] is not None]
+    passage = prose(rng, 4)
+    for i in range(700, 730):
+        rows.append((i, prose(rng, 6) + ("\n" + passage if i % 5 == 0 else "") + "\n" + prose(rng, 4), "en", ["a", "b", None][i % 3], 0))
+    return rows + [(800, rows[-1][1], "en", "z", 0), (801, rows[-2][1].replace("Ka", "Lo", 1), "en", "z", 0)]
+
+
+def test_pipeline_equals_brute_force(spark, corpus, tmp_path):
+    frame(spark, corpus).repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    found = corpus_pipeline.run(spark, str(tmp_path))
+    assert found.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    expected = slow_pipeline(spark, corpus)
+    assert plain(found) == expected and len(expected) > 30
+
+
+def test_stages_keep_the_columns_and_stand_odd_rows(spark):
+    names = [name for name, _ in corpus_pipeline.STAGES]
+    assert names == ["quality_rules", "simhash_near_dedup", "suffix_array_dedup", "mixing", "byte_bpe"]
+    odd = frame(spark, [(*r, "extra", 1, 2) for r in documents()], COLUMNS + ", size string, copies int, `row` int")
+    for rows in (odd, odd.limit(0)):
+        for name, stage in corpus_pipeline.STAGES:
+            found = stage(spark, rows, "")
+            if name != "byte_bpe":
+                assert found.columns == rows.columns
+            assert (found.count() > 0) == (not rows.isEmpty())
+
+
+def test_the_slow_pass_is_sound():
+    assert slow(["a" * 250], 200)[0][1] == 250

@@ -1,0 +1,192 @@
+from __future__ import annotations
+
+import math
+import random
+
+import numpy as np
+import pytest
+import xxhash
+from helpers import documents, frame, plain, words
+
+from tripmarts.llm import components, neardup_vectors, simhash
+
+
+def component_of(nodes, linked):
+    """Smallest node reachable, by plain search."""
+    root = {}
+    for start in sorted(nodes):
+        stack = [start]
+        while stack:
+            at = stack.pop()
+            if at not in root:
+                root[at] = start
+                stack.extend(other for other in nodes if other not in root and linked(at, other))
+    return root
+
+
+@pytest.mark.parametrize("shape", ["path", "star", "random", "two"])
+def test_components(spark, shape):
+    rng = random.Random(shape)
+    if shape == "path":
+        links = [(i, i + 1) for i in range(60)]
+    elif shape == "star":
+        links = [(7, i) for i in range(50)] + [(3, 3)]
+    else:
+        links = [(rng.randrange(80), rng.randrange(80)) for _ in range(45 if shape == "random" else 2)]
+    rng.shuffle(links)
+    table = spark.createDataFrame(links, "a long, b long").repartition(7)
+    found = dict(map(tuple, components.components(table).collect()))
+    pairs = {frozenset(link) for link in links}
+    nodes = {n for link in links for n in link}
+    expected = component_of(nodes, lambda a, b: frozenset((a, b)) in pairs)
+    assert found == {n: r for n, r in expected.items() if n != r}
+
+
+def test_components_of_nothing(spark):
+    assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def slow_fingerprint(text):
+    found = [w.lower() if w.isascii() else "".join(c.lower() if c.isascii() else c for c in w) for w in words(text)]
+    if not found:
+        return 0
+    shingles = [" ".join(found[i : i + 4]) for i in range(max(1, len(found) - 3))]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << k for k in range(64) if sum(h >> k & 1 for h in hashes) * 2 > len(hashes))
+
+
+def test_fingerprints_equal_brute_force(spark):
+    for _, text, *_ in documents():
+        assert simhash.fingerprint((text or "").encode(), 4) % 2**64 == slow_fingerprint(text)
+    assert simhash.fingerprint(b"A\x1cB \xc3\x89t", 4) % 2**64 == slow_fingerprint("A\x1cB Ét")
+    shingle = spark.sql("SELECT xxhash64('one two three four')").first()[0]
+    assert simhash.fingerprint(b"One two\tthree FOUR", 4) == shingle
+
+
+def test_every_pair_within_the_radius_meets_in_some_table():
+    rng = random.Random(2)
+    for radius in (0, 1, 3, 4):
+        masks = [m % 2**64 for m in simhash.covering_masks(radius)]
+        assert len(masks) == 2 ** (radius + 1) - 1
+        for _ in range(3000):
+            difference = sum(1 << k for k in rng.sample(range(64), radius))
+            assert any(difference & mask == 0 for mask in masks)
+
+
+@pytest.mark.parametrize("block", [2, 2048])
+def test_links_connect_what_brute_force_connects(spark, block):
+    rng = random.Random(4)
+    fps = {0, 2**64 - 1}
+    for _ in range(25):
+        at = rng.getrandbits(64)
+        for _ in range(rng.randint(1, 12)):
+            fps.add(at)
+            for k in rng.sample(range(64), rng.randint(1, 6)):
+                at ^= 1 << k
+    signed = [f - 2**64 if f >> 63 else f for f in fps]
+    links = simhash.near_links(spark.createDataFrame([(f,) for f in signed], "fp long"), 4, block)
+    rows = [(a % 2**64, b % 2**64) for a, b in links.collect()]
+    assert all((a ^ b).bit_count() <= 4 for a, b in rows)
+    pairs = {frozenset(r) for r in rows}
+    expected = component_of(fps, lambda a, b: (a ^ b).bit_count() <= 4)
+    assert component_of(fps, lambda a, b: frozenset((a, b)) in pairs) == expected
+
+
+def test_simhash_of_documents_and_the_kept_one(spark):
+    rows = documents()
+    found = plain(simhash.near_duplicates(frame(spark, rows)))
+    ids = [r[0] for r in rows]
+    fps = [slow_fingerprint(r[1]) for r in rows]
+    group = component_of(range(len(rows)), lambda i, j: (fps[i] ^ fps[j]).bit_count() <= 4)
+    least = {}
+    for i, root in group.items():
+        if ids[i] is not None:
+            least[root] = min(least.get(root, ids[i]), ids[i])
+    signed = [f - 2**64 if f >> 63 else f for f in fps]
+    expected = sorted(((ids[i], signed[i], least.get(group[i])) for i in range(len(rows))), key=repr)
+    assert found == expected
+    kept = simhash.keep_one(frame(spark, rows)).collect()
+    assert sorted(r.doc_id for r in kept if r.doc_id is not None) == sorted(set(least.values()))
+    assert sum(r.doc_id is None for r in kept) == 2 and kept[0].__fields__ == ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def test_simhash_of_nothing_and_clashing_columns(spark):
+    assert simhash.near_duplicates(frame(spark, [])).count() == 0
+    clash = frame(spark, [(1, "a", 5, 6), (2, "a", 7, 8)], "doc_id long, text string, fp long, component_id long")
+    assert [r[2] for r in plain(simhash.near_duplicates(clash))] == [1, 1]
+    assert [tuple(r) for r in simhash.keep_one(clash).collect()] == [(1, "a", 5, 6)]
+
+
+def vectors(seed: int = 3, size: int = 16) -> list[tuple]:
+    rng = np.random.default_rng(seed)
+    rows, number = [], 0
+    for label in (1, 2, None):
+        for _ in range(30):
+            at = rng.standard_normal(size)
+            for _ in range(int(rng.integers(1, 5))):
+                rows.append((number, [float(x) for x in at.astype(np.float32)], label))
+                number += 1
+                at = at + rng.standard_normal(size) * 0.2
+    copy = rows[4][1]
+    rows += [(1000 + i, copy, 1) for i in range(6)] + [(1010, [2 * x for x in copy], 1), (1011, copy, 2)]
+    rows += [rows[0], (None, copy, 1), (2000, None, 1), (2001, [], 1), (2002, [0.0] * size, 1)]
+    rows += [(2003, [float("nan")] * size, 1), (2004, [None] + copy[1:], 1), (2005, [math.inf] + copy[1:], 1), (2006, copy[:4], 1)]
+    return rows
+
+
+def slow_links(rows):
+    good = []
+    for i, (_, v, label) in enumerate(rows):
+        usable = v and label is not None and all(x is not None and math.isfinite(x) for x in v) and any(v)
+        good.append(np.array(v, float) if usable else None)
+
+    def linked(i, j):
+        a, b = good[i], good[j]
+        if i == j or a is None or b is None or len(a) != len(b) or rows[i][2] != rows[j][2]:
+            return False
+        return a @ b / math.sqrt(a @ a) / math.sqrt(b @ b) >= 0.93
+
+    return linked
+
+
+@pytest.mark.parametrize("block", [3, 1024])
+def test_vectors_against_brute_force(spark, block, monkeypatch):
+    monkeypatch.setattr(neardup_vectors, "BLOCK", block)
+    original = neardup_vectors.class_links
+    monkeypatch.setattr(neardup_vectors, "class_links", lambda c, s: original(c, s, block))
+    rows = vectors()
+    linked = slow_links(rows)
+    found = plain(neardup_vectors.near_vectors(frame(spark, rows, "vec_id long, embedding array<float>, label int")))
+    places = range(len(rows))
+    counts = [sum(linked(i, j) for j in places) for i in places]
+    assert sum(r[1] for r in found) >= 0.9 * sum(counts) and len(found) == len(rows)
+    group = component_of(places, linked)
+    least = {}
+    for i, root in group.items():
+        if rows[i][0] is not None:
+            least[root] = min(least.get(root, rows[i][0]), rows[i][0])
+    expected = []
+    for i in places:
+        component = least.get(group[i])
+        expected.append((rows[i][0], counts[i], component, rows[i][0] is not None and rows[i][0] == component))
+    assert found == sorted(expected, key=repr)
+
+
+def test_recall_just_at_the_threshold():
+    rng = np.random.default_rng(8)
+    search, size, pairs = neardup_vectors.Search(), 64, 2000
+    a = rng.standard_normal((pairs, size))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    side = rng.standard_normal((pairs, size))
+    side -= (side * a).sum(axis=1, keepdims=True) * a
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    cosine = 0.9301
+    b = cosine * a + math.sqrt(1 - cosine**2) * side
+    plan = search.plan(size)
+    hits = np.abs((a - b) @ plan.directions[:, 1:]) <= plan.window
+    near = np.abs((a - b) @ plan.directions[:, 0]) <= plan.slab
+    assert ((hits.sum(axis=1) >= plan.count) & near).mean() >= 0.97
+
+
+def test_no_vectors(spark):
+    assert neardup_vectors.near_vectors(frame(spark, [], "vec_id long, embedding array<float>, label int")).count() == 0

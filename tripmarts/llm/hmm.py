@@ -71,7 +71,10 @@ def pack(numbers: np.ndarray) -> bytes:
     return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
-def unpack(data: bytes) -> np.ndarray:
+def unpack(data: bytes | None) -> np.ndarray:
+    """The numbers; none for null, as of a chunk whose texts have no words."""
+    if data is None:
+        return np.empty(0, np.uint32)
     planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1)
     return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
@@ -366,9 +369,8 @@ def score_texts(docs: DataFrame, shape: Shape = Shape()) -> DataFrame:
         for batch in batches:
             for ids, held, sizes, numbers, low, high, cls in zip(*(c.to_pylist() for c in batch.columns)):
                 sizes = np.array(sizes, np.int64)
-                # Texts without a word leave a chunk without a vocabulary.
-                c, cls, numbers = (unpack(x).astype(np.int64) if x else np.empty(0, np.int64) for x in (low, cls, numbers))
-                if high and len(more := unpack(high)):
+                c, cls, numbers = (unpack(x).astype(np.int64) for x in (low, cls, numbers))
+                if len(more := unpack(high)):
                     c += more.astype(np.int64) << 32
                 log_c = np.log10(c + 1.0)
                 classes, starts, longer = spread(sizes, cls[numbers], shape.classes)
