@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripmarts.llm.common import stored, table
+from tripmarts.llm.common import discard, stored, table
 
 # Windows of a text hashed at a time; the place within this stretch fits the low bits of a key.
 STRETCH = 1 << 18
@@ -40,6 +40,7 @@ PLACE_BITS = 20
 CROWD = 4096
 # Bytes of fetched contexts whose windows are sorted at a time.
 CONTEXT_BYTES = 4 << 20
+CONTEXTS_AT_A_TIME = 4096
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
@@ -69,7 +70,7 @@ def byte_codes() -> np.ndarray:
 
 def rolling(raw: np.ndarray, width: int, base: int, starts: np.ndarray | None = None) -> np.ndarray:
     """A 64-bit hash of the `width` bytes from each start (by default, from all that have so many)."""
-    up, down = powers(base, max(STRETCH, 1 << (len(raw) + 1).bit_length()))
+    up, down = powers(base, max(2 * STRETCH, 1 << len(raw).bit_length()))
     sums = np.zeros(len(raw) + 1, np.uint64)
     np.cumsum(byte_codes()[raw] * up[: len(raw)], out=sums[1:])
     if starts is None:
@@ -204,37 +205,48 @@ def fetch_contexts(docs: DataFrame, wanted: DataFrame, depth: Depth) -> DataFram
     # Texts that occur twice under one id have one key; fetching either is the same.
     texts = keyed(docs.select("doc_id", "text")).select("row", "mark", "bytes")
 
+    kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.binary())
+    names = ["g", "crowd", "single", "row", "at", "context"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = []
         for batch in batches:
-            for row, pressed, items in zip(*(c.to_pylist() for c in batch.columns)):
-                data = unpressed(pressed)
-                out = []
-                for item in items:
+            for row, pressed, items in zip(*batch.columns):
+                row, data = row.as_py(), unpressed(pressed.as_py())
+                for item in items.as_py():
                     at = item["at"]
-                    place = PLACE(at)
-                    context = data[place - FAR(at) : place - NEAR(at) + depth.length]
+                    context = data[PLACE(at) - FAR(at) : PLACE(at) - NEAR(at) + depth.length]
                     out.append((item["g"], item["crowd"], item["single"], row, at, context))
-                kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.binary())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(values, kind) for values, kind in zip(zip(*out), kinds)],
-                    names=["g", "crowd", "single", "row", "at", "context"],
-                )
+                if len(out) >= CONTEXTS_AT_A_TIME:
+                    yield flush(out)
+                    out = []
+        if out:
+            yield flush(out)
+
+    def flush(out: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(values, kind) for values, kind in zip(zip(*out), kinds)], names=names)
 
-    found = texts.join(asked, ["row", "mark"]).select("row", "bytes", "asked").mapInArrow(
+    return texts.join(asked, ["row", "mark"]).select("row", "bytes", "asked").mapInArrow(
         run, "g long, crowd long, single boolean, row long, at long, context binary"
     )
-    return found
 
 
 def window_hashes(ats: np.ndarray, contexts: list[bytes], depth: Depth) -> tuple[np.ndarray, ...]:
     """Of all windows of these contexts: which context, the start in the text, and two hashes."""
-    raw = np.frombuffer(b"".join(contexts), np.uint8)
     sizes = np.fromiter(map(len, contexts), np.int64, len(contexts))
     counts = sizes - depth.length + 1
     which = np.repeat(np.arange(len(contexts)), counts)
     inside = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-    starts = np.repeat(np.cumsum(sizes) - sizes, counts) + inside
-    one, two = (rolling(raw, depth.length, base, starts) for base in BASES)
+    hashes: tuple[list, list] = ([], [])
+    step = max(1, STRETCH // (2 * depth.length))
+    for at in range(0, len(contexts), step):
+        raw = np.frombuffer(b"".join(contexts[at : at + step]), np.uint8)
+        size, count = sizes[at : at + step], counts[at : at + step]
+        done = count.cumsum() - count
+        own = np.arange(count.sum()) - np.repeat(done, count) + np.repeat(size.cumsum() - size, count)
+        for base, found in zip(BASES, hashes):
+            found.append(rolling(raw, depth.length, base, own))
+    one, two = (np.concatenate(found) for found in hashes)
     return which, (PLACE(ats) - FAR(ats))[which] + inside, one, two
 
 
@@ -323,9 +335,10 @@ def deal_windows(contexts: DataFrame, depth: Depth) -> DataFrame:
 
 def repeated_spans(docs: DataFrame, depth: Depth = Depth(), crowd: int = CROWD) -> DataFrame:
     """(row, mark, spans): for each text with any, the spans covered by windows that occur elsewhere too."""
-    found = find_anchors(docs, depth)
+    found = stored(find_anchors(docs, depth))
     twice = found.groupBy("g").agg(F.count("*").alias("n")).filter("n > 1").select("g")
     alive = stored(found.join(twice, "g"))
+    discard(found)
     kind = ["g", "c", "shape"]
     alive = alive.withColumn("shape", shape_of(F.col("at")))
     kinds = stored(alive.groupBy(*kind).agg(F.count("*").alias("n"), F.min(F.struct("row", "at")).alias("one")))
@@ -359,18 +372,21 @@ def merged(spans: list[dict]) -> list[tuple[int, int]]:
     return [tuple(run) for run in out]
 
 
-def without_repeats(docs: DataFrame, depth: Depth = Depth(), crowd: int = CROWD) -> DataFrame:
+def without_repeats(
+    docs: DataFrame, depth: Depth = Depth(), crowd: int = CROWD, as_text: bool = False
+) -> DataFrame:
     """The columns of `docs` but the text as struct `rest`, with kept, n_bytes, n_removed, n_spans.
 
     `kept` holds the bytes that no window of `depth.length` bytes covers that starts anywhere else
     as well, in the same text or another; all occurrences go. A null text is empty. Repeated rows repeat each
-    other's text, so they lose all of it, if it is long enough.
+    other's text, so they lose all of it, if it is long enough. With `as_text`, `kept` is a
+    string, and a character that lost some of its bytes is gone as a whole.
     """
     spans = repeated_spans(docs, depth, crowd)
     texts = keyed(docs)
     joined = texts.join(spans, ["row", "mark"], "left").select("rest", "bytes", "spans")
     schema = T.StructType([
-        joined.schema["rest"], T.StructField("kept", T.BinaryType()), T.StructField("n_bytes", T.LongType()),
+        joined.schema["rest"], T.StructField("kept", T.StringType() if as_text else T.BinaryType()), T.StructField("n_bytes", T.LongType()),
         T.StructField("n_removed", T.LongType()), T.StructField("n_spans", T.LongType()),
     ])
 
@@ -382,9 +398,11 @@ def without_repeats(docs: DataFrame, depth: Depth = Depth(), crowd: int = CROWD)
                 runs = merged(found.as_py() or [])
                 edges = [0, *(edge for one in runs for edge in one), len(data)]
                 kept = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2]))
-                rows.append((kept, len(data), len(data) - len(kept), len(runs)))
+                rows.append((
+                    kept.decode("utf-8", "ignore") if as_text else kept, len(data), len(data) - len(kept), len(runs)
+                ))
             columns = list(zip(*rows)) if rows else [[]] * 4
-            kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int64())
+            kinds = (pa.string() if as_text else pa.binary(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds))],
                 names=["rest", "kept", "n_bytes", "n_removed", "n_spans"],
