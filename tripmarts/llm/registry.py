@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from tripmarts.llm import bpe, chat, hmm, langid, mixing, neardup_vectors, quality, repeats, simhash, urllists
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "pipeline": corpus_pipeline.run,
         "op1_embedding_neardup": neardup_vectors.op1_embedding_neardup,
         "op2_url_lists": urllists.op2_url_lists,
         "op3_lm_scores": hmm.op3_lm_scores,
