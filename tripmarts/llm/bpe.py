@@ -23,12 +23,11 @@ from pyspark.sql import functions as F
 from tripmarts.llm.common import table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-# Words that a worker remembers; beyond it starts anew.
+# Words, and ids of words, that a worker remembers; beyond either it starts anew.
 WORDS_REMEMBERED = 400_000
-# Bytes of text whose words are merged at a time.
-SLICE_BYTES = 4 << 20
-# Words without spaces can be long; they are merged like any other, but not remembered.
-LONGEST_REMEMBERED = 200
+IDS_REMEMBERED = 8_000_000
+# Characters of text whose new words are merged at a time.
+SLICE = 16 << 20
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -37,80 +36,142 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 
 class Merges:
-    """The merges of a vocabulary: pairs of ids that give a token, with its id, which is its rank."""
+    """The merges of a vocabulary: pairs of ids that give a token, whose id is the rank of the merge."""
 
     def __init__(self, ranks: dict[bytes, int]):
-        self.size = max(ranks.values()) + 2
-        self.pairs: dict[int, int] = {}
+        self.size = size = max(ranks.values()) + 2
+        codes, found = [], []
         for token, rank in ranks.items():
             for cut in range(1, len(token)):
                 left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
                 if left is not None and right is not None:
-                    self.pairs[left * self.size + right] = rank
-        self.bytes = np.array([ranks[bytes([i])] for i in range(256)], np.int64)
-        codes = self.bytes[:, None] * self.size + self.bytes
-        self.of_bytes = np.array([[self.pairs.get(code, -1) for code in row] for row in codes.tolist()], np.int64)
-
-
-def replay(words: list[bytes], merges: Merges) -> list[np.ndarray]:
-    """The ids of each word, as little-endian unsigned 32-bit integers.
-
-    Takes the lowest rank first and the leftmost place of it, within each word. If a merge makes
-    a pair of no higher rank possible, the rest of that word waits until that pair is merged.
-    Between words stands a token that no merge has, so places need no bounds.
+                    codes.append(left * size + right)
+                    found.append(rank)
+        order = np.argsort(codes)
+        self.codes, self.found = np.array(codes, np.int64)[order], np.array(found, np.int32)[order]
+        self.bytes = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
+        self.of_bytes = self.of(self.bytes[:, None].astype(np.int64), self.bytes)
+        # Merging to such a token may make a pair of no higher rank possible.
+        self.careful = np.zeros(size, bool)
+        for side in np.divmod(self.codes, size):
+            self.careful[side[self.found <= side]] = True
+
+    def of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The rank of each pair, or -1."""
+        codes = left * self.size + right
+        at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
+        return np.where(self.codes[at] == codes, self.found[at], np.int32(-1))
+
+
+def replay(words: list[bytes], merges: Merges) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all words in one array, and how many each has.
+
+    `index` has, for each rank, the positions where its pair may stand. Ranks are taken in order and
+    applied to all their positions; the pairs that a merge makes with its neighbours are looked up
+    and enter the index, and a lower rank among them is next. Where a rank stands twice in a word and
+    its merges could overlap or make a lower rank possible, they are done one by one from the left,
+    and the rest of such a word waits until that rank is merged. Between words stands a token that no merge has.
     """
-    gap, size, known = merges.size - 1, merges.size, merges.pairs.get
+    gap = merges.size - 1
     raw = np.frombuffer(b"\0" + b"\0".join(words) + b"\0", np.uint8)
-    lengths = np.fromiter(map(len, words), np.int64, len(words))
-    gaps = np.concatenate([[0], np.cumsum(lengths + 1)])
-    first = merges.bytes[raw]
-    first[gaps] = gap
-    pair = merges.of_bytes[raw[:-1], raw[1:]]
-    pair[gaps[:-1]] = -1
-    pair[gaps[1:] - 1] = -1
-    owner = np.repeat(np.arange(len(words) + 1), np.diff(gaps, append=len(raw)))
-    after, before = list(range(1, len(raw) + 1)), list(range(-1, len(raw) - 1))
-    ids, rank_at = first.tolist(), [*pair.tolist(), -1]
-
-    places = np.flatnonzero(pair >= 0)
-    places = places[np.argsort(pair[places], kind="stable")]
-    index: list[list[int]] = [[] for _ in range(size)]
-    ranks, cuts = np.unique(pair[places], return_index=True)
-    for rank, found in zip(ranks.tolist(), np.split(places, cuts[1:]) if len(ranks) else []):
-        index[rank] = found.tolist()
+    gaps = np.concatenate([[0], np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)])
+    ids = merges.bytes[raw]
+    ids[gaps] = gap
+    rank_at = np.append(merges.of_bytes[raw[:-1], raw[1:]], np.int32(-1))
+    rank_at[gaps] = -1
+    rank_at[gaps[1:] - 1] = -1
+    after = np.arange(1, len(raw) + 1, dtype=np.int32)
+    before = np.arange(-1, len(raw) - 1, dtype=np.int32)
+    owner = np.repeat(np.arange(len(gaps), dtype=np.int32), np.diff(gaps, append=len(raw)))
+
+    index: list[list[np.ndarray]] = [[] for _ in range(merges.size)]
+
+    def enter(places: np.ndarray, ranks: np.ndarray) -> None:
+        real = ranks >= 0
+        places, ranks = places[real], ranks[real]
+        order = np.argsort(ranks, kind="stable")
+        places, ranks = places[order], ranks[order]
+        cuts = np.flatnonzero(ranks[1:] != ranks[:-1]) + 1
+        edges = [0, *cuts.tolist(), len(ranks)] if len(ranks) else [0]
+        for a, b, rank in zip(edges, edges[1:], ranks[edges[:-1]].tolist()):
+            index[rank].append(places[a:b])
+
+    def merge(places: np.ndarray, rank: int) -> np.ndarray:
+        """Merge these pairs, which do not overlap; the ranks that became possible."""
+        then = after[places]
+        beyond = after[then]
+        ids[places], ids[then], rank_at[then] = rank, -1, -1
+        after[places], before[beyond] = beyond, places
+        earlier = before[places]
+        right = merges.of(np.int64(rank), ids[beyond])
+        left = merges.of(ids[earlier].astype(np.int64), np.int64(rank))
+        rank_at[places], rank_at[earlier] = right, left
+        new = np.concatenate([right, left])
+        enter(np.concatenate([places, earlier]), new)
+        return new
+
+    def merge_singly(places: np.ndarray, rank: int) -> list[np.ndarray]:
+        """Merge from the left in each word; the ranks that became possible."""
+        waiting, made = set(), [np.empty(0, np.int32)]
+        for at, word in zip(places, owner[places].tolist()):
+            if rank_at[at] != rank:
+                continue
+            if word in waiting:
+                index[rank].append(np.array([at], np.int32))
+                continue
+            made.append(merge(np.array([at], np.int32), rank))
+            if ((made[-1] >= 0) & (made[-1] <= rank)).any():
+                waiting.add(word)
+        return made
 
+    start = np.flatnonzero(rank_at >= 0).astype(np.int32)
+    enter(start, rank_at[start])
     rank = 0
-    while rank < size:
-        if not index[rank]:
+    while rank < merges.size:
+        found, index[rank] = index[rank], []
+        if not found:
             rank += 1
             continue
-        todo, index[rank] = sorted(index[rank]), []
-        waiting, lowest = set(), rank
-        for at in todo:
-            if rank_at[at] != rank:
-                continue
-            if waiting and owner[at] in waiting:
-                index[rank].append(at)
-                continue
-            then = after[at]
-            beyond = after[then]
-            ids[at], ids[then], rank_at[then] = rank, -1, -1
-            after[at], before[beyond] = beyond, at
-            earlier = before[at]
-            right = rank_at[at] = known(rank * size + ids[beyond], -1)
-            left = rank_at[earlier] = known(ids[earlier] * size + rank, -1)
-            if right >= 0:
-                index[right].append(at)
-            if left >= 0:
-                index[left].append(earlier)
-            if 0 <= right <= rank or 0 <= left <= rank:
-                waiting.add(owner[at])
-                lowest = min(lowest, *(r for r in (left, right) if r >= 0))
-        rank = lowest
-    last = np.array(ids, np.int64)
-    alive = (last >= 0) & (last != gap)
+        places = found[0] if len(found) == 1 else np.unique(np.concatenate(found))
+        places = places[rank_at[places] == rank]
+        made = []
+        if len(places) > 1:
+            # Words in which the rank stands more than once may need care.
+            words_of = owner[places]
+            again = np.zeros(len(places), bool)
+            again[1:] = words_of[1:] == words_of[:-1]
+            if again.any() and (merges.careful[rank] or (after[places[:-1]] == places[1:]).any()):
+                again[:-1] |= again[1:]
+                made += merge_singly(places[again], rank)
+                places = places[~again]
+        if len(places):
+            made.append(merge(places, rank))
+        new = np.concatenate(made) if made else np.empty(0, np.int32)
+        below = new[(new >= 0) & (new <= rank)]
+        rank = int(below.min()) if len(below) else rank if index[rank] else rank + 1
+    alive = (ids >= 0) & (ids != gap)
     counts = np.cumsum(alive)[gaps]
-    return np.split(last[alive].astype("<u4"), counts[1:-1])
+    return ids[alive].astype("<u4"), np.diff(counts)
+
+
+class Numbering(dict):
+    """Words in order of first sight; `new` has those seen since it was last emptied."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        self.new.append(word)
+        return number
+
+
+def ragged(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The stretches of `values` that start and are as long as told, one after the other."""
+    ends = np.cumsum(sizes)
+    places = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes)
+    return values[places]
 
 
 class Codec:
@@ -120,25 +181,33 @@ class Codec:
         ranks = load_ranks(path)
         self.merges = Merges(ranks)
         self.find = regex.compile(pattern).findall
-        self.known: dict[str, bytes] = {}
         tokens = [b""] * self.merges.size
         for token, rank in ranks.items():
             tokens[rank] = token
         self.tokens = np.array(tokens, object)
+        self.forget()
+
+    def forget(self) -> None:
+        self.known = Numbering()
+        self.ids = np.empty(0, "<u4")
+        self.starts, self.sizes = np.empty(0, np.int64), np.empty(0, np.int64)
 
     def encode(self, texts: Iterable[str]) -> list[bytes]:
         """The ids of each text, as bytes."""
-        split = [self.find(text) for text in texts]
-        if len(self.known) > WORDS_REMEMBERED:
-            self.known = {}
-        new = list({word for pieces in split for word in pieces if word not in self.known})
-        for word, ids in zip(new, replay([w.encode() for w in new], self.merges) if new else []):
-            self.known[word] = ids.tobytes()
-        out = [b"".join(map(self.known.__getitem__, pieces)) for pieces in split]
-        for word in new:
-            if len(word) > LONGEST_REMEMBERED:
-                del self.known[word]
-        return out
+        if len(self.known) > WORDS_REMEMBERED or len(self.ids) > IDS_REMEMBERED:
+            self.forget()
+        number = self.known.__getitem__
+        split = []
+        for text in texts:
+            words = self.find(text)
+            split.append(np.fromiter(map(number, words), np.int32, len(words)))
+        if self.known.new:
+            ids, sizes = replay([w.encode() for w in self.known.new], self.merges)
+            self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
+            self.sizes = np.concatenate([self.sizes, sizes])
+            self.ids = np.concatenate([self.ids, ids])
+            self.known.new = []
+        return [ragged(self.ids, self.starts[words], self.sizes[words]).tobytes() for words in split]
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(self.tokens[np.frombuffer(ids, "<u4")].tolist())
@@ -150,12 +219,12 @@ def codec(path: str, pattern: str) -> Codec:
 
 
 def slices(texts: list[str]) -> Iterator[list[str]]:
-    """The texts in order, in lists of about SLICE_BYTES; a longer text is a list of its own."""
+    """The texts in order, in lists of about SLICE characters; a longer text is a list of its own."""
     held, size = [], 0
     for text in texts:
         held.append(text)
         size += len(text)
-        if size >= SLICE_BYTES:
+        if size >= SLICE:
             yield held
             held, size = [], 0
     if held:
