@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from checks import trips
 from checks.rounding import DIGITS
+from tripmarts.contracts import contract_for
 from tripmarts.operators import marts
 from tripmarts.operators.silver import (
     add_local_time,
@@ -20,7 +21,6 @@ from tripmarts.operators.silver import (
 from tripmarts.plans.grains import edge_grain, profile_grain
 from tripmarts.plans.registry import EDGES, PROFILE, SILVER, SUMMARIES
 from tripmarts.settings import LOCAL_ZONE
-from tripmarts.sources.zones import Zones
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -89,8 +89,7 @@ def silver_datetime(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_zone_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    zones = Zones(trips.zone_rows(spark, sf_dir))
-    named = add_zones(trips.bronze(spark, sf_dir), zones)
+    named = add_zones(trips.bronze(spark, sf_dir), trips.zones(spark, sf_dir))
     ends = [f"{role}_{part}" for role in ("pickup", "dropoff") for part in ("borough", "zone")]
     return named.groupBy("pu_location_id", "do_location_id", *ends).agg(
         F.count("*").alias("trip_count")
@@ -119,13 +118,23 @@ def silver_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# Inputs and summaries that name places, and so need the zone joins.
-PLACES = {"trips_by_borough", EDGES, "distance_distribution_by_borough"}
+def bronze_contract_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per raw month, the rows and how many lack each column that a trip cannot do without."""
+    rows = trips.bronze(spark, sf_dir)
+    lacking = [F.count_if(F.col(c).isNull()).alias(f"no_{c}") for c in contract_for("yellow").required]
+    return rows.groupBy("year", "month").agg(F.count("*").alias("trip_count"), *lacking)
+
+
+def _mart_of(silver: DataFrame, name: str) -> DataFrame:
+    """A mart the way the stages build it: those by hour, date and borough through their grain."""
+    source = marts.slot_grain(silver) if name in marts.SLOT_MARTS else silver
+    return getattr(marts, name)(source)
 
 
-def _mart(name: str, kind: str = "yellow") -> Query:
+def _mart(name: str, kind: str = "yellow", direct: bool = False) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return getattr(marts, name)(trips.silver(spark, sf_dir, kind, named=name in PLACES))
+        silver = trips.silver(spark, sf_dir, kind)
+        return getattr(marts, name)(silver) if direct else _mart_of(silver, name)
 
     return query
 
@@ -134,16 +143,28 @@ def _grain(build: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: build(trips.silver(spark, sf_dir))
 
 
-def _summary(name: str, kind: str = "yellow") -> Query:
-    """A summary in one plan from the raw trips on, through its mart if it is built from one."""
+# Of the fare mart, this summary needs the trips of each group only, no quantiles.
+COUNTED = "payment_type_trend"
+
+
+def _summary(name: str, kind: str = "yellow", direct: bool = False, **params: int) -> Query:
+    """A summary in one plan from the raw trips on, through the mart or grain the stages use.
+
+    `direct` builds it from the trips where the stages use a grain.
+    """
     summary = SUMMARIES[name]
+    grains = {EDGES: edge_grain, PROFILE: profile_grain}
+    params = {**summary.params, **SUMMARY_PARAMS.get(name, {}), **params}
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        named = summary.source in PLACES or name in PLACES
-        source = trips.silver(spark, sf_dir, kind, named=named)
-        if summary.source not in (SILVER, EDGES, PROFILE):
-            source = getattr(marts, summary.source)(source)
-        return summary.build(source, **summary.params, **SUMMARY_PARAMS.get(name, {}))
+        source = trips.silver(spark, sf_dir, kind)
+        if name == COUNTED:
+            source = marts.payment_counts(source)
+        elif summary.source in grains and not direct:
+            source = grains[summary.source](source)
+        elif summary.source not in (SILVER, *grains):
+            source = _mart_of(source, summary.source)
+        return summary.build(source, **params)
 
     return query
 
@@ -164,6 +185,7 @@ def queries() -> dict[str, Query]:
         "bronze_green": _bronze_of("green"),
         "bronze_fhv": _bronze_of("fhv"),
         "bronze_fhvhv": _bronze_of("fhvhv"),
+        "bronze_contract_audit": bronze_contract_audit,
         "silver_null_drop": silver_null_drop,
         "silver_outlier_filter": silver_outlier_filter,
         "silver_datetime": silver_datetime,
@@ -183,12 +205,30 @@ def queries() -> dict[str, Query]:
     found |= {
         "green_fare_summary": _mart("fare_summary", "green"),
         "green_top_revenue_zones": _summary("top_revenue_zones", "green"),
+        "green_trip_duration_summary": _mart("trip_duration_summary", "green"),
+        "green_tip_percentage_distribution": _summary("tip_percentage_distribution", "green"),
         "fhv_trips_by_hour": _mart("trips_by_hour", "fhv"),
         "fhv_trip_duration_summary": _mart("trip_duration_summary", "fhv"),
         "fhv_zone_trip_volume": _summary("zone_trip_volume", "fhv"),
         "fhv_zone_net_flow": _summary("zone_net_flow", "fhv"),
+        "fhv_top_corridors": _summary("top_corridors", "fhv"),
+        "fhv_busiest_pickup_zones": _summary("busiest_pickup_zones", "fhv"),
+        "fhv_inter_borough_flow": _summary("inter_borough_flow", "fhv"),
         "fhvhv_trips_by_date": _mart("trips_by_date", "fhvhv"),
         "fhvhv_monthly_volume_trend": _summary("monthly_volume_trend", "fhvhv"),
         "fhvhv_fare_anomaly_detection": _summary("fare_anomaly_detection", "fhvhv"),
+        "fhvhv_hourly_demand_profile": _summary("hourly_demand_profile", "fhvhv"),
+        "fhvhv_mom_trip_volume": _summary("mom_trip_volume", "fhvhv"),
+        "fhvhv_top_corridors": _summary("top_corridors", "fhvhv"),
+        "fhvhv_zone_revenue_per_mile": _summary("zone_revenue_per_mile", "fhvhv"),
+        "fhvhv_seasonal_index": _summary("seasonal_decomposition_proxy", "fhvhv"),
+        "fhvhv_distance_distribution_by_borough": _summary("distance_distribution_by_borough", "fhvhv"),
+        # A baseline early enough that all periods occur.
+        "early_baseline_recovery": _summary("covid_impact_recovery", baseline_year=1999),
+        # The same from the trips where the stages use a grain.
+        "direct_trips_by_hour": _mart("trips_by_hour", direct=True),
+        "direct_trips_by_borough": _mart("trips_by_borough", direct=True),
+        "direct_top_revenue_zones": _summary("top_revenue_zones", direct=True),
+        "direct_fare_by_distance_bucket": _summary("fare_by_distance_bucket", direct=True),
     }
     return {name: _steady(query, DIGITS.get(name, {})) for name, query in found.items()}

@@ -46,6 +46,17 @@ green_top_revenue_zones           | avg_fare avg_tip | total_revenue
 fhv_trip_duration_summary         | avg_duration_mins |
 fhvhv_trips_by_date               | avg_fare avg_distance avg_duration_mins |
 fhvhv_monthly_volume_trend        | avg_fare |
+green_trip_duration_summary       | avg_duration_mins |
+green_tip_percentage_distribution | avg_tip_pct |
+fhvhv_hourly_demand_profile       | avg_trips avg_fare |
+fhvhv_top_corridors               | avg_fare avg_distance |
+fhvhv_zone_revenue_per_mile       | avg_fare_per_mile avg_fare avg_distance |
+fhvhv_seasonal_index              | avg_monthly_trips |
+fhvhv_distance_distribution_by_borough | avg_distance |
+direct_trips_by_hour              | avg_fare avg_distance | total_revenue
+direct_trips_by_borough           | avg_fare avg_distance | total_revenue
+direct_top_revenue_zones          | avg_fare avg_tip | total_revenue
+direct_fare_by_distance_bucket    | avg_fare avg_tip avg_total avg_duration_mins |
 """
 
 

@@ -10,10 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tripmarts.operators.bronze import to_bronze
-from tripmarts.operators.silver import refine, to_silver
+from tripmarts.operators.silver import to_silver
 from tripmarts.session import pin_session_zone
 from tripmarts.settings import Refinement
-from tripmarts.sources.zones import Zones
+from tripmarts.sources.zones import Zones, checked_zones
 
 AIRPORTS = (1, 13, 18)
 REFINEMENT = Refinement(airport_ids=AIRPORTS)
@@ -24,6 +24,7 @@ _SHARED = """
     CAST((l_quantity - 1) * 900 AS BIGINT) AS seconds,
     CAST(l_suppkey % 7 AS DOUBLE) AS passengers,
     CAST(l_partkey * 13 % 2500 AS DOUBLE) / 10 AS miles,
+    CAST(l_partkey * 13 % 2500 * 100 + l_suppkey % 100 AS DOUBLE) / 1000 AS fine_miles,
     CAST(nullif(o_custkey % 28, 27) AS INT) AS origin,
     CAST(l_suppkey % 27 AS INT) AS destination,
     l_linenumber AS payment,
@@ -78,7 +79,7 @@ RAW_COLUMNS = {
         "dropoff_datetime": _END,
         "PULocationID": "origin",
         "DOLocationID": "destination",
-        "trip_miles": "miles",
+        "trip_miles": "fine_miles",
         "trip_time": "seconds",
         "base_passenger_fare": "fare",
         "tips": "fare * discount * 3",
@@ -122,11 +123,10 @@ def bronze(spark: SparkSession, sf_dir: str, kind: str = "yellow") -> DataFrame:
     return to_bronze(raw_trips(spark, sf_dir, kind), kind)
 
 
-def silver(
-    spark: SparkSession, sf_dir: str, kind: str = "yellow", named: bool = True
-) -> DataFrame:
-    """Silver trips; `named=False` leaves out the zone joins for queries without places."""
-    rows = bronze(spark, sf_dir, kind)
-    if not named:
-        return refine(rows, kind, REFINEMENT)
-    return to_silver(rows, Zones(zone_rows(spark, sf_dir)), kind, REFINEMENT)
+def zones(spark: SparkSession, sf_dir: str) -> Zones:
+    """The zones, counted and with their key checked, as for a lookup file."""
+    return checked_zones(zone_rows(spark, sf_dir))
+
+
+def silver(spark: SparkSession, sf_dir: str, kind: str = "yellow") -> DataFrame:
+    return to_silver(bronze(spark, sf_dir, kind), zones(spark, sf_dir), kind, REFINEMENT)

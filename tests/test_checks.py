@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import os
+import re
 
 import duckdb
 import pytest
@@ -11,11 +12,14 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
 from checks import catalog, oracle, trips
+from tripmarts.sources import zones
 
 SF_DIR = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 QUERIES = catalog.queries()
 ORACLE = oracle.queries()
+# Queries with quantiles: they count values apart from the measures.
+RANKED = re.compile("fare_summary|duration_summary|distance_distribution|anomaly")
 TYPES = {
     "int": "INTEGER",
     "bigint": "BIGINT",
@@ -76,10 +80,24 @@ def test_plans_stay_in_the_engine(spark, name):
     for unwanted in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin", "RoundRobin"):
         assert unwanted not in plan
     assert "l_shipdate" not in plan and "o_totalprice" not in plan
-    if "anomaly" not in name:
+    if not RANKED.search(name):
         assert plan.count("FileScan parquet [l_orderkey") == 1
 
 
+@pytest.mark.parametrize("name", ["gold_fare_summary", "fhvhv_distance_distribution_by_borough"])
+def test_quantiles_scan_the_trips_once_beside_the_measures(spark, name):
+    """The levels share one count of the values, which reads the keys and the value only."""
+    frame = QUERIES[name](spark, SF_DIR)
+    frame.collect()
+    plan = frame._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("FileScan parquet [l_orderkey") == 2 and "ReusedExchange" in plan
+
+
+def test_payment_trend_counts_once(spark):
+    plan = QUERIES["payment_type_trend"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(pickup_year") <= 1 and "Window" not in plan
+
+
 def test_anomalies_share_one_count_of_the_trips(spark):
     frame = QUERIES["fare_anomaly_detection"](spark, SF_DIR)
     frame.collect()
@@ -102,7 +120,7 @@ def test_counts_of_the_mapping(spark):
     assert silver.filter("pickup_zone IS NULL").count() == 265
 
 
-def test_a_hot_order_gives_the_same_answer(spark, tmp_path):
+def test_a_hot_order_gives_the_same_answer(spark, tmp_path, monkeypatch):
     """A third of all line items on one order, joined by shuffle: same rows as by broadcast."""
     for name in ("orders", "nation", "region"):
         trips.table(spark, SF_DIR, name).write.parquet(f"{tmp_path}/{name}.parquet")
@@ -113,12 +131,14 @@ def test_a_hot_order_gives_the_same_answer(spark, tmp_path):
         query = QUERIES[name]
         plain = in_order(query(spark, str(tmp_path)).collect(), query(spark, str(tmp_path)).columns)
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        monkeypatch.setattr(zones, "BROADCAST_ROWS", 0)
         try:
             frame = query(spark, str(tmp_path))
             assert "BroadcastHashJoin" not in frame._jdf.queryExecution().executedPlan().toString()
             shuffled = in_order(frame.collect(), frame.columns)
         finally:
             spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+            monkeypatch.undo()
         assert len(plain) == len(shuffled)
         for row, other in zip(plain, shuffled):
             assert same(row, other, rel=1e-9), (row, other)

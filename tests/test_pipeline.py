@@ -11,7 +11,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tripmarts import cli
-from tripmarts.contracts import KINDS
+from tripmarts.contracts import KINDS, BrokenContract
 from tripmarts.operators import marts
 from tripmarts.plans import stages
 from tripmarts.plans.registry import EDGES, PROFILE, SILVER, SUMMARIES
@@ -200,6 +200,28 @@ def test_nothing_is_written_if_a_file_is_missing(scene):
     assert scene.ingest(MonthRange(2022, 3, 2022, 4), skip_missing=True) == [(2022, 3)]
 
 
+def test_a_broken_file_stops_before_anything_is_written(scene):
+    path = month_path(scene.raw, "yellow", 2022, 2)
+    rows = scene.spark.read.parquet(month_path(scene.raw, "yellow", 2022, 1))
+    rows.withColumnRenamed("fare_amount", "fare").coalesce(1).write.mode("overwrite").parquet(path)
+    with pytest.raises(BrokenContract, match="no column fare_amount"):
+        scene.ingest()
+    with pytest.raises(AnalysisException):
+        scene.lake.read_bronze("yellow")
+
+
+def test_values_made_null_are_counted_per_file(scene, caplog):
+    rows = scene.spark.read.parquet(month_path(scene.raw, "yellow", 2022, 1))
+    far = rows.withColumn("PULocationID", F.when(F.col("fare_amount") > 20, F.lit(1e12)).otherwise(7.0))
+    far.coalesce(1).write.mode("overwrite").parquet(month_path(scene.raw, "yellow", 2022, 2))
+    expected = rows.filter("fare_amount > 20").count()
+    with caplog.at_level("WARNING"):
+        scene.ingest(MonthRange(2022, 1, 2022, 4), skip_missing=True)
+    audit = scene.lake.read_audit("yellow").filter("nulled > 0").collect()
+    assert [tuple(r) for r in audit] == [("pu_location_id", expected, 202202)]
+    assert "pu_location_id" in caplog.text and "2022-04" in caplog.text
+
+
 def test_every_kind_runs_to_the_end(scene):
     expected = {"green": 22, "fhv": 14, "fhvhv": 19}
     assert set(expected) | {"yellow"} == set(KINDS)

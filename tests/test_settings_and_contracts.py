@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from tripmarts.contracts import CONTRACTS, KINDS, contract_for
+from tripmarts.contracts import CONTRACTS, KINDS, BrokenContract, contract_for
 from tripmarts.settings import MonthRange
 
 
@@ -56,8 +56,13 @@ def test_unknown_kind():
         contract_for("rickshaw")
 
 
+REQUIRED = "tpep_pickup_datetime timestamp, tpep_dropoff_datetime timestamp_ntz, dolocationid int, fare_amount int, trip_distance float"
+
+
 def test_enforce_fills_and_types(spark):
-    raw = spark.createDataFrame([(5, "x")], "pulocationid bigint, unexpected string")
+    row = (None, None, 7, 1, 2.0, 5, "x", None)
+    schema = f"{REQUIRED}, pulocationid bigint, unexpected string, ratecodeid void"
+    raw = spark.createDataFrame([row], schema)
     rows = raw.selectExpr(*CONTRACTS["yellow"].enforce(raw))
     assert rows.columns == [f.raw for f in CONTRACTS["yellow"].fields]
     assert dict(rows.dtypes)["PULocationID"] == "int"
@@ -67,6 +72,24 @@ def test_enforce_fills_and_types(spark):
 
 
 def test_a_number_out_of_range_becomes_null(spark):
-    raw = spark.createDataFrame([(1e12,), (7.0,)], "PUlocationID double")
+    schema = "PUlocationID double, pickup_datetime timestamp, dropOff_datetime timestamp"
+    raw = spark.createDataFrame([(1e12, None, None), (7.0, None, None), (None, None, None)], schema)
     rows = raw.selectExpr(*CONTRACTS["fhv"].enforce(raw))
-    assert [r["PUlocationID"] for r in rows.collect()] == [None, 7]
+    assert [r["PUlocationID"] for r in rows.collect()] == [None, 7, None]
+    nulled = raw.agg(*CONTRACTS["fhv"].nulled(raw)).first().asDict()
+    assert nulled == {"pu_location_id": 1, "pickup_datetime": 0, "dropoff_datetime": 0}
+
+
+def test_broken_files_are_refused(spark):
+    """A renamed or retyped required column, or an optional one of another kind of value."""
+    good = f"{REQUIRED}, PULocationID int"
+    contract = CONTRACTS["yellow"]
+    contract.enforce(spark.createDataFrame([], good))
+    for broken, said in (
+        (good.replace("fare_amount", "fare"), "no column fare_amount"),
+        (good.replace("trip_distance float", "trip_distance string"), "trip_distance is string, not double"),
+        (good.replace("tpep_pickup_datetime timestamp", "tpep_pickup_datetime bigint"), "tpep_pickup_datetime is bigint"),
+        (f"{good}, tip_amount string", "tip_amount is string"),
+    ):
+        with pytest.raises(BrokenContract, match=said):
+            contract.enforce(spark.createDataFrame([], broken))

@@ -9,7 +9,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Raw column, column from Bronze on, type.
 _YELLOW = """
@@ -95,12 +97,30 @@ wav_match_flag          wav_match_flag          string
 """
 
 
+class BrokenContract(ValueError):
+    """A file that lacks a required column, or delivers a column as another kind of value."""
+
+
+# What a column of a type may be delivered as; strings may come from anything.
+_FAMILIES = {
+    "int": T.NumericType,
+    "bigint": T.NumericType,
+    "double": T.NumericType,
+    "timestamp": (T.TimestampType, T.TimestampNTZType),
+}
+
+
 @dataclass(frozen=True)
 class Field:
     raw: str
     name: str
     type: str
 
+    def accepts(self, delivered: T.DataType) -> bool:
+        """A column that is null throughout may have no type of its own."""
+        family = _FAMILIES.get(self.type)
+        return family is None or isinstance(delivered, (T.NullType, *(family if isinstance(family, tuple) else (family,))))
+
 
 @dataclass(frozen=True)
 class Contract:
@@ -120,19 +140,45 @@ class Contract:
     def enforce(self, raw: DataFrame, renamed: bool = False) -> list[str]:
         """Select expressions for the contract's columns in its types.
 
-        A column that the file lacks is a typed null, and so is a single number out of range:
-        it should not fail a whole month.
+        Refuses files that lack a required column or deliver a column as another kind of value
+        (a text for a number). An optional column that the file lacks is a typed null, and so is
+        a single number out of range, which should not fail a whole month: `nulled` counts those.
         """
-        delivered = {c.lower(): c for c in raw.columns}
+        delivered = self.delivered(raw)
         projection = []
         for f in self.fields:
-            found = delivered.get(f.raw.lower())
+            found = delivered.get(f.raw)
             source = f"`{found}`" if found else "NULL"
             name = f.name if renamed else f.raw
             projection.append(f"try_cast({source} AS {f.type}) AS `{name}`")
         return projection
 
 
+    def delivered(self, raw: DataFrame) -> dict[str, str]:
+        """The file's name of each column it has, whatever its letters' case."""
+        names = {field.name.lower(): field for field in raw.schema.fields}
+        found = {f.raw: names[f.raw.lower()] for f in self.fields if f.raw.lower() in names}
+        lacking = [f.raw for f in self.fields if f.name in self.required and f.raw not in found]
+        wrong = [
+            f"{f.raw} is {found[f.raw].dataType.simpleString()}, not {f.type}"
+            for f in self.fields
+            if f.raw in found and not f.accepts(found[f.raw].dataType)
+        ]
+        if lacking or wrong:
+            said = [f"no column {name}" for name in lacking] + wrong
+            raise BrokenContract(f"{self.kind} trips: {'; '.join(said)}")
+        return {raw_name: field.name for raw_name, field in found.items()}
+
+    def nulled(self, raw: DataFrame) -> list[Column]:
+        """For each column, how many delivered values the contract's type turns into null."""
+        delivered = self.delivered(raw)
+        return [
+            F.count_if(F.expr(f"`{delivered[f.raw]}` IS NOT NULL AND try_cast(`{delivered[f.raw]}` AS {f.type}) IS NULL")).alias(f.name)
+            for f in self.fields
+            if f.raw in delivered
+        ]
+
+
 def _contract(kind: str, table: str, required: str, rules: str) -> Contract:
     fields = tuple(Field(*line.split()) for line in table.strip().splitlines())
     return Contract(kind, fields, tuple(required.split()), tuple(rules.split()))

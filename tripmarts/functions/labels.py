@@ -27,9 +27,14 @@ PAYMENT_LABELS = {
 }
 
 
-def _steps(value: Column, steps: Sequence[tuple[float, str]], rest: str, chain=F) -> Column:
+def _steps(
+    value: Column, steps: Sequence[tuple[float, str]], rest: str, first: Column | None = None
+) -> Column:
+    """The label of the first limit above the value; `first` has cases that come before."""
+    chain = first
     for limit, label in steps:
-        chain = chain.when(value < limit, label)
+        below = value < limit
+        chain = F.when(below, label) if chain is None else chain.when(below, label)
     return chain.otherwise(rest)
 
 
@@ -55,6 +60,7 @@ def payment_label(code: Column) -> Column:
 
 def recovery_period(year: Column, month: Column, baseline_year: int) -> Column:
     """Where a month stands relative to the demand shock of the baseline year."""
+    # The labels and the months they cover.
     shock = year == baseline_year
     return (
         F.when(shock & month.between(3, 5), "Impact")

@@ -50,13 +50,19 @@ def trips_by_borough(trips: DataFrame) -> DataFrame:
     return rollup(trips, (*MONTH, "pickup_borough"), measures)
 
 
+def with_payment_label(silver: DataFrame) -> DataFrame:
+    return silver.withColumn("payment_label", payment_label(F.col("payment_type")))
+
+
+def payment_counts(silver: DataFrame) -> DataFrame:
+    """The fare mart's groups with their trips alone."""
+    return rollup(with_payment_label(silver), (*MONTH, "payment_label"), (TRIP_COUNT,))
+
+
 def fare_summary(silver: DataFrame, accuracy: int | None = None) -> DataFrame:
     """Fares and tips per payment label; codes without a label form a group of their own."""
-    paid = silver.withColumns(
-        {
-            "payment_label": payment_label(F.col("payment_type")),
-            "tip_ratio": F.try_divide("tip_amount", "fare_amount"),
-        }
+    paid = with_payment_label(silver).withColumn(
+        "tip_ratio", F.try_divide("tip_amount", "fare_amount")
     )
     measures = (
         TRIP_COUNT,

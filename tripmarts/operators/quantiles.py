@@ -1,34 +1,53 @@
-"""Discrete quantiles by counting.
+"""Discrete quantiles, exact for any doubles, by histograms refined level by level.
 
 Merging quantile sketches sends one sketch per map task and group to a single reducer, which
-on a very large input is slow exactly where a group is large. Here trips are first counted
-per group and *cell*, a fixed step of the measured value. That count combines on the map
-side and spreads even one huge group over all reducers. What is left per group is bounded by
-the value range over the step (a fare up to 500 has at most 500,001 cells), whatever the
-number of trips, so ranking it inside one window is safe.
-
-A cell reports its largest value. Values recorded in steps of 1/1000 or coarser (cents,
-hundredths of a mile, whole seconds in minutes) each have a cell of their own and the answer
-is exact; otherwise it is off by less than one step.
+on a very large input is slow exactly where a group is large, and gives an approximation. Here
+values are first counted, which combines on the map side and spreads even one huge group over all
+reducers. A double then becomes a whole number of 64 bits in the same order. The first histogram
+of a group has a bucket for each value of the top 16 bits; the bucket that holds a wanted rank is
+split by the next 16 bits, and so on. After four levels a bucket holds one value. No window ever
+sees more than 65,536 buckets of a group, whatever the number of trips or of different values.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from fractions import Fraction
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripmarts.operators.rollup import TRIPS, Measure, aggregates, partials
-
-CELLS_PER_UNIT = 1000
-
-
-def _covers(rank: Column, size: Column, point: str) -> Column:
-    """Whether `rank` of `size` values reach the share, in whole numbers: no rounding."""
-    share = Fraction(point)
-    return rank * F.lit(share.denominator) >= size * F.lit(share.numerator)
+from tripmarts.operators.rollup import TRIPS, Measure, aggregates
+
+DIGIT_BITS = 16
+LEVELS = 64 // DIGIT_BITS
+# What is asked of a group: a name, and the share as a fraction.
+POINT = ("_point", "_whole", "_part")
+
+
+def ordered_number(value: Column) -> Column:
+    """A double as a long in the same order: sign, exponent and mantissa. NaN is the largest."""
+    size = F.abs(value)
+    one = F.lit(1 << 52)
+    guess = F.greatest(F.least(F.floor(F.log2(size)), F.lit(1023)), F.lit(-1022)).cast("int")
+
+    def scaled(exponent: Column) -> Column:
+        return size / F.pow(F.lit(2.0), exponent)
+
+    # The logarithm may be rounded across a power of two.
+    off = F.when(scaled(guess) >= 2, 1).when((scaled(guess) < 1) & (guess > -1022), -1).otherwise(0)
+    exponent = guess + off
+    mantissa = scaled(exponent)
+    normal = (exponent + 1023).cast("long") * one + ((mantissa - 1) * one).cast("long")
+    number = (
+        F.when(F.isnan(value), F.lit((2047 << 52) + 1))
+        .when(size == 0, F.lit(0).cast("long"))
+        .when(size == float("inf"), F.lit(2047 << 52))
+        .when(mantissa >= 1, normal)
+        .otherwise((mantissa * one).cast("long"))
+    )
+    return F.when(value < 0, -number).otherwise(number)
 
 
 def rollup_with_quantiles(
@@ -39,10 +58,11 @@ def rollup_with_quantiles(
     points: Mapping[str, str],
     accuracy: int | None = None,
 ) -> DataFrame:
-    """Measures and quantiles of `value` per group, from one pass over the trips.
+    """Measures and quantiles of `value` per group.
 
-    `points` maps an output column to a share such as "0.95". With `accuracy` the quantiles
-    come from Spark's sketch of that accuracy instead.
+    `points` maps an output column to a share such as "0.95". The measures take one pass over
+    the trips, the quantiles another over the keys and the value alone. With `accuracy` the
+    quantiles come from Spark's sketch of that accuracy instead.
     """
     if accuracy is not None:
         sketches = [
@@ -51,48 +71,96 @@ def rollup_with_quantiles(
         ]
         return trips.groupBy(*keys).agg(*aggregates(trips, measures), *sketches)
 
-    return quantiles_of_cells(
-        trips.groupBy(*keys, _cell(value)).agg(
-            F.max(value).alias("_value"),
-            F.count(value).alias("_ranked"),
-            *partials(trips, [m.column for m in measures if m.column]),
-        ),
-        keys,
-        measures,
-        points,
-    )
+    asked = aggregates(trips, measures) or [F.count("*").alias(TRIPS)]
+    measured = trips.groupBy(*keys).agg(*asked)
+    if not measures:
+        measured = measured.drop(TRIPS)
+    counts = trips.groupBy(*keys, value).agg(F.count("*").alias(TRIPS))
+    return _beside(measured, keys, quantiles_of_counts(counts, keys, value, points))
 
 
 def quantiles_of_counts(
     counts: DataFrame, keys: Sequence[str], value: str, points: Mapping[str, str]
 ) -> DataFrame:
-    """Quantiles where trips are already counted (column `_trips`) per value."""
-    cells = counts.groupBy(*keys, _cell(value)).agg(
-        F.max(value).alias("_value"),
-        F.sum(F.when(F.col(value).isNotNull(), F.col(TRIPS)).otherwise(0)).alias("_ranked"),
-        F.sum(TRIPS).alias(TRIPS),
+    """Quantiles where trips are already counted (column `_trips`) per value.
+
+    Nulls have no rank; a group of nulls alone has no row. Without keys there is always one row.
+    """
+    # Never null, so that no level adds a filter of its own and all can share the counts.
+    number = F.coalesce(ordered_number(F.col(value)), F.lit(0))
+    known = counts.filter(F.col(value).isNotNull()).select(
+        *keys, F.col(value).alias("_value"), number.alias("_number"), TRIPS
     )
-    return quantiles_of_cells(cells, keys, (), points)
+    found = None
+    for level in range(LEVELS):
+        found = _refined(known, keys, points, level, found)
+    reached = [F.min(F.when(F.col("_point") == name, F.col("_value"))).alias(name) for name in points]
+    return found.groupBy(*keys).agg(*reached)
+
 
+def _refined(
+    known: DataFrame, keys: Sequence[str], points: Mapping[str, str], level: int, above: DataFrame | None
+) -> DataFrame:
+    """For each group and point, the bucket of this level that holds its rank.
 
-def _cell(value: str) -> Column:
-    return F.floor(F.col(value) * CELLS_PER_UNIT).alias("_cell")
+    Rows hold the bucket as the leading bits of the number, the trips before it (`_before`) and
+    in the group (`_size`), and the smallest value in it.
+    """
+    buckets = _buckets(known, keys, level, above)
+    if above is None:
+        group = [*keys]
+        start, size = F.lit(0), F.sum("_n").over(Window.partitionBy(*keys))
+    else:
+        group = [*keys, *POINT]
+        start, size = F.col("_before"), F.col("_size")
+    order = Window.partitionBy(*group).orderBy("_bucket")
+    so_far = F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranked = buckets.withColumns({"_size": size, "_reached": start + so_far})
+    if above is None:
+        wanted = F.array(*[_point(name, share) for name, share in points.items()])
+        ranked = ranked.withColumn("_p", F.explode(wanted)).select("*", "_p.*").drop("_p")
+    # In whole numbers, so no rank is rounded: rank / size >= part / whole.
+    needed = F.col("_size") * F.col("_part")
+    holds = (F.col("_reached") * F.col("_whole") >= needed) & (
+        (F.col("_reached") - F.col("_n")) * F.col("_whole") < needed
+    )
+    return ranked.filter(holds).select(
+        *keys, *POINT, (F.col("_reached") - F.col("_n")).alias("_before"),
+        "_size", "_bucket", "_value",
+    )
 
 
-def quantiles_of_cells(
-    cells: DataFrame, keys: Sequence[str], measures: Sequence[Measure], points: Mapping[str, str]
-) -> DataFrame:
-    group = Window.partitionBy(*keys).orderBy("_cell")
-    up_to_here = group.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    ranked = cells.withColumns(
-        {
-            "_rank": F.sum("_ranked").over(up_to_here),
-            "_size": F.sum("_ranked").over(whole),
-        }
+def _buckets(known: DataFrame, keys: Sequence[str], level: int, above: DataFrame | None) -> DataFrame:
+    """The histogram of this level: of whole groups, or within the buckets found `above`."""
+    bucket = F.shiftright("_number", DIGIT_BITS * (LEVELS - 1 - level)).alias("_bucket")
+    counted = F.sum(TRIPS).alias("_n"), F.min("_value").alias("_value")
+    if above is None:
+        return known.groupBy(*keys, bucket).agg(*counted)
+    carried = [*POINT, "_before", "_size"]
+    upper = above.select(
+        *[F.col(k).alias(f"_of_{k}") for k in keys], *carried, F.col("_bucket").alias("_upper")
+    )
+    inside = F.shiftright("_number", DIGIT_BITS * (LEVELS - level)) == F.col("_upper")
+    same = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys]
+    found = known.join(upper, reduce(Column.__and__, same, inside))
+    return found.groupBy(*keys, *carried, bucket).agg(*counted)
+
+
+def _point(name: str, share: str) -> Column:
+    part = Fraction(share)
+    if not 0 < part <= 1:
+        raise ValueError(f"a share must be above 0 and at most 1, not {share}")
+    return F.struct(
+        F.lit(name).alias("_point"),
+        F.lit(part.denominator).cast("long").alias("_whole"),
+        F.lit(part.numerator).cast("long").alias("_part"),
     )
-    reached = [
-        F.min(F.when(_covers(F.col("_rank"), F.col("_size"), share), F.col("_value"))).alias(name)
-        for name, share in points.items()
-    ]
-    return ranked.groupBy(*keys).agg(*aggregates(ranked, measures), *reached)
+
+
+def _beside(measured: DataFrame, keys: Sequence[str], found: DataFrame) -> DataFrame:
+    """Measures with the quantiles of their group, null for a group without values."""
+    if not keys:
+        return measured.join(found, F.lit(True), "left")
+    named = found.withColumnsRenamed({k: f"_of_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys]
+    return measured.join(named, reduce(Column.__and__, same), "left").drop(*[f"_of_{k}" for k in keys])

@@ -50,7 +50,7 @@ def top_revenue_zones(trips: DataFrame, top_n: int = 20) -> DataFrame:
     return top(rollup(trips, zones, measures), top_n, "total_revenue", zones)
 
 
-def fare_anomaly_detection(silver: DataFrame, accuracy: int | None = None) -> DataFrame:
+def fare_anomaly_detection(silver: DataFrame) -> DataFrame:
     """Per month, trips whose fare lies beyond 1.5 interquartile ranges of the quartiles.
 
     Trips are counted once per month and fare. Both the overall quartiles and the flags come
@@ -58,14 +58,7 @@ def fare_anomaly_detection(silver: DataFrame, accuracy: int | None = None) -> Da
     scalar subquery.
     """
     counts = silver.groupBy(*MONTH, "fare_amount").agg(F.count("*").alias(TRIPS))
-    if accuracy is None:
-        shares = {"q1": "0.25", "q3": "0.75"}
-        quartiles = quantiles_of_counts(counts, (), "fare_amount", shares)
-    else:
-        at = F.percentile_approx("fare_amount", [0.25, 0.75], accuracy)
-        quartiles = silver.agg(at.alias("at")).select(
-            F.col("at")[0].alias("q1"), F.col("at")[1].alias("q3")
-        )
+    quartiles = quantiles_of_counts(counts, (), "fare_amount", {"q1": "0.25", "q3": "0.75"})
     reach = (F.col("q3") - F.col("q1")) * 1.5
     fences = quartiles.select(
         F.struct((F.col("q1") - reach).alias("low"), (F.col("q3") + reach).alias("high"))

@@ -9,7 +9,7 @@ from contextlib import contextmanager
 from functools import partial
 
 from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from tripmarts.contracts import contract_for
 from tripmarts.operators.bronze import to_bronze
@@ -73,11 +73,15 @@ def ingest(
 ) -> list[tuple[int, int]]:
     """Raw files to Bronze; returns the months stored.
 
-    All files are looked up before the first is written, and each is stored by a map-only
-    job of its own, so a run that stops half-way can simply be repeated.
+    All files are looked up and held against the contract before the first is written, and each
+    is stored by a map-only job of its own, so a run that stops half-way can simply be repeated.
+    Values that the contract's types turned into null are counted per file by the same job, logged
+    and kept in the lake (`read_audit`). Months without a file are logged; they are those of the
+    range that are not returned.
     """
     pin_session_zone(lake.spark)
-    found = list(scan_months(lake.spark, raw_root, kind, months, skip_missing))
+    watch = {month: Observation() for month in months}
+    found = list(scan_months(lake.spark, raw_root, kind, months, skip_missing, watch))
     if not found:
         raise FileNotFoundError(f"no {kind} file under {raw_root} for {months}")
     log.info("bronze: %s, %d files", kind, len(found))
@@ -88,6 +92,11 @@ def ingest(
             for month, rows in found
         ],
     )
+    for month, _ in found:
+        nulled = {name: count for name, count in watch[month].get.items() if count}
+        if nulled:
+            log.warning("bronze: %s %d-%02d, values made null: %s", kind, *month, nulled)
+        lake.write_audit(kind, month, watch[month].get)
     return [month for month, _ in found]
 
 

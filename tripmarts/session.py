@@ -25,11 +25,6 @@ def get_session(app_name: str, master: str | None = None, **conf: str) -> SparkS
     """
     settings = {
         "spark.sql.session.timeZone": SESSION_ZONE,
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.parquet.mergeSchema": "false",
-        "spark.sql.parquet.filterPushdown": "true",
         # Noting the call site of every column expression costs several round trips to the JVM.
         "spark.python.sql.dataFrameDebugging.enabled": "false",
     }

@@ -18,6 +18,7 @@ AIRPORT_IDS = (1, 132, 138)
 class Quality:
     """Inclusive limits a trip must meet to enter Silver."""
 
+    # Fixed values.
     distance: tuple[float, float] = (0.01, 200.0)
     fare: tuple[float, float] = (0.0, 500.0)
     duration_secs: tuple[int, int] = (60, 43_200)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,6 +23,7 @@ class Lake:
         silver/<kind>/pickup_year=Y/pickup_month=M
         gold/<mart>/<kind>/pickup_year=Y/pickup_month=M
         analytics/<domain>/<name>/trip_type=<kind>
+        audit/<kind>/source_month=YYYYMM
     """
 
     spark: SparkSession
@@ -83,6 +85,17 @@ class Lake:
         path = f"{self.bronze_path(kind)}/{SOURCE_MONTH}={year}{month:02d}"
         _save(rows, path, BRONZE_PARTITIONS, mode, dynamic=False, rebalance=rebalance)
 
+    def write_audit(
+        self, kind: str, source_month: tuple[int, int], nulled: Mapping[str, int]
+    ) -> None:
+        """How many values of each column of a source file became null: one small file."""
+        rows = self.spark.createDataFrame([*nulled.items()], "column_name string, nulled bigint")
+        path = f"{self._path('audit', kind)}/{SOURCE_MONTH}={source_month[0]}{source_month[1]:02d}"
+        _save(rows.coalesce(1), path, (), "overwrite", dynamic=False)
+
+    def read_audit(self, kind: str) -> DataFrame:
+        return self.spark.read.parquet(self._path("audit", kind))
+
     def write_silver(
         self,
         rows: DataFrame,

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import logging
+from collections.abc import Iterable, Mapping
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from tripmarts.contracts import contract_for
 from tripmarts.settings import MonthRange
 
+log = logging.getLogger(__name__)
+
 SOURCE_FILE = "_source_file"
 
 
@@ -22,13 +25,16 @@ def month_paths(raw_root: str, kind: str, months: MonthRange) -> list[str]:
     return [month_path(raw_root, kind, year, month) for year, month in months]
 
 
-def scan_file(spark: SparkSession, kind: str, path: str) -> DataFrame:
+def scan_file(
+    spark: SparkSession, kind: str, path: str, watch: Observation | None = None
+) -> DataFrame:
     """One month's file under the kind's contract, with the file each row came from.
 
     The file keeps its own physical types and the contract is applied as a projection:
     published months disagree on types (a count is an integer in one month and a double in
     the next), which a schema imposed on the scan itself cannot read. The casts are columns
-    of the same scan, so pruning still reaches it.
+    of the same scan, so pruning still reaches it. `watch` gets, once the rows are written, how
+    many values of each column the contract's type turned into null.
     """
     contract = contract_for(kind)
     raw = (
@@ -36,7 +42,10 @@ def scan_file(spark: SparkSession, kind: str, path: str) -> DataFrame:
         .option("pathGlobFilter", "*.parquet")
         .parquet(path)
     )
-    return raw.selectExpr(*contract.enforce(raw), f"_metadata.file_path AS {SOURCE_FILE}")
+    casts = contract.enforce(raw)
+    if watch is not None:
+        raw = raw.observe(watch, *contract.nulled(raw))
+    return raw.selectExpr(*casts, f"_metadata.file_path AS {SOURCE_FILE}")
 
 
 def scan_months(
@@ -45,15 +54,19 @@ def scan_months(
     kind: str,
     months: MonthRange,
     skip_missing: bool = False,
+    watch: Mapping[tuple[int, int], Observation] | None = None,
 ) -> Iterable[tuple[tuple[int, int], DataFrame]]:
-    """((year, month), rows) per month. A missing file is an error unless told otherwise."""
+    """((year, month), rows) per month. A missing file is an error unless told otherwise; then its
+    month is logged, and is not among those that come back."""
     contract_for(kind)
     for year, month in months:
+        path = month_path(raw_root, kind, year, month)
         try:
-            yield (year, month), scan_file(spark, kind, month_path(raw_root, kind, year, month))
+            yield (year, month), scan_file(spark, kind, path, (watch or {}).get((year, month)))
         except AnalysisException as error:
             if not (skip_missing and error.getCondition() == "PATH_NOT_FOUND"):
                 raise
+            log.warning("skipped, no such file: %s", path)
 
 
 def read_trip_data(
