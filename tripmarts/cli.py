@@ -11,8 +11,9 @@ import os
 from collections.abc import Sequence
 
 from tripmarts.contracts import KINDS
+from tripmarts.operators.marts import marts_of
 from tripmarts.plans import stages
-from tripmarts.plans.registry import DOMAINS
+from tripmarts.plans.registry import DOMAINS, SUMMARIES
 from tripmarts.session import get_session
 from tripmarts.settings import MonthRange, default_months
 from tripmarts.sources.lake import MODES, Lake
@@ -52,12 +53,16 @@ def build_parser() -> argparse.ArgumentParser:
     module = argparse.ArgumentParser(add_help=False)
     module.add_argument("--module", choices=("all", *DOMAINS), default="all")
 
+    tables = argparse.ArgumentParser(add_help=False)
+    tables.add_argument("--catalog", metavar="NAMESPACE",
+                        help="register what was written as tables of this namespace")
+
     parser = argparse.ArgumentParser(prog="tripmarts")
     commands = parser.add_subparsers(dest="command", required=True)
     commands.add_parser("ingest", parents=[shared, span, mode, files])
-    commands.add_parser("transform", parents=[shared, span, mode, gold])
-    commands.add_parser("analytics", parents=[shared, module])
-    everything = commands.add_parser("run", parents=[shared, span, mode, files, gold, module])
+    commands.add_parser("transform", parents=[shared, span, mode, gold, tables])
+    commands.add_parser("analytics", parents=[shared, module, tables])
+    everything = commands.add_parser("run", parents=[shared, span, mode, files, gold, module, tables])
     everything.add_argument("--stage", choices=("all", *STAGES), default="all")
     return parser
 
@@ -91,8 +96,17 @@ def execute(args: argparse.Namespace, lake: Lake) -> None:
             accuracy=args.accuracy,
             rebalance=args.rebalance,
         )
+        if args.catalog:
+            lake.register(args.catalog, f"silver_{kind}", lake.silver_path(kind))
+            for mart in () if args.skip_gold else marts_of(kind):
+                lake.register(args.catalog, f"{mart}_{kind}", lake.mart_path(mart, kind))
     if "analytics" in planned:
-        stages.analyse(lake, kind, None if args.module == "all" else args.module)
+        written = stages.analyse(lake, kind, None if args.module == "all" else args.module)
+        if args.catalog:
+            for name in written:
+                output = SUMMARIES[name].output_name()
+                path = lake.summary_path(SUMMARIES[name].domain, output, kind)
+                lake.register(args.catalog, f"{output}_{kind}", path)
 
 
 def main(argv: Sequence[str] | None = None) -> None:

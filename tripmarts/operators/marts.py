@@ -93,6 +93,12 @@ SLOT_MARTS: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
+def marts_of(kind: str) -> tuple[str, ...]:
+    """The marts that the kind supports."""
+    fares = ("fare_summary",) if contract_for(kind).has_payments else ()
+    return (*SLOT_MARTS, "trip_duration_summary", *fares)
+
+
 def build_marts(
     silver: DataFrame, kind: str, slots: DataFrame | None = None, accuracy: int | None = None
 ) -> dict[str, DataFrame]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
@@ -19,7 +20,7 @@ from tripmarts.plans.grains import edge_grain, profile_grain
 from tripmarts.plans.registry import EDGES, MARTS, PROFILE, SILVER, SUMMARIES, Summary
 from tripmarts.session import pin_session_zone
 from tripmarts.settings import MonthRange, Refinement
-from tripmarts.sources.lake import LOCAL_PARTITIONS, Lake
+from tripmarts.sources.lake import LOCAL_PARTITIONS, Lake, remove
 from tripmarts.sources.raw import scan_months
 from tripmarts.sources.zones import load_zone_lookup
 
@@ -49,11 +50,18 @@ def one_then_others(spark: SparkSession, jobs: Iterable[Callable[[], None]]) ->
 def held(rows: DataFrame) -> Iterator[DataFrame]:
     """Keep a small pre-aggregate while several results are built from it.
 
-    With a checkpoint folder it is stored there, out of reach of a lost executor. Otherwise
-    it is cached, and a block lost with its executor is computed again from the trips.
+    With a checkpoint folder it is stored there, out of reach of a lost executor, and removed at
+    the end. Otherwise it is cached, and a block lost with its executor is computed again from the
+    trips.
     """
-    if rows.sparkSession.sparkContext.getCheckpointDir():
-        yield rows.checkpoint()
+    folder = rows.sparkSession.sparkContext.getCheckpointDir()
+    if folder:
+        path = f"{folder}/held-{uuid.uuid4().hex}"
+        rows.write.parquet(path)
+        try:
+            yield rows.sparkSession.read.schema(rows.schema).parquet(path)
+        finally:
+            remove(rows.sparkSession, path)
         return
     rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -114,19 +122,22 @@ def transform(
     """Bronze to Silver to Gold: everything, or only the given *local* months.
 
     A local month reaches into the neighbouring month of the raw clock, so the Bronze range
-    is one month wider on both sides. Marts are always replaced, never added to: a mart row
-    is right only if it covers its whole month.
+    is one month wider on both sides. Layers are replaced month by month, so a run that stops
+    leaves each month old or new; then months that have no trips any more are removed. Marts are
+    always replaced, never added to: a mart row is right only if it covers its whole month.
     """
     contract_for(kind)
     pin_session_zone(lake.spark)
-    some_months = months is not None
     zones = load_zone_lookup(lake.spark, zone_lookup)
     bronze = lake.read_bronze(kind, months.widened() if months else None)
     silver = to_silver(bronze, zones, kind, refinement)
     if months:
         silver = silver.filter(months.covers(*LOCAL_PARTITIONS))
     log.info("silver: %s", kind)
-    lake.write_silver(silver, kind, mode, some_months, rebalance)
+    lake.write_silver(silver, kind, mode, rebalance)
+    left = lake.months_of(silver)
+    if mode == "overwrite":
+        lake.drop_months(lake.silver_path(kind), months, left)
 
     if not skip_gold:
         stored = lake.read_silver(kind, months)
@@ -136,10 +147,13 @@ def transform(
             one_then_others(
                 lake.spark,
                 [
-                    partial(lake.write_mart, rows, mart, kind, some_months)
+                    partial(lake.write_mart, rows, mart, kind)
                     for mart, rows in marts.items()
                 ],
             )
+        if mode == "overwrite":
+            for mart in marts:
+                lake.drop_months(lake.mart_path(mart, kind), months, left)
 
 
 def analyse(

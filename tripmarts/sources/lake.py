@@ -101,27 +101,40 @@ class Lake:
         rows: DataFrame,
         kind: str,
         mode: str = "overwrite",
-        only_given_months: bool = False,
         rebalance: bool = False,
     ) -> None:
         """Map-only: a task's rows come from one Bronze split, so from one or two months.
 
-        `only_given_months` keeps the months that `rows` do not contain.
+        Replaces the months that `rows` contain and keeps the others.
         """
-        path = self.silver_path(kind)
-        _save(rows, path, LOCAL_PARTITIONS, mode, only_given_months, rebalance)
+        _save(rows, self.silver_path(kind), LOCAL_PARTITIONS, mode, True, rebalance)
 
     def write_mart(
         self,
         rows: DataFrame,
         mart: str,
         kind: str,
-        only_given_months: bool = False,
         mode: str = "overwrite",
     ) -> None:
         in_order = rows.sortWithinPartitions(*LOCAL_PARTITIONS, *_other_keys(rows))
         path = self.mart_path(mart, kind)
-        _save(in_order, path, LOCAL_PARTITIONS, mode, dynamic=only_given_months)
+        _save(in_order, path, LOCAL_PARTITIONS, mode, dynamic=True)
+
+    # -- months without trips --------------------------------------------------------------
+
+    def months_of(self, rows: DataFrame) -> set[tuple[int, int]]:
+        """The local months of some trips: a row for each comes back."""
+        return {tuple(row) for row in rows.select(*LOCAL_PARTITIONS).distinct().collect()}
+
+    def drop_months(
+        self, path: str, months: MonthRange | None, left: set[tuple[int, int]]
+    ) -> list[tuple[int, int]]:
+        """Remove the stored months, of the range or of all, that are not among those `left`."""
+        stored = self.months_of(self._read(path, LOCAL_PARTITIONS, months))
+        gone = sorted(stored - left)
+        for year, month in gone:
+            remove(self.spark, f"{path}/{LOCAL_PARTITIONS[0]}={year}/{LOCAL_PARTITIONS[1]}={month}")
+        return gone
 
     def write_summary(
         self, rows: DataFrame, domain: str, name: str, kind: str, order: tuple[Column, ...] = ()
@@ -146,6 +159,12 @@ class Lake:
         return name
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store the path names."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def _other_keys(mart: DataFrame) -> list[str]:
     keys = ("pickup_date", "pickup_hour", "pickup_borough", "payment_label")
     return [key for key in keys if key in mart.columns]
