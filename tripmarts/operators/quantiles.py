@@ -75,8 +75,8 @@ def rollup_with_quantiles(
     measured = trips.groupBy(*keys).agg(*asked)
     if not measures:
         measured = measured.drop(TRIPS)
-    counts = trips.groupBy(*keys, value).agg(F.count("*").alias(TRIPS))
-    return _beside(measured, keys, quantiles_of_counts(counts, keys, value, points))
+    known = _numbered(trips, keys, value, F.count("*"))
+    return _beside(measured, keys, _located(known, keys, points))
 
 
 def quantiles_of_counts(
@@ -86,11 +86,21 @@ def quantiles_of_counts(
 
     Nulls have no rank; a group of nulls alone has no row. Without keys there is always one row.
     """
-    # Never null, so that no level adds a filter of its own and all can share the counts.
+    return _located(_numbered(counts, keys, value, F.sum(TRIPS)), keys, points)
+
+
+def _numbered(rows: DataFrame, keys: Sequence[str], value: str, trips: Column) -> DataFrame:
+    """How many trips have each value, with its ordered number, in each group.
+
+    All levels share this count: both are keys, which none of them can leave out, and the number
+    is never null, so that none adds a filter of its own.
+    """
     number = F.coalesce(ordered_number(F.col(value)), F.lit(0))
-    known = counts.filter(F.col(value).isNotNull()).select(
-        *keys, F.col(value).alias("_value"), number.alias("_number"), TRIPS
-    )
+    known = rows.filter(F.col(value).isNotNull())
+    return known.groupBy(*keys, F.col(value).alias("_value"), number.alias("_number")).agg(trips.alias(TRIPS))
+
+
+def _located(known: DataFrame, keys: Sequence[str], points: Mapping[str, str]) -> DataFrame:
     found = None
     for level in range(LEVELS):
         found = _refined(known, keys, points, level, found)
