@@ -12,6 +12,7 @@ from __future__ import annotations
 import base64
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from hashlib import sha256
 
 import numpy as np
 import public_tokenizers
@@ -24,10 +25,10 @@ from tripmarts.llm.common import table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 # Words, and ids of words, that a worker remembers; beyond either it starts anew.
-WORDS_REMEMBERED = 400_000
-IDS_REMEMBERED = 8_000_000
+WORDS_REMEMBERED = 300_000
+IDS_REMEMBERED = 4_000_000
 # Characters of text whose new words are merged at a time.
-SLICE = 16 << 20
+SLICE = 8 << 20
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -218,10 +219,11 @@ def codec(path: str, pattern: str) -> Codec:
     return Codec(path, pattern)
 
 
-def slices(texts: list[str]) -> Iterator[list[str]]:
-    """The texts in order, in lists of about SLICE characters; a longer text is a list of its own."""
+def slices(texts: pa.Array) -> Iterator[list[str]]:
+    """The texts in order, null ones empty, in lists of about SLICE characters or of one longer text."""
     held, size = [], 0
-    for text in texts:
+    for item in texts:
+        text = item.as_py() or ""
         held.append(text)
         size += len(text)
         if size >= SLICE:
@@ -243,7 +245,7 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str = public_token
         coder = codec(path, pattern)
         for batch in batches:
             at = 0
-            for texts in slices([t or "" for t in batch.column(1).to_pylist()]):
+            for texts in slices(batch.column(1)):
                 ids = pa.array(coder.encode(texts), pa.binary())
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(at, len(texts)), ids], names=["doc_id", "ids"]
@@ -267,13 +269,32 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids binary, decoded binary")
 
 
-def digests(docs: DataFrame) -> DataFrame:
-    """Encoded and decoded, and the digests of both."""
-    return decode(encode(docs)).select(
-        "doc_id",
-        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
+def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
+    """Encodes each text, decodes its ids, and keeps the digests of both.
+
+    Both ways in one pass, so that a task has one Python worker with one vocabulary.
+    """
+    path = path or public_tokenizers.path(VOCABULARY)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = codec(path, public_tokenizers.PATTERN)
+        for batch in batches:
+            at = 0
+            for texts in slices(batch.column(1)):
+                encoded = coder.encode(texts)
+                columns = (
+                    pa.array([len(ids) // 4 for ids in encoded], pa.int64()),
+                    pa.array([sha256(ids).hexdigest() for ids in encoded], pa.string()),
+                    pa.array([sha256(coder.decode(ids)).hexdigest() for ids in encoded], pa.string()),
+                )
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(at, len(texts)), *columns],
+                    names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+                )
+                at += len(texts)
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     )
 
 
