@@ -49,6 +49,45 @@ def test_bad_lines_go_and_clean_documents_stay(spark):
     assert not found[3].quality.kept and not found[4].quality.kept
 
 
+LINES = {
+    "hi": "यह एक साफ़ वाक्य है जो किसी समाचार लेख से लिया गया है।",
+    "ur": "یہ ایک صاف جملہ ہے جو کسی خبر کے مضمون سے لیا گیا ہے۔",
+    "ar": "هل هذه جملة نظيفة مأخوذة من مقال إخباري طويل؟",
+    "zh": "这 是 一 句 干 净 的 话。",
+    "ja": "「これは きれいな 文 です か？」",
+    "zh2": "他 们 说 这 是 真 的！",
+    "am": "ይህ ከዜና ጽሑፍ የተወሰደ ንጹህ ዓረፍተ ነገር ነው።",
+    "hy": "Սա մաքուր նախադասություն է լուրերից։",
+    "my": "ဤသည် သန့်ရှင်းသော စာကြောင်း ဖြစ်သည်။",
+    "km": "នេះ ជា ប្រយោគ ស្អាត មួយ ។",
+    "el": "Είναι αυτή μια καθαρή πρόταση\u037e",
+    "fr": "Elle a dit « bonjour » puis il a dit « bonsoir » et tous sont partis.",
+    "fr2": "Il a répondu : « Nous viendrons demain matin. »",
+    "de": "Er sagte: „Wir kommen morgen.“",
+    "ca": "El col·legi i la novel·la són a la ciutat.",
+    "th": "นี่คือประโยคที่สะอาดซึ่งนำมาจากบทความข่าวยาวเรื่องหนึ่งและไม่มีเครื่องหมายจบประโยค",
+}
+
+
+@pytest.mark.parametrize("name", sorted(LINES))
+def test_clean_documents_of_each_script_stay(spark, name):
+    """A number after each second word, so that no passage repeats."""
+    pairs = re.findall(r"\S+(?: \S+)?", LINES[name])
+    lines = [f"{i} " + "".join(f"{pair} {i}x{k} " for k, pair in enumerate(pairs[:-1])) + pairs[-1] for i in range(12)]
+    if name == "th":
+        lines = [LINES["th"] * 2]
+    found = quality.line_first(frame(spark, [(1, "\n".join(lines), name, "s", 0)])).first().quality
+    assert found.n_bad_lines == 0 and found.cleaned == "\n".join(lines)
+    assert found.kept
+
+
+def test_many_words_need_no_final_mark(spark):
+    text = " ".join(f"word{i}" for i in range(60))
+    found = quality.line_first(frame(spark, [(1, text, "en", "s", 0), (2, "menu » pages » home.\n" + text, "en", "s", 0)])).orderBy("doc_id").collect()
+    assert [r.quality.kept for r in found] == [True, True]
+    assert [r.quality.cleaned for r in found] == [text, text]
+
+
 def test_quality_of_an_empty_table_and_other_columns(spark):
     assert quality.line_first(frame(spark, [])).count() == 0
     rows = [(1, "a. b.", 3, "keep")]

@@ -20,19 +20,37 @@ from tripmarts.llm.common import SPACES, let, table, words_of
 POSITION_BITS = 31
 
 
+# Scripts written without spaces: two of their characters count as a word of a line.
+UNSPACED = "".join(rf"\p{{Is{name}}}" for name in ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar", "Tibetan"))
+LINE_WORD = rf"[{UNSPACED}]{{1,2}}|[\p{{L}}\p{{N}}&&[^{UNSPACED}]][^{SPACES}{UNSPACED}]*"
+# Marks that end a sentence, of Latin, Greek, Armenian, Arabic, Syriac, N'Ko, Indic, Myanmar, Ethiopic,
+# Khmer, Mongolian, Tibetan, Meetei, Balinese, Javanese and East Asian texts.
+END_MARKS = "….!?:;\u037e։՜՞؟؛۔܀܁܂߹।॥။၊།༎።፧፨។៕᠃᠉᭞᭟꧈꧉꯫‼‽⁇⁈⁉。！？．｡：；︒﹒﹖﹗"
+
+
 @dataclass(frozen=True)
 class Rules:
-    """Limits of the base rules and of the rules for lines."""
+    """Limits of the base rules and of the rules for lines.
+
+    A line of `many_words` needs no mark at its end (None: every line needs one).
+    """
 
     fewest_words: int = 50
+    # What counts as a further word in a text of fewer.
+    unspaced_word: str | None = rf"[{UNSPACED}]{{2}}"
     most_repeated_percent: int = 50
     most_lost: float = 0.5
-    sentence_end: str = r"[.!?…:;][\"'”’»)\]]*\s*$"
+    # Closing quotes and brackets of any script may follow, also after a space, as in French.
+    sentence_end: str = rf"[{END_MARKS}][\"'＂＇\p{{Pe}}\p{{Pf}}\p{{Pi}}\s\p{{Z}}\p{{Cf}}]*$"
+    many_words: int | None = 20
     shouts: str = r"!!+"
     symbol_runs: str = r"[#*$%&|<>]{2,}"
     most_shouts: int = 2
     most_symbol_runs: int = 2
-    separators: str = r"[|»•·]"
+    # A · between letters belongs to the word.
+    separators: str = r"[|•]|(?<!\p{L})·|·(?!\p{L})"
+    # Separators in a line without « only, else quotation marks.
+    unquoted_separators: str | None = "»"
     most_separators: int = 2
     boilerplate: str = (
         r"(?i)all rights reserved|licen[sc]ed under|released under the|copyright (?:\(c\)|©|\d)"
@@ -86,11 +104,26 @@ def repeated_window_words(words: Column) -> Column:
     return let(words, lambda w: let(positions(w), covered)).cast("long")
 
 
+# The rules that OP9_SQL states: Latin sentence ends, every line needs one, each » separates.
+OP9_RULES = Rules(
+    unspaced_word=None, sentence_end=r"[.!?…:;][\"'”’»)\]]*\s*$", many_words=None,
+    separators=r"[|»•·]", unquoted_separators=None,
+)
+
+
 def line_fails(line: Column, rules: Rules) -> Column:
     """Whether a line with a word is removed."""
+    words = F.regexp_count(line, F.lit(LINE_WORD))
+    unfinished = ~line.rlike(rules.sentence_end)
+    if rules.many_words is not None:
+        unfinished = unfinished & (words < rules.many_words)
+    separators = F.regexp_count(line, F.lit(rules.separators))
+    if rules.unquoted_separators is not None:
+        quoted = F.contains(line, F.lit("«"))
+        separators = separators + F.when(quoted, 0).otherwise(F.regexp_count(line, F.lit(rules.unquoted_separators)))
     return (
-        ~line.rlike(rules.sentence_end)
-        | (F.regexp_count(line, F.lit(rules.separators)) >= rules.most_separators)
+        unfinished
+        | (separators >= rules.most_separators)
         | (F.regexp_count(line, F.lit(rules.shouts)) > rules.most_shouts)
         | (F.regexp_count(line, F.lit(rules.symbol_runs)) > rules.most_symbol_runs)
         | line.rlike(rules.boilerplate)
@@ -138,9 +171,10 @@ def line_first(docs: DataFrame, rules: Rules = Rules(), out: str = "quality") ->
             ),
         ).alias("__lines"),
         F.regexp_count(text, F.lit("[#*$%&|<>]")).cast("long").alias("__n_symbols"),
+        (F.regexp_count(text, F.lit(rules.unspaced_word)) if rules.unspaced_word else F.lit(0)).alias("__n_unspaced"),
     )
     w, lines_ = F.col("__words"), F.col("__lines")
-    base_failed = (w["n_words"] < rules.fewest_words) | (
+    base_failed = (w["n_words"] + F.col("__n_unspaced") < rules.fewest_words) | (
         100 * w["n_repeat_words"] > rules.most_repeated_percent * w["n_words"]
     )
     lost = F.coalesce(1 - F.try_divide(lines_["good_chars"], lines_["chars"]), F.lit(0.0))
@@ -159,7 +193,7 @@ def line_first(docs: DataFrame, rules: Rules = Rules(), out: str = "quality") ->
             base_failed.alias("base_failed"),
             (~base_failed & (lost <= rules.most_lost)).alias("kept"),
         ),
-    ).drop("__words", "__lines", "__n_symbols")
+    ).drop("__words", "__lines", "__n_symbols", "__n_unspaced")
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,7 +203,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", "n_lines", "n_bad_lines",
     ]
-    return line_first(docs).select("doc_id", *[q[name].alias(name) for name in names])
+    return line_first(docs, OP9_RULES).select("doc_id", *[q[name].alias(name) for name in names])
 
 
 OP9_SQL = r"""
