@@ -5,7 +5,7 @@ import random
 import re
 
 import pytest
-from helpers import documents, frame, prose, words
+from helpers import documents, frame, prose, sentence, words
 
 from tripmarts.llm import mixing, quality
 from tripmarts.llm.common import stored
@@ -88,6 +88,16 @@ def test_many_words_need_no_final_mark(spark):
     assert [r.quality.cleaned for r in found] == [text, text]
 
 
+@pytest.mark.parametrize("odd", [
+    "left | right | centre", "one · two • three", "our privacy policy", "sign in to", "wow!! oh!! no!!", "## ** && %%",
+])
+def test_a_few_marks_or_one_phrase_leave_a_long_line(spark, odd):
+    article = sentence(random.Random(7), 1500)[:-1] + f" {odd} " + sentence(random.Random(8), 1500)
+    rows = [(1, article, "en", "s", 0), (2, f"{odd} here.\n{article}\n{odd} there.", "en", "s", 0)]
+    found = quality.line_first(frame(spark, rows)).orderBy("doc_id").collect()
+    assert [(r.quality.kept, r.quality.n_bad_lines, r.quality.cleaned) for r in found] == [(True, 0, article), (True, 2, article)]
+
+
 def test_quality_of_an_empty_table_and_other_columns(spark):
     assert quality.line_first(frame(spark, [])).count() == 0
     rows = [(1, "a. b.", 3, "keep")]

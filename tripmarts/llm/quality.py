@@ -32,7 +32,9 @@ END_MARKS = "….!?:;\u037e։՜՞؟؛۔܀܁܂߹।॥။၊།༎።፧፨។៕
 class Rules:
     """Limits of the base rules and of the rules for lines.
 
-    A line of `many_words` needs no mark at its end (None: every line needs one).
+    A line of `many_words` needs no mark at its end (None: every line needs one). Separators,
+    shouts and runs of symbols fail a line with fewer than `words_per_mark` words for each of them,
+    site and legal phrases one with fewer than `words_per_phrase` for each (None: however long it is).
     """
 
     fewest_words: int = 50
@@ -57,6 +59,8 @@ class Rules:
         r"|terms of (?:use|service)|privacy policy|cookie policy|enable javascript"
         r"|sign in to|subscribe to our"
     )
+    words_per_mark: int | None = 10
+    words_per_phrase: int | None = 30
 
 
 def repeated_window_words(words: Column) -> Column:
@@ -104,10 +108,11 @@ def repeated_window_words(words: Column) -> Column:
     return let(words, lambda w: let(positions(w), covered)).cast("long")
 
 
-# The rules that OP9_SQL states: Latin sentence ends, every line needs one, each » separates.
+# The rules that OP9_SQL states: Latin sentence ends, every line needs one, each » separates,
+# and counts do not depend on the length of the line.
 OP9_RULES = Rules(
     unspaced_word=None, sentence_end=r"[.!?…:;][\"'”’»)\]]*\s*$", many_words=None,
-    separators=r"[|»•·]", unquoted_separators=None,
+    separators=r"[|»•·]", unquoted_separators=None, words_per_mark=None, words_per_phrase=None,
 )
 
 
@@ -121,12 +126,17 @@ def line_fails(line: Column, rules: Rules) -> Column:
     if rules.unquoted_separators is not None:
         quoted = F.contains(line, F.lit("«"))
         separators = separators + F.when(quoted, 0).otherwise(F.regexp_count(line, F.lit(rules.unquoted_separators)))
+    def dense(count: Column, least: int, words_each: int | None) -> Column:
+        if words_each is None:
+            return count >= least
+        return let(count, lambda n: (n >= least) & (words < n * words_each))
+
     return (
         unfinished
-        | (separators >= rules.most_separators)
-        | (F.regexp_count(line, F.lit(rules.shouts)) > rules.most_shouts)
-        | (F.regexp_count(line, F.lit(rules.symbol_runs)) > rules.most_symbol_runs)
-        | line.rlike(rules.boilerplate)
+        | dense(separators, rules.most_separators, rules.words_per_mark)
+        | dense(F.regexp_count(line, F.lit(rules.shouts)), rules.most_shouts + 1, rules.words_per_mark)
+        | dense(F.regexp_count(line, F.lit(rules.symbol_runs)), rules.most_symbol_runs + 1, rules.words_per_mark)
+        | dense(F.regexp_count(line, F.lit(rules.boilerplate)), 1, rules.words_per_phrase)
     )
 
 
