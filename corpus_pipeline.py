@@ -29,8 +29,8 @@ def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies."""
-    return simhash.keep_one(docs, shingle=4, radius=4).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """One row of each group of near copies: that with the smallest id, rows without one last."""
+    return simhash.keep_one_row(docs, shingle=4, radius=4).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

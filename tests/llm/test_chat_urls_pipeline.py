@@ -189,6 +189,16 @@ def test_pipeline_equals_brute_force(spark, corpus, tmp_path):
     assert plain(found) == expected and len(expected) > 30
 
 
+def test_copies_without_ids_leave_one_document(spark):
+    rng = random.Random(21)
+    text = [prose(rng, 9) for _ in range(4)]
+    rows = [(None, text[0]), (None, text[0]), (3, text[1]), (None, text[1]), (3, text[2]), (9, text[3]), (9, text[3])]
+    docs = frame(spark, [(i, t, "en", "s", 0) for i, t in rows])
+    for name, stage in corpus_pipeline.STAGES[:3]:
+        docs = stage(spark, docs, "")
+    assert plain(docs.select("doc_id", "text")) == sorted([(None, text[0]), (3, text[1]), (3, text[2]), (9, text[3])], key=repr)
+
+
 def test_stages_keep_the_columns_and_stand_odd_rows(spark):
     names = [name for name, _ in corpus_pipeline.STAGES]
     assert names == ["quality_rules", "simhash_near_dedup", "suffix_array_dedup", "mixing", "byte_bpe"]

@@ -6,7 +6,7 @@ import random
 import numpy as np
 import pytest
 import xxhash
-from helpers import documents, frame, plain, words
+from helpers import documents, frame, plain, prose, words
 
 from tripmarts.llm import components, neardup_vectors, simhash
 
@@ -110,6 +110,35 @@ def test_simhash_of_documents_and_the_kept_one(spark):
     assert sum(r.doc_id is None for r in kept) == 2 and kept[0].__fields__ == ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def odd_ids():
+    rng = random.Random(12)
+    own = [prose(rng, 9) for _ in range(6)]
+    rows = [(1, own[0]), (7, own[0]), (7, own[1]), (7, own[2]), (None, own[0]), (None, own[0])]  # 7: a copy of 1 and two others
+    rows += [(None, own[3]), (None, own[3]), (None, own[3].replace(" ", "  ", 1)), (None, own[4]), (5, own[5]), (5, own[5])]
+    rows += [(None, None), (None, ""), (8, own[4].replace(" ", "  ", 2)), (8, own[4].replace(" ", "   ", 2))]
+    return [(i, t, "en", "s1", 0) for i, t in rows]
+
+
+def slow_kept(rows):
+    """One row of each group, by (id, none last; text), on plain lists."""
+    fps = [slow_fingerprint(r[1]) for r in rows]
+    group = component_of(range(len(rows)), lambda i, j: (fps[i] ^ fps[j]).bit_count() <= 4)
+    order = lambda r: (r[0] is None, r[0] or 0, r[1] is not None, (r[1] or "").encode())
+    best = {}
+    for i, root in group.items():
+        if root not in best or order(rows[i]) < order(best[root]):
+            best[root] = rows[i]
+    return sorted(best.values(), key=repr)
+
+
+@pytest.mark.parametrize("rows", [documents(), odd_ids(), odd_ids()[::-1]], ids=["documents", "odd", "reversed"])
+def test_one_row_of_each_group_also_without_ids(spark, rows):
+    found = simhash.keep_one_row(frame(spark, rows).repartition(3))
+    assert found.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+    kept = [(r[0], r[1]) for r in plain(found)]
+    assert kept == [(r[0], r[1]) for r in slow_kept(rows)]
+
+
 def test_simhash_of_nothing_and_clashing_columns(spark):
     assert simhash.near_duplicates(frame(spark, [])).count() == 0
     clash = frame(spark, [(1, "a", 5, 6), (2, "a", 7, 8)], "doc_id long, text string, fp long, component_id long")
