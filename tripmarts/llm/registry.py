@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tripmarts.llm import bpe, chat, hmm, langid, mixing, neardup_vectors, quality, repeats, simhash, urllists
+from tripmarts.llm import (
+    bpe, chat, hardnegatives, hmm, langid, lexical, mixing, neardup_vectors, quality, repeats, secrets, simhash, urllists,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -23,6 +25,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_mixing": mixing.op8_mixing,
         "op9_quality_rules": quality.op9_quality_rules,
         "op10_simhash": simhash.op10_simhash,
+        "op11_hard_negatives": hardnegatives.op11_hard_negatives,
+        "op12_secrets": secrets.op12_secrets,
+        "op13_lexical_search": lexical.op13_lexical_search,
     }
 
 
@@ -32,4 +37,6 @@ def oracle_sql() -> dict[str, str]:
         "op7_chat_format": chat.OP7_SQL,
         "op8_mixing": mixing.OP8_SQL,
         "op9_quality_rules": quality.OP9_SQL,
+        "op11_hard_negatives": hardnegatives.OP11_SQL,
+        "op13_lexical_search": lexical.OP13_SQL,
     }
