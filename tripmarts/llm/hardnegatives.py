@@ -172,7 +172,7 @@ def best_of_slots(anchors: DataFrame, rows: DataFrame, k: int, mining: Mining, a
 
 def sized(anchors: Column, rows: Column, partitions: int) -> list[Column]:
     """How many blocks and groups so many anchors and rows are dealt to."""
-    blocks = F.ceil(anchors / BLOCK)
+    blocks = F.greatest(F.ceil(anchors / BLOCK), F.lit(1))
     wanted = F.ceil(F.lit(3 * partitions) / blocks)
     groups = F.greatest(F.ceil(rows / GROUP), F.least(wanted, F.ceil(rows / LEAST_GROUP)))
     return [blocks.cast("long").alias("blocks"), groups.cast("long").alias("groups")]
@@ -213,7 +213,7 @@ def hard_negatives(vectors: DataFrame, is_anchor: Column, mining: Mining = Minin
         .groupBy("anchor").agg(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("down"), "id"))).alias("positives"))
     )
     total = rows.agg(*counts).select(F.lit(0).cast("long").alias("part"), *sized(F.col("anchors"), F.col("rows"), partitions)).first()
-    whole = [F.lit(total[name] or 1).cast("long").alias(name) for name in ("blocks", "groups")]
+    whole = [F.lit(total[name]).cast("long").alias(name) for name in ("blocks", "groups")]
     part = F.lit(0).cast("long").alias("part")
     anchors = stored(
         rows.filter("is_anchor").withColumnRenamed("row", "anchor").join(positives, "anchor")

@@ -58,7 +58,7 @@ CLASSES = (
 # placeholders and rows of the alphabet. Repetition is possessive where it could be read in several ways.
 ALLOWED = (
     r"[A-Za-z]{0,20}(?:[/_.+=-][A-Za-z]{0,20}|[0-9]{1,4}(?![0-9]))*",
-    r"(?:[A-Z]?[a-z]{2,}+[0-9]{0,2}+)++",
+    r"(?:[A-Z]{0,2}[a-z]{2,}+[0-9]{0,2}+|[A-Z][a-z](?=[A-Z]))++",
     r"[0-9A-Fa-f]{8}-(?:[0-9A-Fa-f]{4}-){3}[0-9A-Fa-f]{12}",
     r"[0-9+/=_-]*",
     r"(?i:.*(?:example|placeholder|changeme|dummy|xxxx|abcdefgh|01234567).*)",
@@ -90,20 +90,21 @@ def high_windows(text: str, size: int, bits: float, term: list[int]) -> Iterator
     """
     if len(text) < size:
         return
-    most = (math.log2(size) - bits) * size * ONE
+    # A window just at the threshold counts, whatever the rounding of its terms.
+    most = (math.log2(size) - bits) * size * ONE + size
     counts = dict.fromkeys(text, 0)
     total = 0
     start = end = None
     for at, entering in enumerate(text):
-        count = counts[entering]
-        counts[entering] = count + 1
-        total += term[count + 1] - term[count]
         first = at - size + 1
         if first > 0:
             leaving = text[first - 1]
             count = counts[leaving]
             counts[leaving] = count - 1
             total += term[count - 1] - term[count]
+        count = counts[entering]
+        counts[entering] = count + 1
+        total += term[count + 1] - term[count]
         if first >= 0 and total <= most:
             if end is None or first > end:
                 if end is not None:
