@@ -125,7 +125,7 @@ def test_base_scores_equal_brute_force(spark, monkeypatch):
     monkeypatch.setattr(hmm, "CHUNK_BYTES", 3000)
     rows = documents()
     docs = frame(spark, rows).withColumn("held_out", langid.fold(7, 2))
-    shape = hmm.Shape(states=3, classes=64, rounds=2, segment=50)
+    shape = hmm.Shape(states=3, classes=64, rounds=2)
     found = plain(hmm.score_texts(docs, shape))
     held = [zlib.crc32((str(r[0]) if r[0] is not None else "").encode()) % 7 == 2 for r in rows]
     counts: dict = {}
@@ -173,10 +173,68 @@ def test_recursions_equal_the_sum_over_all_paths():
     seqs = hmm.Sequences(classes, starts, sizes)
     slow = [all_paths(classes[a : a + n].tolist(), p) for a, n in zip(starts, sizes)]
     assert hmm.forward(seqs, p) == pytest.approx([math.log(s[0]) for s in slow])
-    found = hmm.Expected.none(shape)
-    found.add(seqs, p)
-    for mine, place in ((found.start, 1), (found.move, 2), (found.emit, 3)):
-        assert mine == pytest.approx(sum(s[place] for s in slow))
+    assert seqs.blocks(6) == [(0, 1), (1, 2), (2, 3), (3, 5)] and seqs.blocks(100) == [(0, 5)]
+    for at_once in (1, 6, 100):
+        found = hmm.Expected.none(shape)
+        found.add(seqs, p, at_once)
+        for mine, place in ((found.start, 1), (found.move, 2), (found.emit, 3)):
+            assert mine == pytest.approx(sum(s[place] for s in slow))
+
+
+def plain_pass(classes, p):
+    """Likelihood and expected counts of one sequence, by unscaled recursions on lists."""
+    states, steps = range(len(p.start)), range(len(classes))
+    ahead = [[p.start[s] * p.emit[classes[0], s] for s in states]]
+    for c in classes[1:]:
+        ahead.append([sum(ahead[-1][r] * p.move[r, s] for r in states) * p.emit[c, s] for s in states])
+    back = [[1.0 for _ in states]]
+    for c in classes[:0:-1]:
+        back.insert(0, [sum(p.move[s, r] * p.emit[c, r] * back[0][r] for r in states) for s in states])
+    total = sum(ahead[-1])
+    move, emit = np.zeros_like(p.move), np.zeros_like(p.emit)
+    for t in steps:
+        for s in states:
+            emit[classes[t], s] += ahead[t][s] * back[t][s] / total
+            for r in states if t else ():
+                move[r, s] += ahead[t - 1][r] * p.move[r, s] * p.emit[classes[t], s] * back[t][s] / total
+    start = np.array([ahead[0][s] * back[0][s] / total for s in states])
+    return total, start, move, emit
+
+
+@pytest.mark.parametrize("words_at_a_time", [7, 1 << 19])
+def test_scores_equal_training_and_scoring_on_lists(spark, monkeypatch, words_at_a_time):
+    """The class chain by plain recursions, times the chance of each word in its class."""
+    monkeypatch.setattr(hmm, "CHUNK_BYTES", 300)
+    monkeypatch.setattr(hmm, "SPLIT_BYTES", 100)
+    monkeypatch.setattr(hmm.Expected.add, "__defaults__", (words_at_a_time,))
+    rng = random.Random(12)
+    rows = [(i, " ".join(rng.choices("Ab b c dd e\x0bf g é h".split(" "), k=rng.randint(0, 25))), "", "", 0) for i in range(40)] + [(99, None, "", "", 0)]
+    shape = hmm.Shape(states=3, classes=5, rounds=2, smoothing=2.0)
+    docs = frame(spark, rows).withColumn("held_out", langid.fold(7, 2))
+    found = {r.doc_id: r.score for r in hmm.score_texts(docs, shape).collect()}
+
+    texts = {i: tokens(t)[:-1] for i, t, *_ in rows}
+    training = [t for i, t in texts.items() if zlib.crc32(str(i).encode()) % 7 != 2]
+    known = sorted({w for t in texts.values() for w in t})
+    classed = spark.createDataFrame([(bytearray(w),) for w in known], "word binary").select("word", hmm.class_of(shape))
+    of = {bytes(w): c for w, c in classed.collect()}
+    counts = {w: sum(t.count(w) for t in training) for w in known}
+    words, kinds = np.zeros(6), np.zeros(6)
+    for w in known:
+        words[of[w]] += counts[w]
+        kinds[of[w]] += counts[w] > 0
+    words[5] = len(training)
+    overall = (words + 0.5) / (words + 0.5).sum()
+    p = hmm.first_parameters(overall, shape)
+    for _ in range(shape.rounds):
+        passes = [plain_pass([*(of[w] for w in t), 5], p) for t in training]
+        start, move, emit = (sum(x[k] for x in passes) for k in (1, 2, 3))
+        start, move, emit = start + 1, move + 1, emit + shape.smoothing * overall[:, None]
+        p = hmm.Parameters(start / start.sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
+    for i, text in texts.items():
+        chance = plain_pass([*(of[w] for w in text), 5], p)[0]
+        within = sum(math.log10((counts[w] + 1) / (words[of[w]] + kinds[of[w]] + 1)) for w in text)
+        assert found[i] == pytest.approx(math.log10(chance) + within), i
 
 
 def test_the_model_is_a_distribution_and_beats_the_base_on_held_out_texts(spark):
@@ -193,8 +251,6 @@ def test_packing():
     numbers = np.array([0, 1, 255, 256, 2**32 - 1])
     assert hmm.unpack(hmm.pack(numbers)).tolist() == numbers.tolist()
     assert hmm.unpack(hmm.pack(np.empty(0, np.int64))).tolist() == []
-    starts, sizes = hmm.segments(np.array([0, 7]), np.array([7, 2]), 3)
-    assert list(zip(starts.tolist(), sizes.tolist())) == [(0, 3), (3, 3), (6, 1), (7, 2)]
 
 
 def test_scores_of_empty_tables_and_without_training_texts(spark):

@@ -6,8 +6,9 @@ the vocabulary, stay distributed. Texts are stored once as chunks: packed word n
 chunk's own vocabulary. Vocabularies, not texts, meet the counts in a join and come back as arrays.
 
 Each round of Baum-Welch broadcasts the parameters, sums expected counts within tasks and then
-across them. Training sequences longer than `segment` words are cut, and each part starts anew;
-scores use the scaled forward recursion over the whole text.
+across them. Training and scores both run the scaled recursions over whole texts: many side by side,
+laid out step by step. For texts too long to keep every step, the forward chances at the
+edges of blocks are kept, and each block is run again on the way back.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -27,7 +29,9 @@ from tripmarts.llm.langid import fold
 
 # Bytes of text in a chunk; a longer text is a chunk of its own.
 CHUNK_BYTES = 16 << 20
-# Words of the sequences that run side by side; bounds what a task keeps for the backward pass.
+# Text split into words at a time.
+SPLIT_BYTES = 4 << 20
+# Words of the sequences that run side by side, and of the steps kept for the backward pass.
 WORDS_AT_A_TIME = 1 << 19
 
 
@@ -36,7 +40,6 @@ class Shape:
     states: int = 12
     classes: int = 4096
     rounds: int = 3
-    segment: int = 1024
     # Chance to stay in a state, and spread of the log emissions, before the first round.
     stay: float = 0.999
     spread: float = 0.5
@@ -57,14 +60,6 @@ class Parameters:
 # --- chunks -------------------------------------------------------------------------------------
 
 
-class Numbering(dict):
-    """Words in order of first sight."""
-
-    def __missing__(self, word: bytes) -> int:
-        number = self[word] = len(self)
-        return number
-
-
 def pack(numbers: np.ndarray) -> bytes:
     """Unsigned 32-bit numbers, compressed byte by byte of their significance."""
     planes = np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T)
@@ -85,41 +80,63 @@ CHUNK = (
 )
 
 
+def words_of_texts(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts, lower-cased in A-Z, and how many each text has."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    offsets, flat = lists.offsets.to_numpy(), lists.flatten()
+    real = pc.greater(pc.binary_length(flat), 0)
+    upto = np.append(0, np.cumsum(real.to_numpy(zero_copy_only=False)))
+    return flat.filter(real), np.diff(upto[offsets - offsets[0]])
+
+
+def parts_of(batch: pa.RecordBatch, column: int, most: int) -> Iterator[tuple[pa.RecordBatch, int]]:
+    """Parts of the batch with at most so many bytes in the column, but for longer values alone."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy())
+    at, done = 0, 0
+    while at < batch.num_rows:
+        to = max(at + 1, int(np.searchsorted(ends, done + most, "right")))
+        yield batch.slice(at, to - at), int(ends[to - 1] - done)
+        at, done = to, int(ends[to - 1])
+
+
 def make_chunks(docs: DataFrame) -> DataFrame:
-    """From (doc_id, text, held_out): texts as numbers of the words of each chunk, with counts in training texts."""
+    """From (doc_id, text, held_out): texts as numbers of the words of each chunk, with counts in training texts.
+
+    Longer texts come first within a partition, so that those of like length run side by side.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, state = TaskContext.get().partitionId() << 32, None
+        number, parts, size = TaskContext.get().partitionId() << 32, [], 0
         for batch in batches:
-            for doc_id, text, held in zip(*(batch.column(i) for i in (0, 1, 2))):
-                if state is None:
-                    state = ([], [], [], [], Numbering(), 0)
-                ids, helds, sizes, parts, seen, size = state
-                words = (text.as_py() or "").encode().lower().split()
-                parts.append(np.fromiter(map(seen.__getitem__, words), np.int64, len(words)))
-                ids.append(doc_id.as_py())
-                helds.append(held.as_py())
-                sizes.append(len(words))
-                size += sum(map(len, words)) + len(words)
-                state = (ids, helds, sizes, parts, seen, size)
+            for part, bytes_of_text in parts_of(batch, 1, SPLIT_BYTES):
+                parts.append((part.column(0), part.column(2), *words_of_texts(part.column(1))))
+                size += bytes_of_text
                 if size >= CHUNK_BYTES:
-                    yield flush(number, *state[:5])
-                    number, state = number + 1, None
-        if state is not None:
-            yield flush(number, *state[:5])
-
-    def flush(number, ids, helds, sizes, parts, seen) -> pa.RecordBatch:
-        training = [p for p, held in zip(parts, helds) if not held] or [np.empty(0, np.int64)]
-        counts = np.bincount(np.concatenate(training), minlength=len(seen)) if seen else np.empty(0, np.int64)
-        kinds = (
-            pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int32()), pa.binary(),
-            pa.list_(pa.binary()), pa.list_(pa.int64()),
-        )
-        values = (number, ids, helds, sizes, pack(np.concatenate(parts)), list(seen), counts)
-        names = ["chunk", "doc_ids", "held", "sizes", "words", "vocabulary", "counts"]
-        return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], names=names)
+                    yield flush(number, parts)
+                    number, parts, size = number + 1, [], 0
+        if parts:
+            yield flush(number, parts)
+
+    def flush(number: int, parts: list) -> pa.RecordBatch:
+        ids, held, words, sizes = zip(*parts)
+        coded = pa.concat_arrays(words).dictionary_encode()
+        numbers, seen = coded.indices.to_numpy(), coded.dictionary.cast(pa.binary())
+        held, sizes = pa.concat_arrays(held), np.concatenate(sizes)
+        training = np.repeat(~held.to_numpy(zero_copy_only=False), sizes)
+        counts = np.bincount(numbers[training], minlength=len(seen))
+
+        def one(values: pa.Array) -> pa.Array:
+            return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
-    return docs.select(F.col("doc_id").cast("long"), "text", "held_out").mapInArrow(run, CHUNK)
+        columns = {
+            "chunk": pa.array([number], pa.int64()), "doc_ids": one(pa.concat_arrays(ids)), "held": one(held),
+            "sizes": one(pa.array(sizes, pa.int32())), "words": pa.array([pack(numbers)], pa.binary()),
+            "vocabulary": one(seen), "counts": one(pa.array(counts, pa.int64())),
+        }
+        return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+    slim = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text"), "held_out")
+    return slim.sortWithinPartitions(F.octet_length("text").desc()).mapInArrow(run, CHUNK)
 
 
 def vocabulary(chunks: DataFrame, shape: Shape) -> tuple[DataFrame, DataFrame]:
@@ -174,31 +191,52 @@ def chunk_counts(rows: DataFrame, kinds: DataFrame, shape: Shape) -> DataFrame:
 
 
 class Sequences:
-    """Sequences of classes that run side by side, longest first."""
+    """Sequences of classes that run side by side, longest first, laid out step by step."""
 
     def __init__(self, classes: np.ndarray, starts: np.ndarray, sizes: np.ndarray):
         self.order = np.argsort(-sizes, kind="stable")
-        self.classes, self.starts, self.sizes = classes, starts[self.order], sizes[self.order]
-        self.steps = int(self.sizes[0]) if len(sizes) else 0
-        self.active = np.searchsorted(-self.sizes, -np.arange(self.steps + 1), "left")
-
-    def at(self, step: int) -> np.ndarray:
-        return self.classes[self.starts[: self.active[step]] + step]
-
-
-def forward(seqs: Sequences, p: Parameters, keep: tuple | None = None) -> np.ndarray:
-    """Natural log likelihood of each sequence, in the given order; `keep` gets scaled chances and scales by place."""
-    logs = np.zeros(len(seqs.starts))
-    chance = None
-    for step in range(seqs.steps):
-        n = seqs.active[step]
-        chance = (np.broadcast_to(p.start, (n, len(p.start))) if step == 0 else chance[:n] @ p.move) * p.emit[seqs.at(step)]
-        scale = chance.sum(axis=1)
-        chance /= scale[:, None]
-        logs[:n] += np.log(scale)
-        if keep is not None:
-            places = seqs.starts[:n] + step
-            keep[0][places], keep[1][places] = chance, scale
+        starts, sizes = starts[self.order], sizes[self.order]
+        self.steps = int(sizes[0]) if len(sizes) else 0
+        # Sequences that have a step, and where its places begin.
+        self.active = np.searchsorted(-sizes, -np.arange(self.steps + 1), "left")
+        self.begins = np.append(0, np.cumsum(self.active[:-1]))
+        step = np.repeat(np.arange(self.steps), self.active[:-1])
+        self.which = np.arange(len(step)) - self.begins[step]
+        self.classes = classes[starts[self.which] + step]
+
+    def blocks(self, most: int) -> list[tuple[int, int]]:
+        """Ranges of steps with at most so many places, but for wider steps alone."""
+        out, step = [], 0
+        while step < self.steps:
+            upto = int(np.searchsorted(self.begins, self.begins[step] + most, "right")) - 1
+            out.append((step, max(step + 1, upto)))
+            step = out[-1][1]
+        return out
+
+
+def onward(seqs: Sequences, p: Parameters, first: int, last: int, chance, chances=None) -> tuple[np.ndarray, np.ndarray]:
+    """The scales of the steps from `first` to before `last`, and the scaled chances after them.
+
+    `chance` holds the scaled chances before, none at the start; `chances` gets those of every place.
+    """
+    begin, ones = seqs.begins[first], np.ones(len(p.start))
+    scales = np.empty(seqs.begins[last] - begin)
+    for step in range(first, last):
+        a, b = seqs.begins[step] - begin, seqs.begins[step + 1] - begin
+        here = np.empty((b - a, len(p.start))) if chances is None else chances[a:b]
+        np.take(p.emit, seqs.classes[a + begin : b + begin], axis=0, out=here, mode="clip")
+        here *= p.start if chance is None else chance[: b - a] @ p.move
+        scale = scales[a:b]
+        np.matmul(here, ones, out=scale)
+        here /= scale[:, None]
+        chance = here
+    return scales, chance
+
+
+def forward(seqs: Sequences, p: Parameters) -> np.ndarray:
+    """Natural log likelihood of each sequence, in the given order."""
+    scales, _ = onward(seqs, p, 0, seqs.steps, None)
+    logs = np.bincount(seqs.which, np.log(scales), minlength=len(seqs.order))
     out = np.empty(len(logs))
     out[seqs.order] = logs
     return out
@@ -215,29 +253,40 @@ class Expected:
         s = shape.states
         return cls(np.zeros(s), np.zeros((s, s)), np.zeros((shape.classes + 1, s)))
 
-    def add(self, seqs: Sequences, p: Parameters) -> None:
+    def add(self, seqs: Sequences, p: Parameters, at_once: int = WORDS_AT_A_TIME) -> None:
         """Baum-Welch: expected starts, moves and emissions of these sequences."""
-        states = len(p.start)
-        chances, scales = np.zeros((len(seqs.classes), states)), np.ones(len(seqs.classes))
-        forward(seqs, p, (chances, scales))
-        ahead = None
-        for step in range(seqs.steps - 1, -1, -1):
-            n, then = seqs.active[step], seqs.active[step + 1]
-            back = np.ones((n, states))
-            if then:
-                places = seqs.starts[:then] + step + 1
-                seen = p.emit[seqs.classes[places]] * ahead / scales[places, None]
-                back[:then] = seen @ p.move.T
-                self.move += (chances[seqs.starts[:then] + step].T @ seen) * p.move
-            # From here on the place holds the chance given the whole sequence.
-            if then:
-                chances[places] *= ahead
-            ahead = back
-        if seqs.steps:
-            chances[seqs.starts] *= ahead
-            self.start += chances[seqs.starts].sum(axis=0)
-        for state in range(states):
-            self.emit[:, state] += np.bincount(seqs.classes, chances[:, state], minlength=len(self.emit))
+        blocks = seqs.blocks(at_once)
+        entries = [None]
+        for first, last in blocks[:-1]:
+            entries.append(onward(seqs, p, first, last, entries[-1])[1].copy())
+        moves, seen, back_move = np.zeros_like(self.move), None, np.ascontiguousarray(p.move.T)
+        for (first, last), entry in zip(reversed(blocks), reversed(entries)):
+            begin, end = seqs.begins[first], seqs.begins[last]
+            chances = np.empty((end - begin, len(p.start)))
+            scales, _ = onward(seqs, p, first, last, entry, chances)
+            for step in range(last - 1, first - 1, -1):
+                a, b = seqs.begins[step] - begin, seqs.begins[step + 1] - begin
+                here, then = chances[a:b], seqs.active[step + 1]
+                back = np.ones((b - a, len(p.start)))
+                if then:
+                    np.matmul(seen, back_move, out=back[:then])
+                    moves += here[:then].T @ seen
+                seen = p.emit[seqs.classes[a + begin : b + begin]]
+                seen *= back
+                seen /= scales[a:b, None]
+                # From here on the place holds the chance given the whole sequence.
+                here *= back
+            if not first:
+                self.start += chances[: seqs.active[0]].sum(axis=0)
+            self.add_emissions(seqs.classes[begin:end], chances)
+        self.move += moves * p.move
+
+    def add_emissions(self, classes: np.ndarray, chances: np.ndarray) -> None:
+        # Sixteen bits are sorted by radix.
+        order = np.argsort(classes.astype(np.uint16) if len(self.emit) <= 1 << 16 else classes, kind="stable")
+        found = classes[order]
+        first = np.flatnonzero(np.append(True, found[1:] != found[:-1]))
+        self.emit[found[first]] += np.add.reduceat(chances[order], first, axis=0)
 
     def flat(self) -> np.ndarray:
         return np.concatenate([self.start, self.move.ravel(), self.emit.ravel()])
@@ -259,23 +308,16 @@ def spread(sizes: np.ndarray, classes: np.ndarray, end: int) -> tuple[np.ndarray
     return out, starts, longer
 
 
-def segments(starts: np.ndarray, sizes: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """The sequences cut into parts of at most `most`."""
-    parts = -(-sizes // most)
-    which = np.repeat(np.arange(len(sizes)), parts)
-    number = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
-    return starts[which] + number * most, np.minimum(most, sizes[which] - number * most)
-
-
-def side_by_side(classes: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[slice, Sequences]]:
-    """The sequences in order, in groups of about WORDS_AT_A_TIME, each with its own stretch of classes."""
+def side_by_side(classes: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[np.ndarray, Sequences]]:
+    """The sequences by length, in groups of about WORDS_AT_A_TIME: which they are, and laid out to run."""
+    by_size = np.argsort(-sizes, kind="stable")
+    totals = np.cumsum(sizes[by_size])
     at = 0
-    totals = np.cumsum(sizes)
     while at < len(sizes):
         done = totals[at - 1] if at else 0
         to = max(at + 1, int(np.searchsorted(totals, done + WORDS_AT_A_TIME, "right")))
-        first, last = starts[at], starts[to - 1] + sizes[to - 1]
-        yield slice(at, to), Sequences(classes[first:last], starts[at:to] - first, sizes[at:to])
+        group = by_size[at:to]
+        yield group, Sequences(classes, starts[group], sizes[group])
         at = to
 
 
@@ -313,8 +355,7 @@ def train(coded: DataFrame, overall: np.ndarray, shape: Shape) -> Parameters:
                 for sizes, held, words, cls in zip(*(c.to_pylist() for c in batch.columns)):
                     sizes, held = np.array(sizes, np.int64), np.array(held, bool)
                     classes, starts, longer = spread(sizes, unpack(cls)[unpack(words)], shape.classes)
-                    starts, longer = segments(starts[~held], longer[~held], shape.segment)
-                    for _, seqs in side_by_side(classes, starts, longer):
+                    for _, seqs in side_by_side(classes, starts[~held], longer[~held]):
                         found.add(seqs, shared.value)
             flat = found.flat()
             used = np.flatnonzero(flat)
