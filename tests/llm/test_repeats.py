@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 
+import numpy as np
 import pytest
 from helpers import documents, frame, plain, prose
 
@@ -74,3 +75,28 @@ def test_text_keeps_whole_characters_and_other_columns(spark):
 def test_short_texts_stay(spark):
     found = plain(repeats.without_repeats(frame(spark, [(1, "same", "", "", 0), (2, "same", "", "", 0)])).select("n_removed", "n_spans"))
     assert found == [(0, 0), (0, 0)]
+
+
+def test_one_id_on_many_texts(spark):
+    rng = random.Random(31)
+    passage = prose(rng, 6)
+    rows = [(7, prose(rng, rng.randint(2, 4)) + (passage[i % 40 :] if i % 2 else "") + prose(rng, 2), "", "", 0) for i in range(1500)]
+    rows += [(None, rows[1][1], "", "", 0), (0, rows[1][1], "", "", 0), (None, rows[0][1] + "x", "", "", 0)]
+    expected = sorted(((r[0], *s) for r, s in zip(rows, slow([r[1] for r in rows], 200))), key=repr)
+    assert fast(spark, rows, repeats.Depth(), repeats.CROWD) == expected
+
+
+@pytest.mark.parametrize("length", [3, 8, 21, 200])
+def test_windows_sorted_by_their_bytes(length):
+    rng = random.Random(length)
+    parts = [bytes(rng.choices(b"ab", k=rng.randint(length, length + 30))) for _ in range(40)] + [b"a" * (length + 50)] * 2
+    raw = b"".join(parts)
+    starts, group, at = [], [], 0
+    for number, part in enumerate(parts):
+        starts += range(at, at + len(part) - length + 1)
+        group += [number // 9] * (len(part) - length + 1)
+        at += len(part)
+    seen = collections.Counter((g, raw[s : s + length]) for g, s in zip(group, starts))
+    expected = [i for i, (g, s) in enumerate(zip(group, starts)) if seen[g, raw[s : s + length]] > 1]
+    found = repeats.in_equal_groups(raw, np.array(starts), np.array(group), length)
+    assert sorted(found.tolist()) == expected

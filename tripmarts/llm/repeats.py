@@ -11,10 +11,11 @@ significant digit down, and a suffix alone in its group leaves the sort:
 2. The second digit is the hash of all bytes that the anchor's windows cover (128 bits with the first).
    Anchors that agree in it agree in all their windows, which are done.
 3. What is left lies at the ends of repeated passages. One anchor of each kind in such a group
-   fetches its bytes, and its windows are sorted one by one, by two 64-bit hashes.
+   fetches its bytes, and its windows are sorted one by one by all their bytes, eight at a time.
 
-Groups are counted with partial sums and joined back, so that a passage shared by a third of all
-documents can be split. A group of very many kinds is dealt out by single windows.
+Groups are counted with partial sums, stored and joined back, both sides as plain exchanges, so that
+adaptive execution can split an anchor shared by a third of all documents. A group of very many kinds is
+dealt out by single windows, which meet by two 64-bit hashes. Texts are told apart by their id and 64 bits of a hash, so one id may stand on many.
 """
 
 from __future__ import annotations
@@ -111,35 +112,26 @@ def anchors(data: bytes, depth: Depth) -> Iterator[tuple[np.ndarray, ...]]:
         yield grams[own], np.array(covered, np.uint64), own + at, own - last, own - first
 
 
-def packed(place: np.ndarray, near: np.ndarray, far: np.ndarray, mark: int) -> np.ndarray:
-    """Place, range of windows and mark of the text in one number."""
-    return (place << 32) | (far << 24) | (near << 16) | mark
+def packed(place: np.ndarray, near: np.ndarray, far: np.ndarray) -> np.ndarray:
+    """Place and range of windows in one number."""
+    return (place << 16) | (far << 8) | near
 
 
-PLACE, FAR, NEAR, MARK = (
-    (lambda at: at >> 32), (lambda at: (at >> 24) & 255), (lambda at: (at >> 16) & 255), (lambda at: at & 0xFFFF)
-)
-
-
-def mark_of(at: Column) -> Column:
-    return at.bitwiseAND(F.lit(0xFFFF))
+PLACE, FAR, NEAR = (lambda at: at >> 16), (lambda at: (at >> 8) & 255), (lambda at: at & 255)
 
 
 def shape_of(at: Column) -> Column:
     """The range of windows about an anchor: kinds of different ranges are different."""
-    return F.shiftright(at, 16).bitwiseAND(F.lit(0xFFFF))
+    return at.bitwiseAND(F.lit(0xFFFF))
 
 
 def row_key(doc_id: int | None, data: bytes) -> tuple[int, int]:
-    """What tells rows apart: the id and a mark of the text; for a null id, a hash of the text."""
-    mark = xxhash.xxh32_intdigest(data) & 0xFFFF
-    if doc_id is None:
-        doc_id = xxhash.xxh3_64_intdigest(data) - (1 << 63)
-    return doc_id, mark
+    """What tells texts apart: the id, none as 0, and 64 bits of a hash of the id's being there and the text."""
+    return doc_id or 0, xxhash.xxh3_64_intdigest(data, seed=doc_id is None) - (1 << 63)
 
 
 def find_anchors(docs: DataFrame, depth: Depth) -> DataFrame:
-    """(g, c, row, at) for each anchor of each text."""
+    """(g, c, row, mark, at) for each anchor of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -148,8 +140,8 @@ def find_anchors(docs: DataFrame, depth: Depth) -> DataFrame:
                 data = (text.as_py() or "").encode()
                 row, mark = row_key(doc_id, data)
                 for g, c, place, near, far in anchors(data, depth):
-                    at = packed(place, near, far, mark)
-                    out.append((g.view(np.int64), c.view(np.int64), np.full(len(g), row, np.int64), at))
+                    keys = np.full(len(g), row, np.int64), np.full(len(g), mark, np.int64)
+                    out.append((g.view(np.int64), c.view(np.int64), *keys, packed(place, near, far)))
                     held += len(g)
                 if held > STRETCH:
                     yield flush(out)
@@ -159,9 +151,10 @@ def find_anchors(docs: DataFrame, depth: Depth) -> DataFrame:
 
     def flush(parts: list) -> pa.RecordBatch:
         columns = [pa.array(np.concatenate(side)) for side in zip(*parts)]
-        return pa.RecordBatch.from_arrays(columns, names=["g", "c", "row", "at"])
+        return pa.RecordBatch.from_arrays(columns, names=["g", "c", "row", "mark", "at"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "g long, c long, row long, at long")
+    schema = "g long, c long, row long, mark long, at long"
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -198,25 +191,25 @@ def unpressed(data: bytes) -> bytes:
 
 
 def fetch_contexts(docs: DataFrame, wanted: DataFrame, depth: Depth) -> DataFrame:
-    """(g, crowd, single, row, at, context): the bytes that the windows of the wanted anchors cover."""
-    asked = wanted.groupBy("row", mark_of(F.col("at")).alias("mark")).agg(
+    """(g, crowd, single, row, mark, at, context): the bytes that the windows of the wanted anchors cover."""
+    asked = wanted.groupBy("row", "mark").agg(
         F.collect_list(F.struct("g", "crowd", "single", "at")).alias("asked")
     )
     # Texts that occur twice under one id have one key; fetching either is the same.
     texts = keyed(docs.select("doc_id", "text")).select("row", "mark", "bytes")
 
-    kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.binary())
-    names = ["g", "crowd", "single", "row", "at", "context"]
+    kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+    names = ["g", "crowd", "single", "row", "mark", "at", "context"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
         for batch in batches:
-            for row, pressed, items in zip(*batch.columns):
-                row, data = row.as_py(), unpressed(pressed.as_py())
+            for row, mark, pressed, items in zip(*batch.columns):
+                row, mark, data = row.as_py(), mark.as_py(), unpressed(pressed.as_py())
                 for item in items.as_py():
                     at = item["at"]
                     context = data[PLACE(at) - FAR(at) : PLACE(at) - NEAR(at) + depth.length]
-                    out.append((item["g"], item["crowd"], item["single"], row, at, context))
+                    out.append((item["g"], item["crowd"], item["single"], row, mark, at, context))
                 if len(out) >= CONTEXTS_AT_A_TIME:
                     yield flush(out)
                     out = []
@@ -226,17 +219,52 @@ def fetch_contexts(docs: DataFrame, wanted: DataFrame, depth: Depth) -> DataFram
     def flush(out: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(values, kind) for values, kind in zip(zip(*out), kinds)], names=names)
 
-    return texts.join(asked, ["row", "mark"]).select("row", "bytes", "asked").mapInArrow(
-        run, "g long, crowd long, single boolean, row long, at long, context binary"
+    return texts.join(asked, ["row", "mark"]).select("row", "mark", "bytes", "asked").mapInArrow(
+        run, "g long, crowd long, single boolean, row long, mark long, at long, context binary"
     )
 
 
-def window_hashes(ats: np.ndarray, contexts: list[bytes], depth: Depth) -> tuple[np.ndarray, ...]:
-    """Of all windows of these contexts: which context, the start in the text, and two hashes."""
+def windows_of(contexts: list[bytes], depth: Depth) -> tuple[np.ndarray, ...]:
+    """Sizes of the contexts and numbers of their windows; of each window, its context and place in it."""
     sizes = np.fromiter(map(len, contexts), np.int64, len(contexts))
     counts = sizes - depth.length + 1
     which = np.repeat(np.arange(len(contexts)), counts)
-    inside = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    return sizes, counts, which, np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
+def in_equal_groups(raw: bytes, starts: np.ndarray, group: np.ndarray, length: int) -> np.ndarray:
+    """Which windows equal another of their group in all `length` bytes; groups are side by side.
+
+    Passes of eight bytes, the most significant first. A pass sorts only the groups that it tells apart,
+    and windows that are alone leave.
+    """
+    digit = min(8, length)
+    numbers = np.ndarray(max(0, len(raw) - 7), ">u8", raw, strides=(1,)) if digit == 8 else None
+    alive = np.arange(len(starts))
+    for offset in [*range(0, length - digit + 1, digit), *([length - digit] if length % digit else [])]:
+        if not len(alive):
+            break
+        places = starts[alive] + offset
+        if numbers is not None:
+            key = numbers[places].astype(np.uint64)
+        else:
+            key = np.array([int.from_bytes(raw[p : p + digit], "big") for p in places.tolist()], np.uint64)
+        of = group[alive]
+        first = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
+        number = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(of))))
+        uneven = np.logical_or.reduceat(key != key[first][number], first)[number]
+        mixed = np.flatnonzero(uneven)
+        order = np.lexsort((key[mixed], number[mixed]))
+        alive[mixed], key[mixed] = alive[mixed][order], key[mixed][order]
+        new = np.append(True, (number[1:] != number[:-1]) | (key[1:] != key[:-1]))
+        group[alive] = np.cumsum(new)
+        alive = alive[~(new & np.append(new[1:], True))]
+    return alive
+
+
+def window_hashes(ats: np.ndarray, contexts: list[bytes], depth: Depth) -> tuple[np.ndarray, ...]:
+    """Of all windows of these contexts: which context, the start in the text, and two hashes."""
+    sizes, counts, which, inside = windows_of(contexts, depth)
     hashes: tuple[list, list] = ([], [])
     step = max(1, STRETCH // (2 * depth.length))
     for at in range(0, len(contexts), step):
@@ -274,34 +302,34 @@ def sort_windows(contexts: DataFrame, depth: Depth) -> DataFrame:
     """
 
     def flush(held: list[tuple]) -> pa.RecordBatch:
-        singles, rows, ats = (np.concatenate(side) for side in list(zip(*held))[1:4])
-        texts = [text for part in held for text in part[4]]
-        which, starts, one, two = window_hashes(ats, texts, depth)
-        order = np.lexsort((two, one))
-        same = (one[order][1:] == one[order][:-1]) & (two[order][1:] == two[order][:-1])
-        twice = np.zeros(len(order), bool)
-        twice[order[1:]] |= same
-        twice[order[:-1]] |= same
-        chosen = twice & singles[which]
-        return spans_of_starts(rows[which][chosen], MARK(ats)[which][chosen], starts[chosen], depth.length)
+        singles, rows, marks, ats = (np.concatenate(side) for side in list(zip(*held))[1:5])
+        texts = [text for part in held for text in part[5]]
+        sizes, _, which, inside = windows_of(texts, depth)
+        # A group may come in several parts, one after the other.
+        number = np.cumsum([at > 0 and part[0] != held[at - 1][0] for at, part in enumerate(held)])
+        group = np.repeat(number, [len(part[5]) for part in held])
+        twice = in_equal_groups(b"".join(texts), (sizes.cumsum() - sizes)[which] + inside, group[which], depth.length)
+        chosen = twice[singles[which[twice]]]
+        own = which[chosen]
+        return spans_of_starts(rows[own], marks[own], (PLACE(ats) - FAR(ats))[own] + inside[chosen], depth.length)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
-            g, single, row, at = (c.to_numpy(zero_copy_only=False) for c in batch.columns[:4])
-            texts = batch.column(4).to_pylist()
+            g, single, row, mark, at = (c.to_numpy(zero_copy_only=False) for c in batch.columns[:5])
+            texts = batch.column(5).to_pylist()
             for a, b in group_slices(g):
                 if size > CONTEXT_BYTES and held and held[-1][0] != g[a]:
                     yield flush(held)
                     held, size = [], 0
-                held.append((g[a], single[a:b], row[a:b], at[a:b], texts[a:b]))
+                held.append((g[a], single[a:b], row[a:b], mark[a:b], at[a:b], texts[a:b]))
                 size += sum(map(len, texts[a:b]))
         if held:
             yield flush(held)
 
     return (
         contexts.repartition("g").sortWithinPartitions("g")
-        .select("g", "single", "row", "at", "context").mapInArrow(run, SPANS)
+        .select("g", "single", "row", "mark", "at", "context").mapInArrow(run, SPANS)
     )
 
 
@@ -315,16 +343,16 @@ def deal_windows(contexts: DataFrame, depth: Depth) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            single, row, at = (c.to_numpy(zero_copy_only=False) for c in batch.columns[:3])
+            single, row, mark, at = (c.to_numpy(zero_copy_only=False) for c in batch.columns[:4])
             for part in range(0, batch.num_rows, 512):
                 cut = slice(part, part + 512)
-                which, starts, one, two = window_hashes(at[cut], batch.column(3)[cut].to_pylist(), depth)
-                columns = (row[cut][which], MARK(at[cut])[which], starts, single[cut][which], one.view(np.int64), two.view(np.int64))
+                which, starts, one, two = window_hashes(at[cut], batch.column(4)[cut].to_pylist(), depth)
+                columns = (row[cut][which], mark[cut][which], starts, single[cut][which], one.view(np.int64), two.view(np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c) for c in columns], names=["row", "mark", "start", "single", "one", "two"]
                 )
 
-    windows = contexts.select("single", "row", "at", "context").mapInArrow(
+    windows = contexts.select("single", "row", "mark", "at", "context").mapInArrow(
         run, "row long, mark long, start long, single boolean, one long, two long"
     )
     counted = windows.groupBy("one", "two").agg(F.count("*").alias("n")).filter("n > 1")
@@ -336,22 +364,24 @@ def deal_windows(contexts: DataFrame, depth: Depth) -> DataFrame:
 def repeated_spans(docs: DataFrame, depth: Depth = Depth(), crowd: int = CROWD) -> DataFrame:
     """(row, mark, spans): for each text with any, the spans covered by windows that occur elsewhere too."""
     found = stored(find_anchors(docs, depth))
-    twice = found.groupBy("g").agg(F.count("*").alias("n")).filter("n > 1").select("g")
+    # Stored, so that both sides of the join are plain exchanges, which can be split where one anchor is frequent.
+    twice = stored(found.groupBy("g").agg(F.count("*").alias("n")).filter("n > 1").select("g"))
     alive = stored(found.join(twice, "g"))
     discard(found)
+    discard(twice)
     kind = ["g", "c", "shape"]
     alive = alive.withColumn("shape", shape_of(F.col("at")))
-    kinds = stored(alive.groupBy(*kind).agg(F.count("*").alias("n"), F.min(F.struct("row", "at")).alias("one")))
+    kinds = stored(alive.groupBy(*kind).agg(F.count("*").alias("n"), F.min(F.struct("row", "mark", "at")).alias("one")))
     groups = kinds.groupBy("g").agg(F.count("*").alias("crowd"), F.min("n").alias("fewest"))
     wanted = kinds.join(groups.filter("crowd > 1 AND fewest = 1"), "g").select(
-        "g", "crowd", (F.col("n") == 1).alias("single"), "one.row", "one.at"
+        "g", "crowd", (F.col("n") == 1).alias("single"), "one.row", "one.mark", "one.at"
     )
     contexts = stored(fetch_contexts(docs, wanted, depth))
-    place = F.shiftright("at", 32)
-    far = F.shiftright("at", 24).bitwiseAND(F.lit(255))
-    near = F.shiftright("at", 16).bitwiseAND(F.lit(255))
+    place = F.shiftright("at", 16)
+    far = F.shiftright("at", 8).bitwiseAND(F.lit(255))
+    near = F.col("at").bitwiseAND(F.lit(255))
     whole = alive.join(kinds.filter("n > 1").select(*kind), kind).select(
-        "row", mark_of(F.col("at")).alias("mark"), (place - far).alias("start"), (place - near + depth.length).alias("stop")
+        "row", "mark", (place - far).alias("start"), (place - near + depth.length).alias("stop")
     )
     parts = sort_windows(contexts.filter(F.col("crowd") <= crowd), depth).union(
         deal_windows(contexts.filter(F.col("crowd") > crowd), depth)
