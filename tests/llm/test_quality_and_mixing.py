@@ -3,8 +3,10 @@ from __future__ import annotations
 import collections
 import random
 import re
+import unicodedata
 
 import pytest
+import regex
 from helpers import documents, frame, prose, sentence, words
 
 from tripmarts.llm import mixing, quality
@@ -105,6 +107,54 @@ def test_quality_of_an_empty_table_and_other_columns(spark):
     assert found["n_words"] == 3 and found["od.d"] == "keep" and found.quality.n_words == 2
 
 
+def test_a_text_is_judged_once_and_names_may_clash(spark):
+    wide = "doc_id long, text string, __words string, __lines int, judged int, words int"
+    rows = [(1, prose(random.Random(4), 9), "w", 1, 2, 3), (2, "no", "w", 1, 2, 3)]
+    kept = quality.only_kept(quality.line_first(frame(spark, rows, wide)))
+    assert [(r.doc_id, r["__words"], r.words) for r in kept.collect()] == [(1, "w", 3)]
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    conditions = [line for line in plan.split("\n") if re.match(r"[ :+*()\d-]*Filter ", line)]
+    assert not any("rlike" in c.lower() or "regexp" in c for c in conditions)
+
+
+SLOW_UNSPACED = "\u0e00-\u109f\u1780-\u17ff\u19e0-\u19ff\u2e80-\u2fdf\u3005-\u3007\u3021-\u3029\u3031-\u303b\u3041-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\ua9e0-\ua9ff\uaa60-\uaa7f\uf900-\ufaff\uff66-\uff9d\U00020000-\U0003ffff"
+
+
+def slow_line_fails(line):
+    """The rules for a line once more, with the patterns of another library."""
+    def count(pattern):
+        return len(regex.findall(pattern, line))
+
+    n = count(rf"[{SLOW_UNSPACED}]{{1,2}}|[\p{{L}}\p{{N}}][^\x20\x09-\x0D{SLOW_UNSPACED}]*")
+    closing = "\"'\uff02\uff07"
+    at = line[-64:]
+    while at and (at[-1] in closing or unicodedata.category(at[-1]) in ("Pe", "Pf", "Pi", "Zs", "Zl", "Zp", "Cf") or at[-1] in "\t\n\x0b\x0c\r\x85"):
+        at = at[:-1]
+    if n < 20 and not (at and at[-1] in quality.END_MARKS):
+        return True
+    marks = sum(c in "|•" or (c == "·" and not line[i + 1 : i + 2].isalpha()) for i, c in enumerate(line))
+    marks += 0 if "«" in line else line.count("»")
+    for found, least, each in ((marks, 2, 10), (count("!!+"), 3, 10), (count(r"[#*$%&|<>]{2,}"), 3, 10), (len(re.findall(quality.Rules.boilerplate, line.lower())), 1, 30)):
+        if found >= least and n < found * each:
+            return True
+    return False
+
+
+def test_line_rules_equal_brute_force(spark):
+    rng = random.Random(77)
+    pieces = [
+        "word", "Satz", "col·legi", "·", " · ", "|", "•", "»", "« ", "!!", "!", "##", "$%", "<>", ".", "?", "。", "।", "”", ")", "’", " ", " ", " ",
+        "漢字", "ไทย", "Privacy Policy", "copyright 2", "Copyright (c)", "\t", "\u3000", "\u2009", "…", "9", "«", "é", "Sign in to", "x " * 12, "\x85",
+    ]
+    lines = ["".join(rng.choices(pieces, k=rng.randint(1, 14))) for _ in range(1500)]
+    lines = [line for line in lines if words(line)]
+    rows = [(i, line) for i, line in enumerate(lines)]
+    found = {r.doc_id: r.quality.n_bad_lines for r in quality.line_first(frame(spark, rows, "doc_id long, text string")).collect()}
+    expected = {i: int(slow_line_fails(line)) for i, line in rows}
+    assert {i: lines[i] for i in found if found[i] != expected[i]} == {}
+    assert 100 < sum(expected.values()) < len(lines) - 100
+
+
 def targets(sizes: dict, curriculum) -> dict:
     """Water-filling in rounds: give by weight, cap, reshare."""
     names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + [None] * (None in sizes)

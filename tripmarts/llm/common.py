@@ -23,6 +23,14 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """The name with as many underscores before it as no column needs, in either case."""
+    taken = {column.lower() for column in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def words_of(text: Column) -> Column:
     """The words of a text, in order; none for a null text."""
     trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(" \t\n\x0b\f\r"))

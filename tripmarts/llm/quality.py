@@ -20,47 +20,60 @@ from tripmarts.llm.common import SPACES, let, table, words_of
 POSITION_BITS = 31
 
 
-# Scripts written without spaces: two of their characters count as a word of a line.
-UNSPACED = "".join(rf"\p{{Is{name}}}" for name in ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar", "Tibetan"))
-LINE_WORD = rf"[{UNSPACED}]{{1,2}}|[\p{{L}}\p{{N}}&&[^{UNSPACED}]][^{SPACES}{UNSPACED}]*"
+# Scripts written without spaces, as ranges of code points: Thai, Lao, Tibetan, Myanmar; Khmer; Han and Kana with
+# their marks and extensions. Two of their characters count as a word of a line.
+UNSPACED = (
+    "฀-႟ក-៿᧠-᧿⺀-⿟々-〇〡-〩〱-〻ぁ-ヿㇰ-ㇿ"
+    "㐀-䶿一-鿿ꧠ-꧿ꩠ-ꩿ豈-﫿ｦ-ﾝ\U00020000-\U0003ffff"
+)
+LINE_WORD = rf"[{UNSPACED}]{{1,2}}|[\p{{L}}\p{{N}}][^{SPACES}{UNSPACED}]*"
 # Marks that end a sentence, of Latin, Greek, Armenian, Arabic, Syriac, N'Ko, Indic, Myanmar, Ethiopic,
 # Khmer, Mongolian, Tibetan, Meetei, Balinese, Javanese and East Asian texts.
-END_MARKS = "….!?:;\u037e։՜՞؟؛۔܀܁܂߹।॥။၊།༎።፧፨។៕᠃᠉᭞᭟꧈꧉꯫‼‽⁇⁈⁉。！？．｡：；︒﹒﹖﹗"
+END_MARKS = "….!?:;;։՜՞؟؛۔܀܁܂߹।॥။၊།༎።፧፨។៕᠃᠉᭞᭟꧈꧉꯫‼‽⁇⁈⁉。！？．｡：；︒﹒﹖﹗"
+# What may follow such a mark: closing quotes and brackets of any script, also after a space, as in French.
+CLOSING = r"\"'＂＇\p{Pe}\p{Pf}\p{Pi}\x09-\x0D\x20\x{85}\p{Z}\p{Cf}"
 
 
 @dataclass(frozen=True)
 class Rules:
-    """Limits of the base rules and of the rules for lines.
+    """Limits of the base rules and of the rules for lines, for every script.
 
-    A line of `many_words` needs no mark at its end (None: every line needs one). Separators,
-    shouts and runs of symbols fail a line with fewer than `words_per_mark` words for each of them,
-    site and legal phrases one with fewer than `words_per_phrase` for each (None: however long it is).
+    A line of `many_words` needs no mark at its end. Separators, shouts and runs of symbols fail
+    a line with fewer than `words_per_mark` words for each of them, site and legal phrases one
+    with fewer than `words_per_phrase` for each.
     """
 
     fewest_words: int = 50
-    # What counts as a further word in a text of fewer.
+    # What counts as a further word in a text of fewer (None: nothing does).
     unspaced_word: str | None = rf"[{UNSPACED}]{{2}}"
     most_repeated_percent: int = 50
     most_lost: float = 0.5
-    # Closing quotes and brackets of any script may follow, also after a space, as in French.
-    sentence_end: str = rf"[{END_MARKS}][\"'＂＇\p{{Pe}}\p{{Pf}}\p{{Pi}}\s\p{{Z}}\p{{Cf}}]*$"
-    many_words: int | None = 20
+    # Looked for at the end of a line, in so many characters.
+    sentence_end: str = rf"[{END_MARKS}][{CLOSING}]*\z"
+    end_characters: int = 64
+    many_words: int = 20
     shouts: str = r"!!+"
     symbol_runs: str = r"[#*$%&|<>]{2,}"
     most_shouts: int = 2
     most_symbol_runs: int = 2
-    # A · between letters belongs to the word.
-    separators: str = r"[|•]|(?<!\p{L})·|·(?!\p{L})"
-    # Separators in a line without « only, else quotation marks.
-    unquoted_separators: str | None = "»"
+    # A · before a letter belongs to a word; » separates in lines without « only, else it is a quotation mark.
+    separators: str = r"[|•]|·(?:\P{L}|\z)"
+    unquoted_separators: str = "»"
     most_separators: int = 2
+    # No line without one of these is asked for marks.
+    any_mark: str = r"[|•·»]|!!|[#*$%&<>]{2}"
+    # Phrases of a line in lower case.
     boilerplate: str = (
-        r"(?i)all rights reserved|licen[sc]ed under|released under the|copyright (?:\(c\)|©|\d)"
+        r"all rights reserved|licen[sc]ed under|released under the|copyright (?:\(c\)|©|\d)"
         r"|terms of (?:use|service)|privacy policy|cookie policy|enable javascript"
         r"|sign in to|subscribe to our"
     )
-    words_per_mark: int | None = 10
-    words_per_phrase: int | None = 30
+    words_per_mark: int = 10
+    words_per_phrase: int = 30
+
+
+# The base rules of the query count words only.
+OP9_RULES = Rules(unspaced_word=None)
 
 
 def repeated_window_words(words: Column) -> Column:
@@ -108,36 +121,29 @@ def repeated_window_words(words: Column) -> Column:
     return let(words, lambda w: let(positions(w), covered)).cast("long")
 
 
-# The rules that OP9_SQL states: Latin sentence ends, every line needs one, each » separates,
-# and counts do not depend on the length of the line.
-OP9_RULES = Rules(
-    unspaced_word=None, sentence_end=r"[.!?…:;][\"'”’»)\]]*\s*$", many_words=None,
-    separators=r"[|»•·]", unquoted_separators=None, words_per_mark=None, words_per_phrase=None,
-)
-
-
 def line_fails(line: Column, rules: Rules) -> Column:
-    """Whether a line with a word is removed."""
+    """Whether a line with a word is removed. Words are counted only where the answer depends on them."""
     words = F.regexp_count(line, F.lit(LINE_WORD))
-    unfinished = ~line.rlike(rules.sentence_end)
-    if rules.many_words is not None:
-        unfinished = unfinished & (words < rules.many_words)
-    separators = F.regexp_count(line, F.lit(rules.separators))
-    if rules.unquoted_separators is not None:
-        quoted = F.contains(line, F.lit("«"))
-        separators = separators + F.when(quoted, 0).otherwise(F.regexp_count(line, F.lit(rules.unquoted_separators)))
-    def dense(count: Column, least: int, words_each: int | None) -> Column:
-        if words_each is None:
-            return count >= least
+    unfinished = ~F.right(line, F.lit(rules.end_characters)).rlike(rules.sentence_end) & (words < rules.many_words)
+    quoted = F.contains(line, F.lit("«"))
+    separators = F.regexp_count(line, F.lit(rules.separators)) + F.when(quoted, 0).otherwise(
+        F.regexp_count(line, F.lit(rules.unquoted_separators))
+    )
+
+    def dense(count: Column, least: int, words_each: int) -> Column:
         return let(count, lambda n: (n >= least) & (words < n * words_each))
 
-    return (
-        unfinished
-        | dense(separators, rules.most_separators, rules.words_per_mark)
+    marked = line.rlike(rules.any_mark) & (
+        dense(separators, rules.most_separators, rules.words_per_mark)
         | dense(F.regexp_count(line, F.lit(rules.shouts)), rules.most_shouts + 1, rules.words_per_mark)
         | dense(F.regexp_count(line, F.lit(rules.symbol_runs)), rules.most_symbol_runs + 1, rules.words_per_mark)
-        | dense(F.regexp_count(line, F.lit(rules.boilerplate)), 1, rules.words_per_phrase)
     )
+    phrased = let(
+        F.lower(line),
+        lambda low: low.rlike(rules.boilerplate)
+        & (words < F.regexp_count(low, F.lit(rules.boilerplate)) * rules.words_per_phrase),
+    )
+    return unfinished | marked | phrased
 
 
 def line_first(docs: DataFrame, rules: Rules = Rules(), out: str = "quality") -> DataFrame:
@@ -148,7 +154,7 @@ def line_first(docs: DataFrame, rules: Rules = Rules(), out: str = "quality") ->
     cleaned (lines that passed, joined by newlines), base_failed, kept.
 
     A null text counts as empty; an empty text has no words, so it is not kept. Equal rows get
-    equal answers and stay apart. Other columns pass through; a column named `out` is replaced.
+    equal answers and stay apart. Other columns pass through, whatever their names; one named `out` is replaced.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(f"[^{SPACES}]"))
@@ -156,54 +162,61 @@ def line_first(docs: DataFrame, rules: Rules = Rules(), out: str = "quality") ->
     def chars(items: Column) -> Column:
         return F.coalesce(F.length(F.array_join(items, "")), F.lit(0))
 
-    counts = docs.select(
-        *[F.col(f"`{c}`") for c in docs.columns if c != out],
-        let(
-            words_of(text),
-            lambda w: F.struct(
-                F.size(w).cast("long").alias("n_words"),
-                F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
-                repeated_window_words(w).alias("n_repeat_words"),
-            ),
-        ).alias("__words"),
-        let(
-            lines,
-            lambda all_lines: let(
-                F.filter(all_lines, lambda x: ~line_fails(x, rules)),
-                lambda good: F.struct(
-                    F.size(all_lines).cast("long").alias("n_lines"),
-                    (F.size(all_lines) - F.size(F.array_distinct(all_lines))).cast("long").alias("n_dup_lines"),
-                    (F.size(all_lines) - F.size(good)).cast("long").alias("n_bad_lines"),
-                    chars(all_lines).alias("chars"),
-                    chars(good).alias("good_chars"),
-                    F.array_join(good, "\n").alias("cleaned"),
-                ),
-            ),
-        ).alias("__lines"),
-        F.regexp_count(text, F.lit("[#*$%&|<>]")).cast("long").alias("__n_symbols"),
-        (F.regexp_count(text, F.lit(rules.unspaced_word)) if rules.unspaced_word else F.lit(0)).alias("__n_unspaced"),
-    )
-    w, lines_ = F.col("__words"), F.col("__lines")
-    base_failed = (w["n_words"] + F.col("__n_unspaced") < rules.fewest_words) | (
-        100 * w["n_repeat_words"] > rules.most_repeated_percent * w["n_words"]
+    of_words = let(
+        words_of(text),
+        lambda w: F.struct(
+            F.size(w).cast("long").alias("n_words"),
+            F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
+            repeated_window_words(w).alias("n_repeat_words"),
+        ),
     )
-    lost = F.coalesce(1 - F.try_divide(lines_["good_chars"], lines_["chars"]), F.lit(0.0))
-    return counts.withColumn(
-        out,
-        F.struct(
-            w["n_words"].alias("n_words"),
-            w["word_chars"].alias("word_chars"),
-            F.col("__n_symbols").alias("n_symbols"),
-            lines_["n_dup_lines"].alias("n_dup_lines"),
-            w["n_repeat_words"].alias("n_repeat_words"),
-            lines_["n_lines"].alias("n_lines"),
-            lines_["n_bad_lines"].alias("n_bad_lines"),
-            lost.alias("lost"),
-            lines_["cleaned"].alias("cleaned"),
-            base_failed.alias("base_failed"),
-            (~base_failed & (lost <= rules.most_lost)).alias("kept"),
+    of_lines = let(
+        lines,
+        lambda all_lines: let(
+            F.filter(all_lines, lambda x: ~line_fails(x, rules)),
+            lambda good: F.struct(
+                F.size(all_lines).cast("long").alias("n_lines"),
+                (F.size(all_lines) - F.size(F.array_distinct(all_lines))).cast("long").alias("n_dup_lines"),
+                (F.size(all_lines) - F.size(good)).cast("long").alias("n_bad_lines"),
+                chars(all_lines).alias("chars"),
+                chars(good).alias("good_chars"),
+                F.array_join(good, "\n").alias("cleaned"),
+            ),
         ),
-    ).drop("__words", "__lines", "__n_symbols", "__n_unspaced")
+    )
+
+    def verdict(both: Column) -> Column:
+        w, of = both["words"], both["lines"]
+        further = F.regexp_count(text, F.lit(rules.unspaced_word)) if rules.unspaced_word else F.lit(0)
+        few = (w["n_words"] < rules.fewest_words) & (w["n_words"] + further < rules.fewest_words)
+        base_failed = few | (100 * w["n_repeat_words"] > rules.most_repeated_percent * w["n_words"])
+        lost = F.coalesce(1 - F.try_divide(of["good_chars"], of["chars"]), F.lit(0.0))
+        return let(
+            F.struct(base_failed.alias("base_failed"), lost.alias("lost")),
+            lambda found: F.struct(
+                w["n_words"].alias("n_words"),
+                w["word_chars"].alias("word_chars"),
+                F.regexp_count(text, F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"),
+                of["n_dup_lines"].alias("n_dup_lines"),
+                w["n_repeat_words"].alias("n_repeat_words"),
+                of["n_lines"].alias("n_lines"),
+                of["n_bad_lines"].alias("n_bad_lines"),
+                found["lost"].alias("lost"),
+                of["cleaned"].alias("cleaned"),
+                found["base_failed"].alias("base_failed"),
+                (~found["base_failed"] & (found["lost"] <= rules.most_lost)).alias("kept"),
+            ),
+        )
+
+    judged = let(F.struct(of_words.alias("words"), of_lines.alias("lines")), verdict)
+    return docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != out], judged.alias(out))
+
+
+def only_kept(judged: DataFrame, out: str = "quality") -> DataFrame:
+    """The rows that `line_first` keeps, each judged once: the verdict is no filter that could be copied into the scan."""
+    rest = [F.col(f"`{c}`") for c in judged.columns if c != out]
+    kept = F.filter(F.array(F.col(f"`{out}`")), lambda q: q["kept"])
+    return judged.select(*rest, F.explode(kept).alias(out))
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -216,7 +229,11 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_first(docs, OP9_RULES).select("doc_id", *[q[name].alias(name) for name in names])
 
 
-OP9_SQL = r"""
+def sql_text(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+OP9_SQL = (r"""
 WITH d AS (
     SELECT doc_id, coalesce(text, '') AS text,
            regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
@@ -232,11 +249,13 @@ WITH d AS (
 ), j AS (
     SELECT d.*, coalesce(c.n, 0) AS n_repeat_words,
            list_filter(lines, lambda x:
-               regexp_matches(x, '[.!?…:;][\"''”’»)\]]*\s*$')
-               AND len(regexp_extract_all(x, '[|»•·]')) < 2
-               AND len(regexp_extract_all(x, '!!+')) <= 2
-               AND len(regexp_extract_all(x, '[#*$%&|<>]{2,}')) <= 2
-               AND NOT regexp_matches(x, '(?i)all rights reserved|licen[sc]ed under|released under the|copyright (?:\(c\)|©|\d)|terms of (?:use|service)|privacy policy|cookie policy|enable javascript|sign in to|subscribe to our')
+               (regexp_matches(right(x, 64), <END>) OR len(regexp_extract_all(x, <WORD>)) >= 20)
+               AND NOT list_bool_or(list_transform(
+                   [[len(regexp_extract_all(x, <SEPARATORS>)) + CASE WHEN contains(x, '«') THEN 0 ELSE len(regexp_extract_all(x, '»')) END, 2, 10],
+                    [len(regexp_extract_all(x, '!!+')), 3, 10],
+                    [len(regexp_extract_all(x, '[#*$%&|<>]{2,}')), 3, 10],
+                    [len(regexp_extract_all(lower(x), <PHRASES>)), 1, 30]],
+                   lambda r: r[1] >= r[2] AND len(regexp_extract_all(x, <WORD>)) < r[1] * r[3]))
            ) AS good
     FROM d LEFT JOIN covered c ON d.doc_id = c.doc_id
 ), n AS (
@@ -255,3 +274,6 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(coalesce(word_chars, 0)
        CAST(n_lines AS BIGINT) AS n_lines, CAST(n_bad_lines AS BIGINT) AS n_bad_lines
 FROM n
 """
+    .replace("<END>", sql_text(Rules.sentence_end)).replace("<WORD>", sql_text(LINE_WORD))
+    .replace("<SEPARATORS>", sql_text(Rules.separators)).replace("<PHRASES>", sql_text(Rules.boilerplate))
+)
