@@ -118,6 +118,24 @@ def test_captures_are_judged_as_of_their_fetch(spark):
     assert urllists.judge(frame(spark, captures, "url string, fetched date, host int"), nothing).filter("blocked").count() == 0
 
 
+def test_tied_turns_go_by_role_and_text(spark):
+    rows = [(1, 0, "user", "ab"), (1, 0, "user", "ab "), (1, 0, "user", "a<s>"), (1, 0, "user", "a<"), (1, 0, None, "z"), (1, 0, "", "y"), (1, None, "x", "w")]
+    turns = frame(spark, [(c, n, r, [("text", t, None, None)]) for c, n, r, t in rows], f"conv_id long, turn long, role string, parts array<{chat.PART}>")
+    found = chat.read_back(chat.format_conversations(turns)).first()
+    order = sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[2] or "", r[3]))
+    assert found.turns_sha256 == hashlib.sha256("".join(f"{r or ''}\n{t}\n" for _, _, r, t in order).encode()).hexdigest()
+
+
+def test_parts_of_any_type(spark):
+    kinds = ["attachment", "visit", "unknown", "", None, "image"]
+    parts = [{"type": k, "text": f"<s>{k}", "ref": "r", "units": None} for k in kinds]
+    formatted, _, _, attachments, said = chat.format_turn("user", parts)
+    assert [a["type"] for a in attachments] == ["image"] and formatted.count("<unk>") == 3
+    assert chat.read_turn(formatted) == ("user", said)
+    long = "<image>" * 200_000
+    assert chat.read_turn(chat.format_turn("assistant", [{"type": "text", "text": long}])[0]) == ("assistant", long)
+
+
 # --- pipeline -----------------------------------------------------------------------------------
 
 

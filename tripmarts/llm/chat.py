@@ -50,12 +50,20 @@ class Flattener:
     pieces: list[str] = field(default_factory=list)
     attachments: list[dict] = field(default_factory=list)
 
+    said: list[str] = field(default_factory=list)
+
     def visit(self, part: dict) -> None:
         kind = part["type"] or "text"
-        getattr(self, f"visit_{kind}", self.visit_unknown)(part)
+        if kind == "text":
+            self.visit_text(part)
+        elif kind in self.tokens_per_unit:
+            self.visit_attachment(part)
+        else:
+            self.visit_unknown(part)
 
     def visit_text(self, part: dict) -> None:
         self.pieces.append(escaped(part["text"] or ""))
+        self.said.append(part["text"] or "")
 
     def visit_attachment(self, part: dict) -> None:
         units = 1 if part["units"] is None else part["units"]
@@ -63,23 +71,23 @@ class Flattener:
             "type": part["type"], "ref": part["ref"], "tokens": units * self.tokens_per_unit[part["type"]]
         })
         self.pieces.append(f"<{part['type']}>")
-
-    visit_image = visit_audio = visit_document = visit_attachment
+        self.said.append(f"<{part['type']}>")
 
     def visit_unknown(self, part: dict) -> None:
         """A part of a type that has no placeholder is marked, with its text, and not expanded."""
         self.pieces.append("<unk>" + escaped(part["text"] or ""))
+        self.said.append("<unk>" + (part["text"] or ""))
 
 
-def format_turn(role: str | None, parts: list[dict]) -> tuple[str, int, int, list[dict]]:
-    """The formatted turn, where its learned content starts and ends, and its attachments."""
+def format_turn(role: str | None, parts: list[dict]) -> tuple[str, int, int, list[dict], str]:
+    """The formatted turn, where its learned content starts and ends, its attachments, and its content unescaped."""
     visitor = Flattener()
     for part in parts:
         visitor.visit(part)
     content = "".join(visitor.pieces)
     head = f"{OPEN}{escaped(role or '')}{CLOSE}"
     learned = len(content) if role == LEARNED_ROLE else 0
-    return f"{head}{content}{END}", len(head), len(head) + learned, visitor.attachments
+    return f"{head}{content}{END}", len(head), len(head) + learned, visitor.attachments, "".join(visitor.said)
 
 
 def read_turn(formatted: str) -> tuple[str, str]:
@@ -90,7 +98,7 @@ def read_turn(formatted: str) -> tuple[str, str]:
 
 FORMATTED = (
     "conv_id long, turn long, role string, formatted string, loss_start int, loss_end int, "
-    "attachments array<struct<type: string, ref: string, tokens: long>>"
+    "attachments array<struct<type: string, ref: string, tokens: long>>, content string"
 )
 
 
@@ -99,7 +107,8 @@ def format_conversations(turns: DataFrame) -> DataFrame:
 
     `formatted` is the turn in the template, `loss_start` and `loss_end` its characters
     under the loss mask (none but for an assistant), `attachments` the references with their
-    expanded tokens. Null parts are an empty text; a null role is an empty one.
+    expanded tokens, `content` what the turn says before escaping. Null parts are an empty text; a null role is an empty
+    one. A part of no type is text; one of a type without a placeholder is marked as unknown.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,11 +116,12 @@ def format_conversations(turns: DataFrame) -> DataFrame:
             ("conv_id", pa.int64()), ("turn", pa.int64()), ("role", pa.string()), ("formatted", pa.string()),
             ("loss_start", pa.int32()), ("loss_end", pa.int32()),
             ("attachments", pa.list_(pa.struct([("type", pa.string()), ("ref", pa.string()), ("tokens", pa.int64())]))),
+            ("content", pa.string()),
         ])
         for batch in batches:
             roles = batch.column(2).to_pylist()
             made = [format_turn(role, parts or []) for role, parts in zip(roles, batch.column(3).to_pylist())]
-            columns = list(zip(*made)) if made else [[]] * 4
+            columns = list(zip(*made)) if made else [[]] * 5
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), batch.column(2),
                  *(pa.array(values, kind.type) for values, kind in zip(columns, list(schema)[3:]))],
@@ -156,7 +166,7 @@ class Reader:
 def read_back(formatted: DataFrame) -> DataFrame:
     """What the formatted turns say, a row for each conversation.
 
-    Turns are taken by number, null first, equal ones by role and text. Rows are sorted within
+    Turns are taken by number, null first, equal ones by role (null as empty) and content. Rows are sorted within
     partitions and stream by; a task holds the digests of one conversation, not its text. Rows
     without a conversation are one conversation.
     """
@@ -182,7 +192,7 @@ def read_back(formatted: DataFrame) -> DataFrame:
     ])
     return (
         formatted.repartition("conv_id")
-        .sortWithinPartitions("conv_id", "turn", "role", "formatted")
+        .sortWithinPartitions("conv_id", "turn", F.coalesce("role", F.lit("")), "content")
         .select("conv_id", "formatted", "loss_start", "loss_end", "attachments")
         .mapInArrow(run, SUMMARY)
     )
