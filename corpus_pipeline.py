@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmarts.llm import bpe, mixing, quality, repeats, simhash
-from tripmarts.llm.common import stored, table, words_of
+from tripmarts.llm.common import stored, table, unused, words_of
 
 
 def with_text(docs: DataFrame, text, columns: list[str]) -> DataFrame:
@@ -24,8 +24,9 @@ def with_text(docs: DataFrame, text, columns: list[str]) -> DataFrame:
 
 def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass, without their bad lines."""
-    judged = quality.line_first(docs, out="__quality").filter("__quality.kept")
-    return with_text(judged, F.col("__quality.cleaned"), docs.columns)
+    name = unused("quality", docs.columns)
+    judged = quality.only_kept(quality.line_first(docs, out=name), name)
+    return with_text(judged, F.col(f"`{name}`.cleaned"), docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
