@@ -14,10 +14,12 @@ from tripmarts import cli
 from tripmarts.contracts import KINDS, BrokenContract
 from tripmarts.operators import marts
 from tripmarts.plans import stages
-from tripmarts.plans.registry import EDGES, PROFILE, SILVER, SUMMARIES
+from tripmarts.plans.grains import GRAINS
+from tripmarts.plans.registry import SUMMARIES
 from tripmarts.settings import MonthRange
+from tripmarts.sources.kept import remove
 from tripmarts.sources.lake import Lake
-from tripmarts.sources.raw import month_path
+from tripmarts.sources.raw import month_path, scan_groups
 
 FIRST_QUARTER = MonthRange(2022, 1, 2022, 3)
 
@@ -242,10 +244,45 @@ def test_values_made_null_are_counted_per_file(scene, caplog):
     with caplog.at_level("WARNING"):
         scene.ingest(MonthRange(2022, 1, 2022, 4), skip_missing=True)
     audit = scene.lake.read_audit("yellow").filter("nulled > 0").collect()
-    assert [tuple(r) for r in audit] == [("pu_location_id", expected, 202202)]
+    assert [tuple(r) for r in audit] == [("pu_location_id", expected, 0, 202202)]
+    every = {(r.source_month, r.column_name) for r in scene.lake.read_audit("yellow").collect()}
+    assert {m for m, _ in every} == {202201, 202202, 202203} and (202201, "fare_amount") in every
     assert "pu_location_id" in caplog.text and "2022-04" in caplog.text
 
 
+def test_months_that_deliver_the_same_are_one_scan(scene):
+    drifted = raw_frame(scene.spark, "yellow", month_of_trips(2022, 4))
+    drifted = drifted.withColumn("PULocationID", F.col("PULocationID") + F.when(F.col("fare_amount") > 20, 0.5).otherwise(0.0))
+    for month in (4, 5):
+        drifted.coalesce(1).write.mode("overwrite").parquet(month_path(scene.raw, "yellow", 2022, month))
+    half = MonthRange(2022, 1, 2022, 5)
+    groups = scan_groups(scene.spark, scene.raw, "yellow", half)
+    assert sorted(g.months for g in groups) == [((2022, 1), (2022, 2), (2022, 3)), ((2022, 4), (2022, 5))]
+    assert scene.ingest(half) == list(half)
+    bronze = scene.spark.read.parquet(scene.lake.bronze_path("yellow"))
+    assert bronze.groupBy("source_month").count().count() == 5
+    named = F.regexp_replace(F.regexp_extract("_source_file", "tripdata_(.{7})", 1), "-", "").cast("int")
+    assert bronze.filter(named != F.col("source_month")).count() == 0
+    cut = drifted.filter("PULocationID <> floor(PULocationID)").count()
+    audit = scene.lake.read_audit("yellow").filter("cut > 0").orderBy("source_month").collect()
+    assert [tuple(r) for r in audit] == [("pu_location_id", 0, cut, 202204), ("pu_location_id", 0, cut, 202205)] and cut
+
+
+def test_a_failed_write_leaves_what_was_there(scene, monkeypatch):
+    scene.ingest()
+    scene.transform()
+    stages.analyse(scene.lake, "yellow", "time_series")
+    bronze = as_set(scene.lake.read_bronze("yellow").groupBy("_source_file", "year", "month").count())
+    summary = as_set(scene.lake.read_summary("time_series", "monthly_volume_trend", "yellow"))
+    broken = F.when(F.rand() < 2, F.raise_error(F.lit("disk full"))).cast("int")
+    with pytest.raises(Exception, match="disk full"):
+        scene.lake.write_bronze(scene.lake.read_bronze("yellow").withColumns({"source_month": F.lit(202201), "vendor_id": broken}), "yellow", [(2022, 1)])
+    with pytest.raises(Exception, match="disk full"):
+        scene.lake.write_summary(scene.spark.range(9).withColumn("x", broken), "time_series", "monthly_volume_trend", "yellow")
+    assert as_set(scene.lake.read_bronze("yellow").groupBy("_source_file", "year", "month").count()) == bronze
+    assert as_set(scene.lake.read_summary("time_series", "monthly_volume_trend", "yellow")) == summary
+
+
 def test_every_kind_runs_to_the_end(scene):
     expected = {"green": 22, "fhv": 14, "fhvhv": 19}
     assert set(expected) | {"yellow"} == set(KINDS)
@@ -266,12 +303,11 @@ def test_written_summaries_equal_direct_ones_and_are_one_sorted_file(finished):
     silver = finished.lake.read_silver("yellow")
     for name, summary in SUMMARIES.items():
         arguments = {"top_n": 4} if name == "top_corridors" else summary.params
-        on_silver = summary.source in (SILVER, EDGES, PROFILE)
-        source = silver if on_silver else getattr(marts, summary.source)(silver)
+        source = silver if summary.source in GRAINS else getattr(marts, summary.source)(silver)
         expected = summary.build(source, **arguments)
         path = finished.lake.summary_path(summary.domain, summary.output_name(**arguments), "yellow")
         found = finished.spark.read.parquet(path)
-        assert as_set(found, 6) == as_set(expected, 6), name
+        assert as_set(found, 7) == as_set(expected, 7), name
         assert len(found.inputFiles()) == 1, name
         stored, sorted_again = found.collect(), summary.ordered(found).collect()
         keys = [key.lstrip("-") for key in summary.order]
@@ -279,6 +315,52 @@ def test_written_summaries_equal_direct_ones_and_are_one_sorted_file(finished):
     assert finished.lake.read_summary("trip_patterns", "top_4_corridors", "yellow").count() == 4
 
 
+def test_a_rerun_of_one_month_reads_that_month_of_silver(scene, monkeypatch):
+    scene.ingest()
+    scene.transform()
+    rows = month_of_trips(2022, 2)
+    scene.store("yellow", 2022, 2, rows[:25] + rows[-3:])
+    scene.ingest(MonthRange(2022, 2, 2022, 2))
+    february = MonthRange(2022, 2, 2022, 2)
+    asked = []
+    original = Lake.read_silver
+    monkeypatch.setattr(Lake, "read_silver", lambda self, kind, months=None: asked.append(months) or original(self, kind, months))
+    scene.transform(february)
+    stages.analyse(scene.lake, "yellow")
+    assert asked == [february]
+    monkeypatch.undo()
+    found = {name: as_set(read_back(scene, s), 7) for name, s in SUMMARIES.items()}
+    grains = {name: as_set(scene.lake.read_grain(name, "yellow")) for name in GRAINS}
+    for name in GRAINS:
+        remove(scene.spark, scene.lake.grain_path(name, "yellow"))
+    stages.analyse(scene.lake, "yellow")
+    assert found == {name: as_set(read_back(scene, s), 7) for name, s in SUMMARIES.items()}, "without stored grains"
+    scene.transform()
+    assert grains == {name: as_set(scene.lake.read_grain(name, "yellow")) for name in GRAINS}
+    silver = scene.lake.read_silver("yellow")
+    assert found == {
+        name: as_set(s.build(silver if s.source in GRAINS else getattr(marts, s.source)(silver), **s.params), 7)
+        for name, s in SUMMARIES.items()
+    }
+
+
+def read_back(scene, summary):
+    return scene.lake.read_summary(summary.domain, summary.output_name(**summary.params), "yellow")
+
+
+def test_silver_is_written_by_one_scan_of_bronze(scene, monkeypatch):
+    scene.ingest()
+    reads = []
+    scan = Lake.read_bronze
+    monkeypatch.setattr(Lake, "read_bronze", lambda self, *a: reads.append(a) or scan(self, *a))
+    asked = []
+    months_of = Lake.months_of
+    monkeypatch.setattr(Lake, "months_of", lambda self, rows: asked.append(rows.inputFiles()) or months_of(self, rows))
+    scene.transform()
+    assert len(reads) == 1
+    assert asked and not any("/bronze/" in name for files in asked for name in files)
+
+
 def test_one_domain_only(scene):
     scene.ingest()
     scene.transform()
@@ -321,7 +403,7 @@ def test_held_rows_survive_with_a_checkpoint_folder(spark, tmp_path, monkeypatch
         with stages.held(rows) as kept:
             assert all("shared" in name for name in kept.inputFiles())
             assert as_set(kept) == as_set(rows)
-        assert not list((tmp_path / "shared").glob("*/held-*")), "removed after use"
+        assert not list((tmp_path / "shared").rglob("held-*")), "removed after use"
     finally:
         unset = context._jvm.scala.Option.apply(None)
         context._jsc.sc().checkpointDir_eq = unset

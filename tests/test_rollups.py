@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import math
 import random
-import struct
 from fractions import Fraction
 
 import pytest
@@ -14,8 +13,11 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tripmarts.operators import quantiles
-from tripmarts.operators.quantiles import ordered_number, quantiles_of_counts, rollup_with_quantiles
+from tripmarts.operators.quantiles import in_order, quantiles_in_order, rollup_with_quantiles
 from tripmarts.operators.rollup import grain, mean, rollup, total, trips_as
+from tripmarts.sources import kept as kept_rows
+from tripmarts.sources.kept import keeping
+from tripmarts.sources.kept import kept as held
 
 MEASURES = (trips_as("n"), total("s", "x"), mean("m", "x"), mean("pct", "y", scale=100))
 
@@ -119,41 +121,51 @@ def test_any_doubles_are_exact(spark):
     assert [row[name] for name in points] == [discrete(values, share) for share in points.values()]
 
 
-def test_numbers_are_in_the_order_of_the_doubles(spark):
-    pick = random.Random(4)
-    values = [struct.unpack("<d", pick.randbytes(8))[0] for _ in range(4000)]
-    values += [s * 2.0**e * (1 + d) for s in (-1, 1) for e in range(-1074, 1024, 7) for d in (0, 2.0**-52)]
-    frame = spark.createDataFrame([(v,) for v in values], "v double").select("v", ordered_number(F.col("v")).alias("n"))
-    for row in frame.collect():
-        if math.isnan(row.v):
-            assert row.n == (2047 << 52) + 1
-        else:
-            bits = struct.unpack("<q", struct.pack("<d", abs(row.v)))[0]
-            assert row.n == (-bits if row.v < 0 else bits), row.v
-
-
-def test_no_window_sees_more_buckets_than_a_digit_has(spark, monkeypatch):
-    """Rows of different values only: still no more than 16 buckets of four bits in a window."""
-    monkeypatch.setattr(quantiles, "DIGIT_BITS", 4)
-    monkeypatch.setattr(quantiles, "LEVELS", 16)
+def test_no_task_holds_a_whole_group(spark, monkeypatch):
+    """One group of different values only: partitions share it, and few rows are read again."""
+    monkeypatch.setattr(quantiles, "kept", lambda rows: seen.append(held(rows)) or seen[-1])
     seen = []
-    original = quantiles._buckets
-    monkeypatch.setattr(quantiles, "_buckets", lambda *args: seen.append(original(*args)) or seen[-1])
-    values = [(k, i * 1.7) for i in range(2000) for k in "ab"]
-    counts = spark.createDataFrame(values, "k string, v double").groupBy("k", "v").agg(F.count("*").alias("_trips"))
-    quantiles_of_counts(counts, ("k",), "v", POINTS)
-    assert len(seen) == 16
-    for level, buckets in enumerate(seen[:5]):
-        window = ["k"] if level == 0 else ["k", *quantiles.POINT]
-        most = buckets.groupBy(*window).count().agg(F.max("count")).first()[0]
-        assert 0 < most <= 16
+    frame = spark.createDataFrame([("a", i * 1.7) for i in range(4000)] + [("b", 1.0)], "k string, v double")
+    found = rollup_with_quantiles(frame, ("k",), (), "v", {"mid": "0.5"}).collect()
+    assert {(r.k, r.mid) for r in found} == {("a", 1999 * 1.7), ("b", 1.0)}
+    sizes = [r["count"] for r in seen[0].groupBy(quantiles.PART).count().collect()]
+    assert len(sizes) == 4 and max(sizes) < 2000
+    ends = seen[0].filter("k = 'a'").groupBy(quantiles.PART).agg(F.min("v").alias("a"), F.max("v").alias("b"))
+    edges = [x for r in ends.orderBy(quantiles.PART).collect() for x in (r.a, r.b)]
+    assert edges == sorted(edges), "partitions hold consecutive values"
+
+
+@pytest.mark.parametrize("where", ["cached", "stored"])
+def test_counts_are_kept_once_and_released(spark, tmp_path, monkeypatch, where):
+    frame = random_rows(spark)
+    monkeypatch.setattr(kept_rows, "shared_folder", lambda spark: str(tmp_path) if where == "stored" else None)
+    with keeping():
+        found = rollup_with_quantiles(frame, ("k",), MEASURES, "x", POINTS)
+        stored = len(list(tmp_path.glob("held-*")))
+        rows = as_set(found)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    assert stored == (where == "stored") and not list(tmp_path.glob("held-*")), "removed at the end of the block"
+    assert rows == as_set(rollup_with_quantiles(frame, ("k",), MEASURES, "x", POINTS))
+    assert ("InMemoryTableScan" in plan) == (where == "cached")
+
+
+def test_quantiles_of_a_grain_equal_those_of_the_rows(spark):
+    rows = random_rows(spark)
+    pre = grain(rows, ("k", "h", "x"), ("x", "y"))
+    args = ("k",), MEASURES, "x", POINTS
+    assert as_set(rollup_with_quantiles(pre, *args)) == as_set(rollup_with_quantiles(rows, *args))
+    with pytest.raises(ValueError, match="sketch"):
+        rollup_with_quantiles(pre, *args, accuracy=100)
 
 
 def test_quantiles_of_counted_values(spark):
-    counts = spark.createDataFrame([(1.0, 3), (2.0, 1), (9.0, 6), (None, 50)],
-                                   "v double, _trips bigint")
-    row = quantiles_of_counts(counts, (), "v", POINTS).first()
+    """Equal values in several rows, as of several months; nulls have no rank."""
+    rows = [(1.0, 3, 1), (2.0, 1, 1), (9.0, 2, 1), (9.0, 4, 2), (None, 50, 1)]
+    counts = spark.createDataFrame(rows, "v double, _trips bigint, month int")
+    row = quantiles_in_order(held(in_order(counts, (), "v")), (), "v", POINTS).first()
     assert (row["low"], row["mid"], row["high"]) == (1.0, 9.0, 9.0)
+    nothing = quantiles_in_order(held(in_order(counts.limit(0), (), "v")), (), "v", POINTS).first()
+    assert (nothing["low"], nothing["mid"], nothing["high"]) == (None, None, None)
 
 
 def test_sketch_on_request(spark):
@@ -164,13 +176,3 @@ def test_sketch_on_request(spark):
     assert as_set(rollup_with_quantiles(*args, accuracy=100_000)) == as_set(
         rollup_with_quantiles(*args)
     )
-
-
-def test_a_hot_group_is_counted_before_it_is_gathered(spark):
-    """Trips meet per (group, value) first; windows get buckets, and the trips are counted once."""
-    frame = random_rows(spark)
-    found = rollup_with_quantiles(frame, ("k",), (trips_as("n"),), "x", POINTS)
-    found.collect()
-    plan = found._jdf.queryExecution().executedPlan().toString()
-    assert "ReusedExchange [k" in plan
-    assert "hashpartitioning(k" in plan and "percentile" not in plan

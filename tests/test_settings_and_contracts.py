@@ -73,11 +73,13 @@ def test_enforce_fills_and_types(spark):
 
 def test_a_number_out_of_range_becomes_null(spark):
     schema = "PUlocationID double, pickup_datetime timestamp, dropOff_datetime timestamp"
-    raw = spark.createDataFrame([(1e12, None, None), (7.0, None, None), (None, None, None)], schema)
+    values = (1e12, 7.0, None, 1.75, float("nan"))
+    raw = spark.createDataFrame([(v, None, None) for v in values], schema)
     rows = raw.selectExpr(*CONTRACTS["fhv"].enforce(raw))
-    assert [r["PUlocationID"] for r in rows.collect()] == [None, 7, None]
-    nulled = raw.agg(*CONTRACTS["fhv"].nulled(raw)).first().asDict()
-    assert nulled == {"pu_location_id": 1, "pickup_datetime": 0, "dropoff_datetime": 0}
+    assert [r["PUlocationID"] for r in rows.collect()] == [None, 7, None, 1, None]
+    altered = raw.agg(*CONTRACTS["fhv"].altered(raw)).first().asDict()
+    assert {name: tuple(counts) for name, counts in altered.items()} == {"pu_location_id": (2, 1)}
+    assert CONTRACTS["fhv"].names_delivered(raw) == ["pickup_datetime", "dropoff_datetime", "pu_location_id"]
 
 
 def test_broken_files_are_refused(spark):

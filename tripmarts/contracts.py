@@ -122,6 +122,12 @@ class Field:
         return family is None or isinstance(delivered, (T.NullType, *(family if isinstance(family, tuple) else (family,))))
 
 
+    def holds(self, delivered: T.DataType) -> bool:
+        """Whether every value of that type has one in this type."""
+        whole = {"int": (T.ByteType, T.ShortType, T.IntegerType), "bigint": (T.ByteType, T.ShortType, T.IntegerType, T.LongType)}
+        return self.type not in whole or isinstance(delivered, (T.NullType, *whole[self.type]))
+
+
 @dataclass(frozen=True)
 class Contract:
     kind: str
@@ -142,7 +148,7 @@ class Contract:
 
         Refuses files that lack a required column or deliver a column as another kind of value
         (a text for a number). An optional column that the file lacks is a typed null, and so is
-        a single number out of range, which should not fail a whole month: `nulled` counts those.
+        a single number out of range, which should not fail a whole month: `altered` counts those.
         """
         delivered = self.delivered(raw)
         projection = []
@@ -153,7 +159,6 @@ class Contract:
             projection.append(f"try_cast({source} AS {f.type}) AS `{name}`")
         return projection
 
-
     def delivered(self, raw: DataFrame) -> dict[str, str]:
         """The file's name of each column it has, whatever its letters' case."""
         names = {field.name.lower(): field for field in raw.schema.fields}
@@ -169,14 +174,24 @@ class Contract:
             raise BrokenContract(f"{self.kind} trips: {'; '.join(said)}")
         return {raw_name: field.name for raw_name, field in found.items()}
 
-    def nulled(self, raw: DataFrame) -> list[Column]:
-        """For each column, how many delivered values the contract's type turns into null."""
+    def names_delivered(self, raw: DataFrame) -> list[str]:
+        found = self.delivered(raw)
+        return [f.name for f in self.fields if f.raw in found]
+
+    def altered(self, raw: DataFrame) -> list[Column]:
+        """For each column whose type may not hold a delivered value: how many become null, and how many lose a fraction."""
         delivered = self.delivered(raw)
-        return [
-            F.count_if(F.expr(f"`{delivered[f.raw]}` IS NOT NULL AND try_cast(`{delivered[f.raw]}` AS {f.type}) IS NULL")).alias(f.name)
-            for f in self.fields
-            if f.raw in delivered
-        ]
+        counts = []
+        for f in self.fields:
+            name = delivered.get(f.raw)
+            if name is None or f.holds(raw.schema[name].dataType):
+                continue
+            value, cast = F.col(f"`{name}`"), F.expr(f"try_cast(`{name}` AS {f.type})")
+            counts.append(
+                F.struct(F.count_if(value.isNotNull() & cast.isNull()).alias("nulled"), F.count_if(cast != value).alias("cut"))
+                .alias(f.name)
+            )
+        return counts
 
 
 def _contract(kind: str, table: str, required: str, rules: str) -> Contract:

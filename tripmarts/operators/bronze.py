@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmarts.contracts import contract_for
-from tripmarts.sources.raw import SOURCE_FILE
+from tripmarts.sources.raw import SOURCE_FILE, SOURCE_MONTH
 
 
 def to_bronze(raw: DataFrame, kind: str) -> DataFrame:
-    kept = [name for name in raw.columns if name == SOURCE_FILE]
+    kept = [name for name in raw.columns if name in (SOURCE_FILE, SOURCE_MONTH)]
     named = raw.selectExpr(*contract_for(kind).enforce(raw, renamed=True), *kept)
     return named.withColumns(
         {

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -51,19 +52,25 @@ def trips_by_borough(trips: DataFrame) -> DataFrame:
 
 
 def with_payment_label(silver: DataFrame) -> DataFrame:
+    if "payment_type" not in silver.columns:
+        return silver
     return silver.withColumn("payment_label", payment_label(F.col("payment_type")))
 
 
+def with_tip_ratio(silver: DataFrame) -> DataFrame:
+    if not {"tip_amount", "fare_amount"} <= set(silver.columns):
+        return silver
+    return silver.withColumn("tip_ratio", F.try_divide("tip_amount", "fare_amount"))
+
+
 def payment_counts(silver: DataFrame) -> DataFrame:
     """The fare mart's groups with their trips alone."""
     return rollup(with_payment_label(silver), (*MONTH, "payment_label"), (TRIP_COUNT,))
 
 
-def fare_summary(silver: DataFrame, accuracy: int | None = None) -> DataFrame:
+def fare_summary(trips: DataFrame, accuracy: int | None = None) -> DataFrame:
     """Fares and tips per payment label; codes without a label form a group of their own."""
-    paid = with_payment_label(silver).withColumn(
-        "tip_ratio", F.try_divide("tip_amount", "fare_amount")
-    )
+    paid = trips if is_grain(trips) else with_tip_ratio(with_payment_label(trips))
     measures = (
         TRIP_COUNT,
         AVG_FARE,
@@ -75,7 +82,7 @@ def fare_summary(silver: DataFrame, accuracy: int | None = None) -> DataFrame:
     return rollup_with_quantiles(paid, keys, measures, "fare_amount", points, accuracy)
 
 
-def trip_duration_summary(silver: DataFrame, accuracy: int | None = None) -> DataFrame:
+def trip_duration_summary(trips: DataFrame, accuracy: int | None = None) -> DataFrame:
     points = {
         "p25_duration": "0.25",
         "p50_duration": "0.5",
@@ -83,7 +90,7 @@ def trip_duration_summary(silver: DataFrame, accuracy: int | None = None) -> Dat
         "p95_duration": "0.95",
     }
     measures = TRIP_COUNT, AVG_DURATION
-    return rollup_with_quantiles(silver, MONTH, measures, "trip_duration_mins", points, accuracy)
+    return rollup_with_quantiles(trips, MONTH, measures, "trip_duration_mins", points, accuracy)
 
 
 SLOT_MARTS: dict[str, Callable[[DataFrame], DataFrame]] = {
@@ -99,13 +106,29 @@ def marts_of(kind: str) -> tuple[str, ...]:
     return (*SLOT_MARTS, "trip_duration_summary", *fares)
 
 
-def build_marts(
-    silver: DataFrame, kind: str, slots: DataFrame | None = None, accuracy: int | None = None
-) -> dict[str, DataFrame]:
-    """Every mart the kind supports, unevaluated. `slots` is a held `slot_grain`, if any."""
-    source = silver if slots is None else slots
-    marts = {name: build(source) for name, build in SLOT_MARTS.items()}
-    marts["trip_duration_summary"] = trip_duration_summary(silver, accuracy)
+def mart_builders(
+    silver: DataFrame,
+    kind: str,
+    slots: DataFrame | None = None,
+    durations: DataFrame | None = None,
+    fares: DataFrame | None = None,
+    accuracy: int | None = None,
+) -> dict[str, Callable[[], DataFrame]]:
+    """What builds each mart the kind supports, from grains where there are any.
+
+    `slots` is a held `slot_grain`. Sketches, asked for by `accuracy`, need the trips themselves.
+    """
+
+    def counts(grain_: DataFrame | None) -> DataFrame:
+        return silver if grain_ is None or accuracy is not None else grain_
+
+    builders = {name: partial(build, silver if slots is None else slots) for name, build in SLOT_MARTS.items()}
+    builders["trip_duration_summary"] = partial(trip_duration_summary, counts(durations), accuracy)
     if contract_for(kind).has_payments:
-        marts["fare_summary"] = fare_summary(silver, accuracy)
-    return marts
+        builders["fare_summary"] = partial(fare_summary, counts(fares), accuracy)
+    return builders
+
+
+def build_marts(silver: DataFrame, kind: str, *grains: DataFrame | None) -> dict[str, DataFrame]:
+    """Every mart the kind supports."""
+    return {name: build() for name, build in mart_builders(silver, kind, *grains).items()}

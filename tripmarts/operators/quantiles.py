@@ -1,12 +1,12 @@
-"""Discrete quantiles, exact for any doubles, by histograms refined level by level.
+"""Discrete quantiles, exact for any values, by a range partition.
 
 Merging quantile sketches sends one sketch per map task and group to a single reducer, which
 on a very large input is slow exactly where a group is large, and gives an approximation. Here
-values are first counted, which combines on the map side and spreads even one huge group over all
-reducers. A double then becomes a whole number of 64 bits in the same order. The first histogram
-of a group has a bucket for each value of the top 16 bits; the bucket that holds a wanted rank is
-split by the next 16 bits, and so on. After four levels a bucket holds one value. No window ever
-sees more than 65,536 buckets of a group, whatever the number of trips or of different values.
+trips are first counted per group and value, which combines on the map side and spreads even one
+huge group over all reducers. One range shuffle puts the counts in order of group and value, and
+each row is kept with the number of its partition. Partitions hold consecutive rows, so the trips of
+the partitions before tell in which of them a wanted rank lies; only there are rows read again, and
+counted up one by one. A group may span any number of partitions: no task holds more than one of them.
 """
 
 from __future__ import annotations
@@ -18,36 +18,23 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripmarts.operators.rollup import TRIPS, Measure, aggregates
+from tripmarts.operators.rollup import TRIPS, Measure, aggregates, grain, is_grain, rollup
+from tripmarts.sources.kept import kept
 
-DIGIT_BITS = 16
-LEVELS = 64 // DIGIT_BITS
+PART = "_part"
 # What is asked of a group: a name, and the share as a fraction.
-POINT = ("_point", "_whole", "_part")
-
-
-def ordered_number(value: Column) -> Column:
-    """A double as a long in the same order: sign, exponent and mantissa. NaN is the largest."""
-    size = F.abs(value)
-    one = F.lit(1 << 52)
-    guess = F.greatest(F.least(F.floor(F.log2(size)), F.lit(1023)), F.lit(-1022)).cast("int")
-
-    def scaled(exponent: Column) -> Column:
-        return size / F.pow(F.lit(2.0), exponent)
-
-    # The logarithm may be rounded across a power of two.
-    off = F.when(scaled(guess) >= 2, 1).when((scaled(guess) < 1) & (guess > -1022), -1).otherwise(0)
-    exponent = guess + off
-    mantissa = scaled(exponent)
-    normal = (exponent + 1023).cast("long") * one + ((mantissa - 1) * one).cast("long")
-    number = (
-        F.when(F.isnan(value), F.lit((2047 << 52) + 1))
-        .when(size == 0, F.lit(0).cast("long"))
-        .when(size == float("inf"), F.lit(2047 << 52))
-        .when(mantissa >= 1, normal)
-        .otherwise((mantissa * one).cast("long"))
-    )
-    return F.when(value < 0, -number).otherwise(number)
+POINT = ("_point", "_whole", "_part_of_whole")
+
+
+def in_order(counts: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Counted rows in consecutive partitions by keys and value, with the number of the partition.
+
+    To be kept before it is used: partition numbers mean something only for rows that are partitioned once.
+    """
+    rows = counts.sparkSession.conf
+    partitions = int(rows.get("spark.sql.shuffle.partitions"))
+    ranged = counts.repartitionByRange(partitions, *keys, value)
+    return ranged.withColumn(PART, F.spark_partition_id())
 
 
 def rollup_with_quantiles(
@@ -60,100 +47,71 @@ def rollup_with_quantiles(
 ) -> DataFrame:
     """Measures and quantiles of `value` per group.
 
-    `points` maps an output column to a share such as "0.95". The measures take one pass over
-    the trips, the quantiles another over the keys and the value alone. With `accuracy` the
-    quantiles come from Spark's sketch of that accuracy instead.
+    `points` maps an output column to a share such as "0.95". The trips, or a grain of them that has the
+    value among its keys, are read once: counts per value carry the partial sums of the measures. With
+    `accuracy` the quantiles come from Spark's sketch of that accuracy instead. Nulls have no
+    rank; a group of nulls alone has null quantiles.
     """
     if accuracy is not None:
+        if is_grain(trips):
+            raise ValueError("a sketch needs the trips themselves, not counts of them")
         sketches = [
             F.percentile_approx(value, float(share), accuracy).alias(name)
             for name, share in points.items()
         ]
         return trips.groupBy(*keys).agg(*aggregates(trips, measures), *sketches)
 
-    asked = aggregates(trips, measures) or [F.count("*").alias(TRIPS)]
-    measured = trips.groupBy(*keys).agg(*asked)
-    if not measures:
-        measured = measured.drop(TRIPS)
-    known = _numbered(trips, keys, value, F.count("*"))
-    return _beside(measured, keys, _located(known, keys, points))
-
-
-def quantiles_of_counts(
-    counts: DataFrame, keys: Sequence[str], value: str, points: Mapping[str, str]
-) -> DataFrame:
-    """Quantiles where trips are already counted (column `_trips`) per value.
-
-    Nulls have no rank; a group of nulls alone has no row. Without keys there is always one row.
-    """
-    return _located(_numbered(counts, keys, value, F.sum(TRIPS)), keys, points)
-
-
-def _numbered(rows: DataFrame, keys: Sequence[str], value: str, trips: Column) -> DataFrame:
-    """How many trips have each value, with its ordered number, in each group.
-
-    All levels share this count: both are keys, which none of them can leave out, and the number
-    is never null, so that none adds a filter of its own.
-    """
-    number = F.coalesce(ordered_number(F.col(value)), F.lit(0))
-    known = rows.filter(F.col(value).isNotNull())
-    return known.groupBy(*keys, F.col(value).alias("_value"), number.alias("_number")).agg(trips.alias(TRIPS))
+    ordered = kept(in_order(counted(trips, keys, value, measures), keys, value))
+    found = quantiles_in_order(ordered, keys, value, points)
+    if not keys and not measures:
+        return found
+    return _beside(rollup(ordered, keys, measures or (Measure(TRIPS),)), keys, found, drop=not measures)
 
 
-def _located(known: DataFrame, keys: Sequence[str], points: Mapping[str, str]) -> DataFrame:
-    found = None
-    for level in range(LEVELS):
-        found = _refined(known, keys, points, level, found)
-    reached = [F.min(F.when(F.col("_point") == name, F.col("_value"))).alias(name) for name in points]
-    return found.groupBy(*keys).agg(*reached)
+def counted(trips: DataFrame, keys: Sequence[str], value: str, measures: Sequence[Measure]) -> DataFrame:
+    """Trips per group and value, with the partial sums of the measures."""
+    columns = {m.column for m in measures if m.column is not None}
+    if not is_grain(trips):
+        return grain(trips, (*keys, value), columns)
+    additive = [F.sum(c).alias(c) for c in trips.columns if c == TRIPS or c.startswith(("_sum_", "_n_"))]
+    return trips.groupBy(*keys, value).agg(*additive)
 
 
-def _refined(
-    known: DataFrame, keys: Sequence[str], points: Mapping[str, str], level: int, above: DataFrame | None
+def quantiles_in_order(
+    ordered: DataFrame, keys: Sequence[str], value: str, points: Mapping[str, str]
 ) -> DataFrame:
-    """For each group and point, the bucket of this level that holds its rank.
+    """Quantiles per group of rows as `in_order` returns them; further columns may tell equal values apart.
 
-    Rows hold the bucket as the leading bits of the number, the trips before it (`_before`) and
-    in the group (`_size`), and the smallest value in it.
+    A group of nulls alone has no row. Without keys there is always one row.
     """
-    buckets = _buckets(known, keys, level, above)
-    if above is None:
-        group = [*keys]
-        start, size = F.lit(0), F.sum("_n").over(Window.partitionBy(*keys))
-    else:
-        group = [*keys, *POINT]
-        start, size = F.col("_before"), F.col("_size")
-    order = Window.partitionBy(*group).orderBy("_bucket")
-    so_far = F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = buckets.withColumns({"_size": size, "_reached": start + so_far})
-    if above is None:
-        wanted = F.array(*[_point(name, share) for name, share in points.items()])
-        ranked = ranked.withColumn("_p", F.explode(wanted)).select("*", "_p.*").drop("_p")
+    known = ordered.filter(F.col(value).isNotNull())
+    group = Window.partitionBy(*keys)
+    before = group.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
+    parts = (
+        known.groupBy(*keys, PART).agg(F.sum(TRIPS).alias("_n"))
+        .withColumns({"_before": F.coalesce(F.sum("_n").over(before), F.lit(0)), "_size": F.sum("_n").over(group)})
+    )
     # In whole numbers, so no rank is rounded: rank / size >= part / whole.
-    needed = F.col("_size") * F.col("_part")
-    holds = (F.col("_reached") * F.col("_whole") >= needed) & (
-        (F.col("_reached") - F.col("_n")) * F.col("_whole") < needed
+    wanted = (
+        parts.select("*", F.explode(F.array(*[_point(n, share) for n, share in points.items()])).alias("_p"))
+        .select(*keys, PART, "_n", "_before", "_p.*", (F.col("_size") * F.col("_p._part_of_whole")).alias("_needed"))
+        .filter("(_before + _n) * _whole >= _needed AND _before * _whole < _needed")
+        .select(
+            *[F.col(k).alias(f"_of_{k}") for k in keys], F.col(PART).alias("_in"), "_point", "_whole",
+            (F.col("_needed") - F.col("_before") * F.col("_whole")).alias("_left"),
+        )
     )
-    return ranked.filter(holds).select(
-        *keys, *POINT, (F.col("_reached") - F.col("_n")).alias("_before"),
-        "_size", "_bucket", "_value",
+    same = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys]
+    near = known.select(*keys, PART, value, TRIPS).join(
+        wanted, reduce(Column.__and__, same, F.col(PART) == F.col("_in"))
     )
-
-
-def _buckets(known: DataFrame, keys: Sequence[str], level: int, above: DataFrame | None) -> DataFrame:
-    """The histogram of this level: of whole groups, or within the buckets found `above`."""
-    bucket = F.shiftright("_number", DIGIT_BITS * (LEVELS - 1 - level)).alias("_bucket")
-    counted = F.sum(TRIPS).alias("_n"), F.min("_value").alias("_value")
-    if above is None:
-        return known.groupBy(*keys, bucket).agg(*counted)
-    carried = [*POINT, "_before", "_size"]
-    upper = above.select(
-        *[F.col(k).alias(f"_of_{k}") for k in keys], *carried, F.col("_bucket").alias("_upper")
+    upwards = Window.partitionBy(*keys, PART, "_point").orderBy(value)
+    running = F.sum(TRIPS).over(upwards.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    reached = near.withColumn("_upto", running).filter(
+        f"_upto * _whole >= _left AND (_upto - {TRIPS}) * _whole < _left"
     )
-    inside = F.shiftright("_number", DIGIT_BITS * (LEVELS - level)) == F.col("_upper")
-    same = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys]
-    found = known.join(upper, reduce(Column.__and__, same, inside))
-    return found.groupBy(*keys, *carried, bucket).agg(*counted)
+    answers = [F.min(F.when(F.col("_point") == name, F.col(value))).alias(name) for name in points]
+    return reached.groupBy(*keys).agg(*answers)
 
 
 def _point(name: str, share: str) -> Column:
@@ -161,14 +119,17 @@ def _point(name: str, share: str) -> Column:
     if not 0 < part <= 1:
         raise ValueError(f"a share must be above 0 and at most 1, not {share}")
     return F.struct(
-        F.lit(name).alias("_point"),
-        F.lit(part.denominator).cast("long").alias("_whole"),
-        F.lit(part.numerator).cast("long").alias("_part"),
+        *[
+            F.lit(value).cast(kind).alias(column)
+            for value, kind, column in zip((name, part.denominator, part.numerator), ("string", "long", "long"), POINT)
+        ]
     )
 
 
-def _beside(measured: DataFrame, keys: Sequence[str], found: DataFrame) -> DataFrame:
+def _beside(measured: DataFrame, keys: Sequence[str], found: DataFrame, drop: bool) -> DataFrame:
     """Measures with the quantiles of their group, null for a group without values."""
+    if drop:
+        measured = measured.drop(TRIPS)
     if not keys:
         return measured.join(found, F.lit(True), "left")
     named = found.withColumnsRenamed({k: f"_of_{k}" for k in keys})

@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmarts.functions.labels import CARD, tip_bucket, tip_percent
 from tripmarts.functions.trends import percent
 from tripmarts.operators.marts import MONTH
-from tripmarts.operators.quantiles import quantiles_of_counts
-from tripmarts.operators.rollup import TRIPS, mean, rollup, total, trips_as
-from tripmarts.plans.grains import with_distance_bucket
+from tripmarts.operators.quantiles import counted, in_order, quantiles_in_order
+from tripmarts.operators.rollup import TRIPS, is_grain, mean, rollup, total, trips_as
+from tripmarts.plans.grains import tip_grain, with_distance_bucket
 from tripmarts.plans.ranking import top
+from tripmarts.sources.kept import kept
 
 
 def fare_by_distance_bucket(trips: DataFrame) -> DataFrame:
@@ -25,13 +25,11 @@ def fare_by_distance_bucket(trips: DataFrame) -> DataFrame:
     return rollup(with_distance_bucket(trips), ("distance_bucket",), measures)
 
 
-def tip_percentage_distribution(silver: DataFrame) -> DataFrame:
+def tip_percentage_distribution(trips: DataFrame) -> DataFrame:
     """Card trips per bucket of tip over fare."""
-    card = silver.filter(F.col("payment_type") == CARD)
-    tipped = card.withColumn("tip_pct", tip_percent(F.col("tip_amount"), F.col("fare_amount")))
-    bucketed = tipped.withColumn("tip_pct_bucket", tip_bucket(F.col("tip_pct")))
+    tipped = trips if is_grain(trips) else tip_grain(trips)
     measures = trips_as("trip_count"), mean("avg_tip_pct", "tip_pct")
-    return rollup(bucketed, ("tip_pct_bucket",), measures)
+    return rollup(tipped, ("tip_pct_bucket",), measures)
 
 
 def payment_type_trend(fares: DataFrame) -> DataFrame:
@@ -50,15 +48,15 @@ def top_revenue_zones(trips: DataFrame, top_n: int = 20) -> DataFrame:
     return top(rollup(trips, zones, measures), top_n, "total_revenue", zones)
 
 
-def fare_anomaly_detection(silver: DataFrame) -> DataFrame:
+def fare_anomaly_detection(trips: DataFrame) -> DataFrame:
     """Per month, trips whose fare lies beyond 1.5 interquartile ranges of the quartiles.
 
-    Trips are counted once per month and fare. Both the overall quartiles and the flags come
-    from those counts, so the trips are read once; the two fences enter the second step as a
-    scalar subquery.
+    Trips are counted once per month and fare, and the counts kept in the order of the fares. Both
+    the overall quartiles and the flags come from those counts, so the trips are read once; the
+    two fences enter the second step as a scalar subquery.
     """
-    counts = silver.groupBy(*MONTH, "fare_amount").agg(F.count("*").alias(TRIPS))
-    quartiles = quantiles_of_counts(counts, (), "fare_amount", {"q1": "0.25", "q3": "0.75"})
+    counts = kept(in_order(counted(trips, MONTH, "fare_amount", ()), (), "fare_amount"))
+    quartiles = quantiles_in_order(counts, (), "fare_amount", {"q1": "0.25", "q3": "0.75"})
     reach = (F.col("q3") - F.col("q1")) * 1.5
     fences = quartiles.select(
         F.struct((F.col("q1") - reach).alias("low"), (F.col("q3") + reach).alias("high"))

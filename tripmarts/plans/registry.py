@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from tripmarts.contracts import CONTRACTS
 from tripmarts.plans import demand, fare, geo, time_series, trip_patterns
+from tripmarts.plans.grains import DISTANCES, EDGES, FARES, PROFILE, TIPS
 
 MARTS = ("trips_by_hour", "trips_by_date", "trips_by_borough", "fare_summary")
-EDGES, PROFILE, SILVER = "edges", "profile", "silver"
 DOMAINS = ("demand", "fare", "trip_patterns", "geo", "time_series")
 
 
@@ -66,19 +66,19 @@ SUMMARIES: dict[str, Summary] = {
                  "mom_trip_volume", _MONTH),
         _summary("fare", fare.fare_by_distance_bucket, PROFILE,
                  "fare_by_distance_bucket", "distance_bucket", "trip_distance"),
-        _summary("fare", fare.tip_percentage_distribution, SILVER,
+        _summary("fare", fare.tip_percentage_distribution, TIPS,
                  "tip_pct_distribution", "avg_tip_pct", "payment_type tip_amount fare_amount"),
         _summary("fare", fare.payment_type_trend, "fare_summary",
                  "payment_type_trend", f"{_MONTH} payment_label", "payment_type"),
         _summary("fare", fare.top_revenue_zones, EDGES,
                  "top_{top_n}_revenue_zones", "-total_revenue", "total_amount", top_n=20),
-        _summary("fare", fare.fare_anomaly_detection, SILVER,
+        _summary("fare", fare.fare_anomaly_detection, FARES,
                  "fare_anomaly_by_month", _MONTH, "fare_amount"),
         _summary("trip_patterns", trip_patterns.top_corridors, EDGES,
                  "top_{top_n}_corridors", "-trip_count", top_n=25),
         _summary("trip_patterns", trip_patterns.airport_trip_share, PROFILE,
                  "airport_trip_share", f"{_MONTH} is_airport_trip"),
-        _summary("trip_patterns", trip_patterns.distance_distribution_by_borough, SILVER,
+        _summary("trip_patterns", trip_patterns.distance_distribution_by_borough, DISTANCES,
                  "distance_distribution_by_borough", "-avg_distance", "trip_distance"),
         _summary("trip_patterns", trip_patterns.busiest_pickup_zones, EDGES,
                  "top_{top_n}_pickup_zones", "-trip_count", top_n=30),

@@ -3,25 +3,26 @@
 from __future__ import annotations
 
 import logging
-import uuid
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
-from contextlib import contextmanager
+from contextvars import copy_context
 from functools import partial
 
-from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from tripmarts.contracts import contract_for
 from tripmarts.operators.bronze import to_bronze
-from tripmarts.operators.marts import build_marts, slot_grain
+from tripmarts.operators.marts import mart_builders, slot_grain
 from tripmarts.operators.silver import to_silver
-from tripmarts.plans.grains import edge_grain, profile_grain
-from tripmarts.plans.registry import EDGES, MARTS, PROFILE, SILVER, SUMMARIES, Summary
+from tripmarts.plans.grains import DURATIONS, FARES, GRAINS
+from tripmarts.plans.registry import MARTS, SUMMARIES, Summary
 from tripmarts.session import pin_session_zone
 from tripmarts.settings import MonthRange, Refinement
-from tripmarts.sources.lake import LOCAL_PARTITIONS, Lake, remove
-from tripmarts.sources.raw import scan_months
+from tripmarts.sources.kept import held, keeping, kept
+from tripmarts.sources.lake import LOCAL_PARTITIONS, Lake
+from tripmarts.sources.raw import MonthGroup, scan_groups
 from tripmarts.sources.zones import load_zone_lookup
 
 log = logging.getLogger(__name__)
@@ -34,7 +35,7 @@ def side_by_side(spark: SparkSession, jobs: Iterable[Callable[[], None]]) -> Non
     the other executors idle. The first failure is raised once all have ended."""
     inherit = inheritable_thread_target(spark)
     with ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
-        running = [pool.submit(inherit(job)) for job in jobs]
+        running = [pool.submit(inherit(partial(copy_context().run, job))) for job in jobs]
     for job in running:
         job.result()
 
@@ -46,30 +47,6 @@ def one_then_others(spark: SparkSession, jobs: Iterable[Callable[[], None]]) ->
     side_by_side(spark, others)
 
 
-@contextmanager
-def held(rows: DataFrame) -> Iterator[DataFrame]:
-    """Keep a small pre-aggregate while several results are built from it.
-
-    With a checkpoint folder it is stored there, out of reach of a lost executor, and removed at
-    the end. Otherwise it is cached, and a block lost with its executor is computed again from the
-    trips.
-    """
-    folder = rows.sparkSession.sparkContext.getCheckpointDir()
-    if folder:
-        path = f"{folder}/held-{uuid.uuid4().hex}"
-        rows.write.parquet(path)
-        try:
-            yield rows.sparkSession.read.schema(rows.schema).parquet(path)
-        finally:
-            remove(rows.sparkSession, path)
-        return
-    rows.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        yield rows
-    finally:
-        rows.unpersist()
-
-
 def ingest(
     lake: Lake,
     raw_root: str,
@@ -81,31 +58,33 @@ def ingest(
 ) -> list[tuple[int, int]]:
     """Raw files to Bronze; returns the months stored.
 
-    All files are looked up and held against the contract before the first is written, and each
-    is stored by a map-only job of its own, so a run that stops half-way can simply be repeated.
-    Values that the contract's types turned into null are counted per file by the same job, logged
+    All files are looked up and held against the contract before the first is written. Files that
+    deliver the same columns and types are one scan and one map-only job, however many months they are, and
+    replace what is stored only when the job is done, so a run that stops half-way can simply be
+    repeated. Values that the contract's types turned into null or cut are counted per file, logged
     and kept in the lake (`read_audit`). Months without a file are logged; they are those of the
     range that are not returned.
     """
     pin_session_zone(lake.spark)
-    watch = {month: Observation() for month in months}
-    found = list(scan_months(lake.spark, raw_root, kind, months, skip_missing, watch))
-    if not found:
+    groups = scan_groups(lake.spark, raw_root, kind, months, skip_missing)
+    if not groups:
         raise FileNotFoundError(f"no {kind} file under {raw_root} for {months}")
-    log.info("bronze: %s, %d files", kind, len(found))
-    side_by_side(
-        lake.spark,
-        [
-            partial(lake.write_bronze, to_bronze(rows, kind), kind, month, mode, rebalance)
-            for month, rows in found
-        ],
-    )
-    for month, _ in found:
-        nulled = {name: count for name, count in watch[month].get.items() if count}
-        if nulled:
-            log.warning("bronze: %s %d-%02d, values made null: %s", kind, *month, nulled)
-        lake.write_audit(kind, month, watch[month].get)
-    return [month for month, _ in found]
+    log.info("bronze: %s, %d files in %d scans", kind, sum(len(g.months) for g in groups), len(groups))
+    altered: dict = {}
+
+    def write(group: MonthGroup) -> None:
+        lake.write_bronze(to_bronze(group.rows(), kind), kind, group.months, mode, rebalance)
+
+    def count(group: MonthGroup) -> None:
+        altered.update(group.altered())
+
+    side_by_side(lake.spark, [partial(job, group) for group in groups for job in (write, count)])
+    for month in sorted(altered):
+        lost = {name: counts for name, counts in altered[month].items() if any(counts)}
+        if lost:
+            log.warning("bronze: %s %d-%02d, values made null and cut: %s", kind, *month, lost)
+    lake.write_audit(kind, altered)
+    return sorted(altered)
 
 
 def transform(
@@ -123,8 +102,9 @@ def transform(
 
     A local month reaches into the neighbouring month of the raw clock, so the Bronze range
     is one month wider on both sides. Layers are replaced month by month, so a run that stops
-    leaves each month old or new; then months that have no trips any more are removed. Marts are
-    always replaced, never added to: a mart row is right only if it covers its whole month.
+    leaves each month old or new; then months that have no trips any more are removed. Which months
+    have trips is observed by the write itself, so Bronze is read once. Grains and marts are
+    always replaced, never added to: their rows are right only if they cover their whole month.
     """
     contract_for(kind)
     pin_session_zone(lake.spark)
@@ -134,23 +114,33 @@ def transform(
     if months:
         silver = silver.filter(months.covers(*LOCAL_PARTITIONS))
     log.info("silver: %s", kind)
-    lake.write_silver(silver, kind, mode, rebalance)
-    left = lake.months_of(silver)
+    watch = Observation()
+    lake.write_silver(silver.observe(watch, months_seen(*LOCAL_PARTITIONS)), kind, mode, rebalance)
     if mode == "overwrite":
+        left = {divmod(number, 100) for number in watch.get[SEEN]}
         lake.drop_months(lake.silver_path(kind), months, left)
 
+    stored = lake.read_silver(kind, months)
+    grains = [name for name, grain in GRAINS.items() if grain.supports(kind)]
+    log.info("grains: %s", kind)
+    side_by_side(
+        lake.spark, [partial(lake.write_grain, GRAINS[name].build(stored), name, kind) for name in grains]
+    )
+    if mode == "overwrite":
+        for name in grains:
+            lake.drop_months(lake.grain_path(name, kind), months, left)
+
     if not skip_gold:
-        stored = lake.read_silver(kind, months)
+        counts = {name: lake.read_grain(name, kind, months) for name in grains}
         with held(slot_grain(stored)) as slots:
             log.info("gold: %s", kind)
-            marts = build_marts(stored, kind, slots, accuracy)
-            one_then_others(
-                lake.spark,
-                [
-                    partial(lake.write_mart, rows, mart, kind)
-                    for mart, rows in marts.items()
-                ],
-            )
+            marts = mart_builders(stored, kind, slots, counts[DURATIONS], counts.get(FARES), accuracy)
+
+            def write(mart: str) -> None:
+                with keeping():
+                    lake.write_mart(marts[mart](), mart, kind)
+
+            one_then_others(lake.spark, [partial(write, mart) for mart in marts])
         if mode == "overwrite":
             for mart in marts:
                 lake.drop_months(lake.mart_path(mart, kind), months, left)
@@ -161,6 +151,8 @@ def analyse(
 ) -> list[str]:
     """Write the summaries of one domain, or of all, that the kind supports.
 
+    All come from marts and from the grains that `transform` stores month by month, so Silver is
+    not read, whichever months changed; a lake without a grain has it built from all of Silver.
     `params` gives arguments per summary, e.g. `top_corridors={"top_n": 10}`.
     """
     contract_for(kind)
@@ -174,27 +166,32 @@ def analyse(
     def write(summary: Summary, source: DataFrame) -> None:
         arguments = {**summary.params, **params.get(summary.name, {})}
         log.info("%s: %s", summary.domain, summary.name)
-        lake.write_summary(
-            summary.build(source, **arguments),
-            summary.domain,
-            summary.output_name(**arguments),
-            kind,
-            summary.sort_columns(),
-        )
-
-    def jobs(source_name: str, source: DataFrame) -> list[Callable[[], None]]:
-        return [partial(write, s, source) for s in wanted if s.source == source_name]
-
-    needed = {s.source for s in wanted}
-    side_by_side(
-        lake.spark,
-        [job for mart in MARTS if mart in needed for job in jobs(mart, lake.read_mart(mart, kind))],
-    )
-    if needed - set(MARTS):
-        silver = lake.read_silver(kind)
-        side_by_side(lake.spark, jobs(SILVER, silver))
-        for name, build in ((EDGES, edge_grain), (PROFILE, profile_grain)):
-            if name in needed:
-                with held(build(silver)) as rows:
-                    one_then_others(lake.spark, jobs(name, rows))
+        with keeping():
+            lake.write_summary(
+                summary.build(source, **arguments),
+                summary.domain,
+                summary.output_name(**arguments),
+                kind,
+                summary.sort_columns(),
+            )
+
+    def source_of(name: str) -> DataFrame:
+        if name in MARTS:
+            return lake.read_mart(name, kind)
+        if lake.exists(lake.grain_path(name, kind)):
+            return lake.read_grain(name, kind)
+        log.warning("no stored %s of %s trips, built from all of Silver", name, kind)
+        return kept(GRAINS[name].build(lake.read_silver(kind)))
+
+    with keeping():
+        sources = {name: source_of(name) for name in sorted({s.source for s in wanted})}
+        side_by_side(lake.spark, [partial(write, s, sources[s.source]) for s in wanted])
     return [s.name for s in wanted]
+
+
+SEEN = "months"
+
+
+def months_seen(year: str, month: str) -> Column:
+    """The months among the observed rows, as numbers YYYYMM: a bounded set."""
+    return F.collect_set(F.col(year) * 100 + F.col(month)).alias(SEEN)

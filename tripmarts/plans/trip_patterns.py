@@ -23,7 +23,7 @@ def airport_trip_share(trips: DataFrame) -> DataFrame:
     return rollup(trips, keys, (TRIP_COUNT, AVG_FARE, AVG_DISTANCE))
 
 
-def distance_distribution_by_borough(silver: DataFrame, accuracy: int | None = None) -> DataFrame:
+def distance_distribution_by_borough(trips: DataFrame, accuracy: int | None = None) -> DataFrame:
     points = {
         "p25_distance": "0.25",
         "p50_distance": "0.5",
@@ -32,7 +32,7 @@ def distance_distribution_by_borough(silver: DataFrame, accuracy: int | None = N
     }
     measures = TRIP_COUNT, AVG_DISTANCE
     keys = ("pickup_borough",)
-    return rollup_with_quantiles(silver, keys, measures, "trip_distance", points, accuracy)
+    return rollup_with_quantiles(trips, keys, measures, "trip_distance", points, accuracy)
 
 
 def busiest_pickup_zones(trips: DataFrame, top_n: int = 30) -> DataFrame:

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import uuid
+from collections.abc import Iterable, Iterator, Mapping
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tripmarts.settings import MonthRange
+from tripmarts.sources.kept import remove
+from tripmarts.sources.raw import SOURCE_MONTH
 
 BRONZE_PARTITIONS = ("year", "month")
 LOCAL_PARTITIONS = ("pickup_year", "pickup_month")
-SOURCE_MONTH = "source_month"
 MODES = ("overwrite", "append")
 
 
@@ -21,6 +25,7 @@ class Lake:
 
         bronze/<kind>/source_month=YYYYMM/year=Y/month=M
         silver/<kind>/pickup_year=Y/pickup_month=M
+        grains/<name>/<kind>/pickup_year=Y/pickup_month=M
         gold/<mart>/<kind>/pickup_year=Y/pickup_month=M
         analytics/<domain>/<name>/trip_type=<kind>
         audit/<kind>/source_month=YYYYMM
@@ -41,9 +46,16 @@ class Lake:
     def mart_path(self, mart: str, kind: str) -> str:
         return self._path("gold", mart, kind)
 
+    def grain_path(self, name: str, kind: str) -> str:
+        return self._path("grains", name, kind)
+
     def summary_path(self, domain: str, name: str, kind: str) -> str:
         return self._path("analytics", domain, name, f"trip_type={kind}")
 
+    def exists(self, path: str) -> bool:
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return place.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(place)
+
     # -- reading ---------------------------------------------------------------------------
 
     def _read(
@@ -62,6 +74,9 @@ class Lake:
     def read_mart(self, mart: str, kind: str, months: MonthRange | None = None) -> DataFrame:
         return self._read(self.mart_path(mart, kind), LOCAL_PARTITIONS, months)
 
+    def read_grain(self, name: str, kind: str, months: MonthRange | None = None) -> DataFrame:
+        return self._read(self.grain_path(name, kind), LOCAL_PARTITIONS, months)
+
     def read_summary(self, domain: str, name: str, kind: str) -> DataFrame:
         return self.spark.read.parquet(self.summary_path(domain, name, kind))
 
@@ -71,27 +86,56 @@ class Lake:
         self,
         rows: DataFrame,
         kind: str,
-        source_month: tuple[int, int],
+        source_months: Iterable[tuple[int, int]],
         mode: str = "overwrite",
         rebalance: bool = False,
     ) -> None:
-        """Store the rows of one source file.
+        """Store the rows of the files of these months, in one job.
 
         A file holds a few rows of other months (late or misdated trips), so replacing
         (year, month) partitions would let one file erase another's rows. Each file owns a
-        subtree instead, which a re-run replaces as a whole.
+        subtree instead, which a re-run replaces as a whole: all are written beside the old ones, and
+        put in their place when the job is done. A file without rows leaves none.
         """
-        year, month = source_month
-        path = f"{self.bronze_path(kind)}/{SOURCE_MONTH}={year}{month:02d}"
-        _save(rows, path, BRONZE_PARTITIONS, mode, dynamic=False, rebalance=rebalance)
-
-    def write_audit(
-        self, kind: str, source_month: tuple[int, int], nulled: Mapping[str, int]
-    ) -> None:
-        """How many values of each column of a source file became null: one small file."""
-        rows = self.spark.createDataFrame([*nulled.items()], "column_name string, nulled bigint")
-        path = f"{self._path('audit', kind)}/{SOURCE_MONTH}={source_month[0]}{source_month[1]:02d}"
-        _save(rows.coalesce(1), path, (), "overwrite", dynamic=False)
+        partitions = (SOURCE_MONTH, *BRONZE_PARTITIONS)
+        if mode == "append":
+            _save(rows, self.bronze_path(kind), partitions, mode, dynamic=False, rebalance=rebalance)
+            return
+        with self._beside(self.bronze_path(kind)) as place:
+            _save(rows, place, partitions, mode, dynamic=False, rebalance=rebalance)
+            for year, month in source_months:
+                own = f"{SOURCE_MONTH}={year}{month:02d}"
+                self._swap(f"{place}/{own}", f"{self.bronze_path(kind)}/{own}")
+
+    def write_audit(self, kind: str, altered: Mapping[tuple[int, int], Mapping[str, tuple[int, int]]]) -> None:
+        """How many values of each column of each source file became null or lost a fraction: one small job."""
+        rows = [
+            (year * 100 + month, column, *counts)
+            for (year, month), columns in altered.items() for column, counts in columns.items()
+        ]
+        frame = self.spark.createDataFrame(rows, f"{SOURCE_MONTH} int, column_name string, nulled bigint, cut bigint")
+        _save(frame.coalesce(1), self._path("audit", kind), (SOURCE_MONTH,), "overwrite", dynamic=True)
+
+    # -- replacing whole folders -------------------------------------------------------------
+
+    @contextmanager
+    def _beside(self, path: str) -> Iterator[str]:
+        """A folder beside or below this one that readers pass over, and that is gone afterwards."""
+        place = f"{path}/_new-{uuid.uuid4().hex}"
+        try:
+            yield place
+        finally:
+            remove(self.spark, place)
+
+    def _swap(self, new: str, old: str) -> None:
+        """Put the new folder, if there is one, in the place of the old."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path
+        files = path(old).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        files.delete(path(old), True)
+        if files.exists(path(new)):
+            files.mkdirs(path(old).getParent())
+            if not files.rename(path(new), path(old)):
+                raise OSError(f"cannot move {new} to {old}")
 
     def read_audit(self, kind: str) -> DataFrame:
         return self.spark.read.parquet(self._path("audit", kind))
@@ -116,10 +160,16 @@ class Lake:
         kind: str,
         mode: str = "overwrite",
     ) -> None:
-        in_order = rows.sortWithinPartitions(*LOCAL_PARTITIONS, *_other_keys(rows))
+        """Months one by one, each in order: range partitions, so files follow one another."""
+        order = [*map(F.asc_nulls_first, LOCAL_PARTITIONS), *_mart_order(rows, mart)]
+        in_order = rows.repartitionByRange(*order).sortWithinPartitions(*order)
         path = self.mart_path(mart, kind)
         _save(in_order, path, LOCAL_PARTITIONS, mode, dynamic=True)
 
+    def write_grain(self, rows: DataFrame, name: str, kind: str) -> None:
+        """Partial sums per month; replaces the months that `rows` contain, in few files each."""
+        _save(rows, self.grain_path(name, kind), LOCAL_PARTITIONS, "overwrite", dynamic=True, rebalance=True)
+
     # -- months without trips --------------------------------------------------------------
 
     def months_of(self, rows: DataFrame) -> set[tuple[int, int]]:
@@ -139,12 +189,16 @@ class Lake:
     def write_summary(
         self, rows: DataFrame, domain: str, name: str, kind: str, order: tuple[Column, ...] = ()
     ) -> None:
-        """One sorted file. `repartition(1)` rather than `coalesce(1)`: the latter would pull
-        the final aggregation, with the partial results of every task, into one task."""
+        """One sorted file, put in the place of the old one when it is complete.
+
+        `repartition(1)` rather than `coalesce(1)`: the latter would pull the final aggregation,
+        with the partial results of every task, into one task."""
         single = rows.repartition(1)
         if order:
             single = single.sortWithinPartitions(*order)
-        _save(single, self.summary_path(domain, name, kind), (), "overwrite", dynamic=False)
+        with self._beside(self._path("analytics", domain, name)) as place:
+            _save(single, place, (), "overwrite", dynamic=False)
+            self._swap(place, self.summary_path(domain, name, kind))
 
     # -- catalog ---------------------------------------------------------------------------
 
@@ -159,15 +213,11 @@ class Lake:
         return name
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a folder in whatever store the path names."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
-
-
-def _other_keys(mart: DataFrame) -> list[str]:
+def _mart_order(rows: DataFrame, mart: str) -> list[Column]:
+    """Within a month: boroughs by trips downwards, other marts by their keys."""
     keys = ("pickup_date", "pickup_hour", "pickup_borough", "payment_label")
-    return [key for key in keys if key in mart.columns]
+    first = [F.desc("trip_count")] if mart == "trips_by_borough" else []
+    return first + [F.asc_nulls_first(key) for key in keys if key in rows.columns]
 
 
 def _save(

@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterable, Mapping
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripmarts.contracts import contract_for
 from tripmarts.settings import MonthRange
@@ -15,6 +20,9 @@ from tripmarts.settings import MonthRange
 log = logging.getLogger(__name__)
 
 SOURCE_FILE = "_source_file"
+SOURCE_MONTH = "source_month"
+# Footers read at a time; each is a small job of its own.
+FOOTERS_AT_ONCE = 16
 
 
 def month_path(raw_root: str, kind: str, year: int, month: int) -> str:
@@ -25,48 +33,87 @@ def month_paths(raw_root: str, kind: str, months: MonthRange) -> list[str]:
     return [month_path(raw_root, kind, year, month) for year, month in months]
 
 
-def scan_file(
-    spark: SparkSession, kind: str, path: str, watch: Observation | None = None
-) -> DataFrame:
-    """One month's file under the kind's contract, with the file each row came from.
-
-    The file keeps its own physical types and the contract is applied as a projection:
-    published months disagree on types (a count is an integer in one month and a double in
-    the next), which a schema imposed on the scan itself cannot read. The casts are columns
-    of the same scan, so pruning still reaches it. `watch` gets, once the rows are written, how
-    many values of each column the contract's type turned into null.
+@dataclass(frozen=True)
+class MonthGroup:
+    """Files of one kind that deliver the same columns in the same types, scanned as one."""
+
+    kind: str
+    months: tuple[tuple[int, int], ...]
+    raw: DataFrame
+
+    def month_number(self) -> str:
+        """SQL for the month that the path of a row's file names, as YYYYMM."""
+        named = f"_metadata.file_path, '/{self.kind}_tripdata_([0-9]{{4}})-([0-9]{{2}})[.]parquet'"
+        return f"CAST(concat(regexp_extract({named}, 1), regexp_extract({named}, 2)) AS INT)"
+
+    def rows(self) -> DataFrame:
+        """The rows under the kind's contract, with the file and the month each came from.
+
+        The files keep their own physical types and the contract is applied as a projection:
+        published months disagree on types (a count is an integer in one month and a double in
+        the next), which a schema imposed on the scan itself cannot read. The casts are columns
+        of the same scan, so pruning still reaches it.
+        """
+        casts = contract_for(self.kind).enforce(self.raw)
+        return self.raw.selectExpr(
+            *casts, f"_metadata.file_path AS {SOURCE_FILE}", f"{self.month_number()} AS {SOURCE_MONTH}"
+        )
+
+    def altered(self) -> dict[tuple[int, int], dict[str, tuple[int, int]]]:
+        """Per month and column, how many values the contract's type made null, and how many it cut.
+
+        Only columns whose delivered type the contract's type may not hold are read; the others are
+        zero by their types. A row for each month of the group comes back.
+        """
+        contract = contract_for(self.kind)
+        found = {month: dict.fromkeys(contract.names_delivered(self.raw), (0, 0)) for month in self.months}
+        asked = contract.altered(self.raw)
+        if asked:
+            counts = self.raw.withColumn(SOURCE_MONTH, F.expr(self.month_number())).groupBy(SOURCE_MONTH).agg(*asked)
+            for row in counts.collect():
+                values = row.asDict()
+                found[divmod(values.pop(SOURCE_MONTH), 100)] |= {name: tuple(pair) for name, pair in values.items()}
+        return found
+
+
+def scan_groups(
+    spark: SparkSession, raw_root: str, kind: str, months: MonthRange, skip_missing: bool = False
+) -> list[MonthGroup]:
+    """The files of the range, grouped by what they deliver. Footers are read side by side.
+
+    A missing file is an error unless told otherwise; then its month is logged, and in no group.
+    Each group is held against the contract.
     """
     contract = contract_for(kind)
-    raw = (
-        spark.read.option("mergeSchema", "false")
-        .option("pathGlobFilter", "*.parquet")
-        .parquet(path)
-    )
-    casts = contract.enforce(raw)
-    if watch is not None:
-        raw = raw.observe(watch, *contract.nulled(raw))
-    return raw.selectExpr(*casts, f"_metadata.file_path AS {SOURCE_FILE}")
-
-
-def scan_months(
-    spark: SparkSession,
-    raw_root: str,
-    kind: str,
-    months: MonthRange,
-    skip_missing: bool = False,
-    watch: Mapping[tuple[int, int], Observation] | None = None,
-) -> Iterable[tuple[tuple[int, int], DataFrame]]:
-    """((year, month), rows) per month. A missing file is an error unless told otherwise; then its
-    month is logged, and is not among those that come back."""
-    contract_for(kind)
-    for year, month in months:
-        path = month_path(raw_root, kind, year, month)
+
+    def delivered(month: tuple[int, int]) -> T.StructType | None:
+        path = month_path(raw_root, kind, *month)
         try:
-            yield (year, month), scan_file(spark, kind, path, (watch or {}).get((year, month)))
+            return _read(spark, [path]).schema
         except AnalysisException as error:
             if not (skip_missing and error.getCondition() == "PATH_NOT_FOUND"):
                 raise
             log.warning("skipped, no such file: %s", path)
+            return None
+
+    inherit = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(FOOTERS_AT_ONCE) as pool:
+        schemas = list(pool.map(inherit(delivered), months))
+    alike: dict[str, tuple[T.StructType, list]] = {}
+    for month, schema in zip(months, schemas):
+        if schema is not None:
+            alike.setdefault(schema.simpleString(), (schema, []))[1].append(month)
+    groups = []
+    for schema, members in alike.values():
+        raw = _read(spark, [month_path(raw_root, kind, *month) for month in members], schema)
+        contract.enforce(raw)
+        groups.append(MonthGroup(kind, tuple(members), raw))
+    return groups
+
+
+def _read(spark: SparkSession, paths: Sequence[str], schema: T.StructType | None = None) -> DataFrame:
+    reader = spark.read.option("mergeSchema", "false").option("pathGlobFilter", "*.parquet")
+    return (reader if schema is None else reader.schema(schema)).parquet(*paths)
 
 
 def read_trip_data(
@@ -77,7 +124,7 @@ def read_trip_data(
     skip_missing: bool = False,
 ) -> DataFrame:
     """All rows of a month range as one DataFrame."""
-    frames = [rows for _, rows in scan_months(spark, raw_root, kind, months, skip_missing)]
-    if not frames:
+    groups = scan_groups(spark, raw_root, kind, months, skip_missing)
+    if not groups:
         raise FileNotFoundError(f"no {kind} file under {raw_root} for {months}")
-    return reduce(DataFrame.unionByName, frames)
+    return reduce(DataFrame.unionByName, [group.rows() for group in groups]).drop(SOURCE_MONTH)
