@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks import trips
+from checks import lake_queries, trips
 from checks.rounding import DIGITS
 from tripmarts.contracts import contract_for
 from tripmarts.operators import marts
@@ -18,8 +18,8 @@ from tripmarts.operators.silver import (
     drop_incomplete,
     drop_outliers,
 )
-from tripmarts.plans.grains import edge_grain, profile_grain
-from tripmarts.plans.registry import EDGES, PROFILE, SILVER, SUMMARIES
+from tripmarts.plans.grains import GRAINS, edge_grain, profile_grain
+from tripmarts.plans.registry import SUMMARIES
 from tripmarts.settings import LOCAL_ZONE
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -153,16 +153,15 @@ def _summary(name: str, kind: str = "yellow", direct: bool = False, **params: in
     `direct` builds it from the trips where the stages use a grain.
     """
     summary = SUMMARIES[name]
-    grains = {EDGES: edge_grain, PROFILE: profile_grain}
     params = {**summary.params, **SUMMARY_PARAMS.get(name, {}), **params}
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         source = trips.silver(spark, sf_dir, kind)
         if name == COUNTED:
             source = marts.payment_counts(source)
-        elif summary.source in grains and not direct:
-            source = grains[summary.source](source)
-        elif summary.source not in (SILVER, *grains):
+        elif summary.source in GRAINS and not direct:
+            source = GRAINS[summary.source].build(source)
+        elif summary.source not in GRAINS:
             source = _mart_of(source, summary.source)
         return summary.build(source, **params)
 
@@ -231,4 +230,5 @@ def queries() -> dict[str, Query]:
         "direct_top_revenue_zones": _summary("top_revenue_zones", direct=True),
         "direct_fare_by_distance_bucket": _summary("fare_by_distance_bucket", direct=True),
     }
+    found |= lake_queries.queries()
     return {name: _steady(query, DIGITS.get(name, {})) for name, query in found.items()}

@@ -447,6 +447,78 @@ _BODIES |= {
 }
 
 
+_PLACED = """
+    SELECT pickup_year, pickup_month, CAST(row_number() OVER (
+        PARTITION BY pickup_year, pickup_month ORDER BY {order}) AS INTEGER) AS position, {columns}
+    FROM {mart}"""
+
+_BODIES |= {
+    "lake_ingested_months": "SELECT year, month, count(*) AS trip_count FROM timed GROUP BY ALL",
+    "lake_raw_scan": """
+        SELECT 'yellow_tripdata_' || strftime(pickup, '%Y-%m') AS source_file, count(*) AS trip_count,
+            sum(fare_amount) AS sum_fare_amount, CAST(sum(pu_location_id) AS BIGINT) AS sum_pu_location_id,
+            CAST(0 AS BIGINT) AS with_airport_fee
+        FROM timed GROUP BY 1""",
+    "lake_zone_lookup": "SELECT CAST(location_id AS INTEGER) AS location_id, borough, zone AS zone_name FROM zones",
+    "lake_bronze": """
+        SELECT 'yellow_tripdata_' || strftime(pickup, '%Y-%m') AS source_file, 'yellow' AS _trip_type, year, month,
+            count(*) AS trip_count, count(*) AS with_time, sum(fare_amount) AS sum_fare_amount,
+            sum(passenger_count) AS sum_passenger_count
+        FROM timed GROUP BY 1, year, month""",
+    "lake_audit": """
+        SELECT unnest(['vendor_id', 'pickup_datetime', 'dropoff_datetime', 'passenger_count', 'trip_distance',
+                'rate_code_id', 'store_and_fwd_flag', 'pu_location_id', 'do_location_id', 'payment_type',
+                'fare_amount', 'mta_tax', 'tip_amount', 'total_amount']) AS column_name,
+            files, CAST(0 AS BIGINT) AS nulled, CAST(0 AS BIGINT) AS cut
+        FROM (SELECT count(DISTINCT year * 100 + month) AS files FROM timed)""",
+    "lake_silver": """
+        SELECT pickup_year, pickup_month, pickup_borough, is_airport_trip, count(*) AS trip_count,
+            sum(fare_amount) AS sum_fare_amount, max(pickup_hour) AS last_hour
+        FROM silver GROUP BY ALL""",
+    "lake_silver_of_a_year": """
+        SELECT pickup_year, pickup_month, count(*) AS trip_count FROM silver
+        WHERE pickup_year = (SELECT max(year) - 1 FROM timed) GROUP BY ALL""",
+    "lake_order_by_hour": _PLACED.format(mart="by_hour", order="pickup_hour", columns="pickup_hour, trip_count"),
+    "lake_order_by_date": _PLACED.format(mart="by_date", order="pickup_date", columns="pickup_date, trip_count"),
+    "lake_order_by_borough": _PLACED.format(
+        mart="by_borough", order="trip_count DESC, pickup_borough NULLS FIRST", columns="pickup_borough, trip_count"
+    ),
+    "lake_mart_sizes": " UNION ALL ".join(
+        f"SELECT '{mart}' AS mart, count(*) AS mart_rows, count(DISTINCT pickup_year * 100 + pickup_month) AS months, "
+        f"CAST(sum(trip_count) AS BIGINT) AS trips FROM ({source})"
+        for mart, source in {
+            "trips_by_hour": "by_hour", "trips_by_date": "by_date", "trips_by_borough": "by_borough",
+            "fare_summary": "fares", "trip_duration_summary": _DURATIONS.format(source="silver"),
+        }.items()
+    ),
+    "lake_order_zone_net_flow": f"""
+        SELECT row_number() OVER (ORDER BY net_flow DESC) AS position, net_flow
+        FROM ({_NET_FLOW.replace(", areas", "WITH areas", 1).format(source="silver")})""",
+    "lake_order_hourly_pattern": """
+        SELECT row_number() OVER (ORDER BY is_weekend, pickup_hour) AS position, is_weekend, pickup_hour
+        FROM (SELECT DISTINCT is_weekend, pickup_hour FROM silver)""",
+    "lake_order_monthly_volume": """
+        SELECT row_number() OVER (ORDER BY pickup_year, pickup_month) AS position, pickup_year, pickup_month FROM months""",
+    "lake_tables": " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, count(*) AS table_rows FROM ({source})"
+        for name, source in {
+            "silver": "SELECT * FROM silver", "trips_by_hour": "by_hour", "trips_by_date": "by_date",
+            "trips_by_borough": "by_borough", "fare_summary": "fares",
+            "trip_duration_summary": _DURATIONS.format(source="silver"),
+            "inter_borough_flow_yellow": "SELECT DISTINCT pickup_borough, dropoff_borough FROM silver",
+            "zone_net_flow_yellow": "SELECT DISTINCT pu_location_id, pickup_zone, pickup_borough FROM silver",
+            "monthly_volume_trend_yellow": "months",
+        }.items()
+    ),
+} | {
+    f"stored_{name}": _BODIES[name]
+    for name in (
+        "fare_anomaly_detection", "top_corridors", "tip_percentage_distribution",
+        "distance_distribution_by_borough", "hourly_pattern_by_day_type", "zone_trip_volume",
+    )
+}
+
+
 def _trips_of(name: str) -> str:
     """The common part; other kinds have their own Silver, and one has distances in thousandths."""
     cleaned = _TRIPS[_TRIPS.index("), silver AS (") : _TRIPS.index("), by_hour AS (")]

@@ -57,6 +57,11 @@ direct_trips_by_hour              | avg_fare avg_distance | total_revenue
 direct_trips_by_borough           | avg_fare avg_distance | total_revenue
 direct_top_revenue_zones          | avg_fare avg_tip | total_revenue
 direct_fare_by_distance_bucket    | avg_fare avg_tip avg_total avg_duration_mins |
+stored_top_corridors              | avg_fare avg_distance |
+stored_tip_percentage_distribution | avg_tip_pct |
+stored_distance_distribution_by_borough | avg_distance |
+stored_hourly_pattern_by_day_type | avg_fare avg_distance |
+stored_zone_trip_volume           | | pickup_revenue
 """
 
 

@@ -7,12 +7,16 @@ same path as real files: contract, Bronze, Silver, marts, summaries.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tripmarts.operators.bronze import to_bronze
 from tripmarts.operators.silver import to_silver
 from tripmarts.session import pin_session_zone
-from tripmarts.settings import Refinement
+from tripmarts.settings import MonthRange, Refinement
+from tripmarts.sources.raw import month_path
 from tripmarts.sources.zones import Zones, checked_zones
 
 AIRPORTS = (1, 13, 18)
@@ -112,6 +116,23 @@ def raw_trips(spark: SparkSession, sf_dir: str, kind: str = "yellow") -> DataFra
     return shared.selectExpr(*(f"{sql} AS {name}" for name, sql in RAW_COLUMNS[kind].items()))
 
 
+def store_months(spark: SparkSession, sf_dir: str, raw: str, kind: str = "yellow") -> MonthRange:
+    """A raw file for each month of the trips, below `raw`; the range of months."""
+    rows = raw_trips(spark, sf_dir, kind)
+    start = next(name for name in rows.columns if name.endswith("pickup_datetime"))
+    by_month = rows.withColumn("month", F.date_format(start, "yyyyMM"))
+    by_month.repartition("month").write.partitionBy("month").parquet(f"{raw}/by_month")
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(raw).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path(f"{raw}/{kind}"))
+    found = [str(place.getPath()) for place in files.listStatus(path(f"{raw}/by_month"))]
+    pattern = re.compile(r".*month=(\d{4})(\d\d)$")
+    months = sorted((int(m[1]), int(m[2]), m[0]) for m in map(pattern.match, found) if m)
+    for year, month, place in months:
+        files.rename(path(place), path(month_path(raw, kind, year, month)))
+    return MonthRange(*months[0][:2], *months[-1][:2])
+
+
 def zone_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
     return nation.join(region, nation["n_regionkey"] == region["r_regionkey"]).selectExpr(
