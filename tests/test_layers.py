@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 
 import pytest
-from conftest import GREEN, YELLOW, as_dicts, moment, raw_frame, trip
+from conftest import GREEN, YELLOW, as_dicts, as_set, moment, raw_frame, trip
 from pyspark.sql import functions as F
 
 from tripmarts.contracts import KINDS
@@ -19,7 +19,7 @@ from tripmarts.operators.silver import (
     to_silver,
 )
 from tripmarts.settings import AIRPORT_IDS, LOCAL_ZONE
-from tripmarts.sources.zones import Zones
+from tripmarts.sources.zones import Zones, checked_zones
 
 
 def bronze(spark, rows, kind="yellow"):
@@ -182,6 +182,30 @@ def test_zone_joins_are_broadcast_when_counted_and_correct_when_not(spark, zones
                      (236, "Upper East Side North"), (100, None)}
 
 
+def test_a_large_lookup_is_joined_evenly(spark):
+    """More zones than are broadcast, half of the trips without a location, a third at one."""
+    many = spark.range(20_001).selectExpr("CAST(id AS INT) AS location_id", "concat('b', id % 7) AS borough",
+                                          "concat('z', id) AS zone_name", "'' AS service_zone")
+    assert not checked_zones(many).few
+    rows = spark.range(30_000).selectExpr(
+        "timestamp_seconds(id * 61) AS pickup_datetime", "timestamp_seconds(id * 61 + 600) AS dropoff_datetime",
+        "CAST(CASE WHEN id % 2 = 0 THEN NULL WHEN id % 3 = 0 THEN 17 ELSE id % 30000 END AS INT) AS pu_location_id",
+        "CAST(CASE WHEN id % 2 = 1 THEN NULL ELSE 5 END AS INT) AS do_location_id", "id",
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = add_zones(rows, checked_zones(many))
+        assert "BroadcastHashJoin" not in joined._jdf.queryExecution().executedPlan().toString()
+        sizes = sorted(r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect())
+        found = as_set(joined.select("id", "pickup_zone", "pickup_borough", "dropoff_zone"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert len(sizes) == 4 and sizes[-1] < 2 * sizes[len(sizes) // 2]
+    assert found == as_set(add_zones(rows, Zones(many, few=True)).select("id", "pickup_zone", "pickup_borough", "dropoff_zone"))
+
+
 def test_airport_flag_and_minutes(spark):
     rows = bronze(spark, [
         trip(minutes=10.5),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import math
 import random
 from fractions import Fraction
@@ -13,7 +14,14 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tripmarts.operators import quantiles
-from tripmarts.operators.quantiles import in_order, quantiles_in_order, rollup_with_quantiles
+from tripmarts.operators.quantiles import (
+    in_order,
+    merged_sketches,
+    quantiles_in_order,
+    quantiles_of_sketches,
+    rollup_with_quantiles,
+    sketches,
+)
 from tripmarts.operators.rollup import grain, mean, rollup, total, trips_as
 from tripmarts.sources import kept as kept_rows
 from tripmarts.sources.kept import keeping
@@ -168,11 +176,32 @@ def test_quantiles_of_counted_values(spark):
     assert (nothing["low"], nothing["mid"], nothing["high"]) == (None, None, None)
 
 
-def test_sketch_on_request(spark):
-    frame = random_rows(spark)
-    args = frame, ("h",), (trips_as("n"),), "x", POINTS
-    plan = rollup_with_quantiles(*args, accuracy=1000)._jdf.queryExecution().toString()
-    assert "percentile_approx" in plan and "Window" not in plan
-    assert as_set(rollup_with_quantiles(*args, accuracy=100_000)) == as_set(
-        rollup_with_quantiles(*args)
-    )
+@pytest.mark.parametrize("accuracy", [50, 1000])
+def test_sketches_on_request_are_as_accurate_as_asked(spark, accuracy):
+    pick = random.Random(accuracy)
+    rows = [(k, pick.choice([pick.random(), float(pick.randrange(9)), -pick.random() ** 9 * 1e6])) for k in "ab" for _ in range(9000)]
+    rows += [("c", None), ("a", None), ("b", math.nan), ("d", 4.0)]
+    frame = spark.createDataFrame(rows, "k string, v double").repartition(9)
+    found = rollup_with_quantiles(frame, ("k",), (trips_as("n"), mean("m", "v")), "v", POINTS, accuracy=accuracy).collect()
+    assert {(r.k, r.n) for r in found} == {("a", 9001), ("b", 9001), ("c", 1), ("d", 1)}
+    for row in found:
+        known = sorted(v for k, v in rows if k == row.k and v is not None and not math.isnan(v))
+        for name, share in POINTS.items():
+            if not known:
+                assert row[name] is None
+                continue
+            first, last = bisect.bisect_left(known, row[name]), bisect.bisect_right(known, row[name])
+            assert row[name] in known
+            assert first / len(known) - 1 / accuracy <= float(share) <= last / len(known) + 1 / accuracy
+
+
+def test_sketches_of_months_add_up_and_meet_in_steps(spark):
+    frame = random_rows(spark, 3000).repartition(11).withColumn("month", F.col("h"))
+    measures = trips_as("n"), mean("m", "x")
+    months = sketches(frame, ("k", "month"), "x", 500, measures)
+    merged = quantiles_of_sketches(merged_sketches(months, ("k",)), ("k",), measures, POINTS)
+    whole = rollup_with_quantiles(frame, ("k",), measures, "x", POINTS, accuracy=500)
+    assert as_set(merged) == as_set(whole) == as_set(rollup_with_quantiles(frame, ("k",), measures, "x", POINTS))
+    plan = whole._jdf.queryExecution().toString()
+    assert "kll_merge_agg" in plan.lower()
+    assert "_sub" in plan and "percentile" not in plan

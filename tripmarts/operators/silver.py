@@ -1,7 +1,8 @@
 """Bronze rows to Silver rows: clean, then enrich.
 
-Everything here is a projection, a filter or a join with the small zone dimension, so the
-whole step runs without moving trips between executors.
+Everything here is a projection, a filter or a join with the zone dimension. While that is counted
+as small, the whole step runs without moving trips between executors; beyond, trips are
+shuffled with salted locations.
 """
 
 from __future__ import annotations
@@ -18,6 +19,10 @@ from tripmarts.settings import Quality, Refinement
 from tripmarts.sources.zones import Zones
 
 PICKUP, DROPOFF = "pickup_datetime", "dropoff_datetime"
+# Tasks that share the trips of one location, if the lookup is too large to broadcast.
+SALTS = 16
+LOOSE_SALTS = 1 << 16
+SALT = "_salt"
 
 
 def _present(trips: DataFrame, name: str) -> Column:
@@ -71,10 +76,28 @@ def add_zones(trips: DataFrame, zones: Zones) -> DataFrame:
             F.col("borough").alias(f"{role}_borough"),
             F.col("zone_name").alias(f"{role}_zone"),
         )
-        trips = trips.join(zones.for_join(named), key, "left")
+        if zones.few:
+            trips = trips.join(F.broadcast(named), key, "left")
+        else:
+            trips = _salted_join(trips, named, key)
     return trips
 
 
+def _salted_join(trips: DataFrame, named: DataFrame, key: str) -> DataFrame:
+    """A left join by shuffle in which no location is hot.
+
+    Every row of the lookup stands under each salt, a trip under one, drawn from its times; so the
+    trips of one location go to as many tasks as there are salts. Trips without a location match
+    nothing, so theirs is drawn from far more numbers and they spread over all tasks.
+    """
+    drawn = F.xxhash64(PICKUP, DROPOFF, key)
+    salt = F.pmod(drawn, F.when(F.col(key).isNull(), LOOSE_SALTS).otherwise(SALTS))
+    salted = named.filter(F.col(key).isNotNull()).withColumn(
+        SALT, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
+    )
+    return trips.withColumn(SALT, salt).join(salted, [key, SALT], "left").drop(SALT)
+
+
 def add_trip_facts(trips: DataFrame, airport_ids: tuple[int, ...]) -> DataFrame:
     """Duration in minutes, and whether either end is an airport."""
     if "pu_location_id" in trips.columns:

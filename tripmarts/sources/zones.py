@@ -18,11 +18,6 @@ class Zones:
     rows: DataFrame
     few: bool = False
 
-    def for_join(self, rows: DataFrame) -> DataFrame:
-        """Hint only a counted dimension; otherwise Spark decides from its own estimate, and
-        beyond that joins by shuffle, where adaptive execution splits a hot location."""
-        return F.broadcast(rows) if self.few else rows
-
 
 def load_zone_lookup(spark: SparkSession, path: str) -> Zones:
     """Read the lookup file, refusing ids that occur twice: they would multiply trips."""
