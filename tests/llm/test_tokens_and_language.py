@@ -86,27 +86,60 @@ def test_language_on_held_out_documents(spark):
         assert found[doc_id].lang_pred == lang and 0 <= found[doc_id].score <= 1
 
 
-def test_scores_are_naive_bayes(spark):
-    model = langid.fit(frame(spark, languages()), langid.Grams(2, 256), 0.5)
-    text = "lasa krz"
-    counts = np.zeros(256)
-    for part in model.grams.hashed(text):
-        np.add.at(counts, part, 1)
-    assert counts.sum() == len(text) + 2 + len(text) + 1
-    scores = model.matrix @ counts
-    lang, score = model.predict([text])
-    assert lang[0] == model.languages[int(np.argmax(scores))]
-    assert score[0] == pytest.approx(1 / np.exp(scores - scores.max()).sum())
-    assert np.exp(model.matrix).sum(axis=1) == pytest.approx([1, 1, 1])
+def slow_grams(text, longest, buckets):
+    """The buckets of all n-grams, on whole numbers of 64 bits."""
+    def wrapped(x):
+        return x & (2**64 - 1)
+
+    text = " " + " ".join(text.lower().split()) + " "
+    for at in range(len(text)):
+        mixed = 0
+        for n, letter in enumerate(text[at : at + longest]):
+            mixed = wrapped((mixed + ord(letter)) * langid.MULTIPLIERS[n % 3])
+            mixed ^= mixed >> 29
+            yield wrapped(mixed * langid.MULTIPLIERS[0]) >> (65 - buckets.bit_length())
+
+
+@pytest.mark.parametrize("longest, buckets", [(2, 256), (3, 1 << 14)])
+def test_fit_and_scores_are_naive_bayes(spark, monkeypatch, longest, buckets):
+    """Counts, probabilities and posteriors once more, on lists, from the texts alone."""
+    monkeypatch.setattr(langid, "CHARACTERS_AT_A_TIME", 50)
+    monkeypatch.setattr(langid, "ROWS_AT_A_TIME", 3)
+    rows = languages() + [(500, None, "aa", "s", 0), (501, "la le", None, "s", 0), (502, "", "bb", "s", 0)]
+    model = langid.fit(frame(spark, rows).repartition(5), langid.Grams(longest, buckets), 0.5)
+    counts = {lang: [0.5] * buckets for lang in ("aa", "bb", "cc")}
+    for _, text, lang, *_ in rows:
+        for bucket in slow_grams(text, longest, buckets) if text is not None and lang is not None else []:
+            counts[lang][bucket] += 1
+    assert model.languages == sorted(counts)
+    logs = {lang: [math.log(x / sum(c)) for x in c] for lang, c in counts.items()}
+    texts = [t for _, t, *_ in rows[:20]] + ["lasa krz", "ñi", "", None, "12", "LA  le\n" * 40, "gru ñu"]
+    for text, lang, score in zip(texts, *model.predict(texts)):
+        if not text or not any(c.isalpha() for c in text):
+            assert (lang, score) == ("und", 0.0)
+            continue
+        totals = {own: sum(logs[own][b] for b in slow_grams(text, longest, buckets)) for own in logs}
+        best = max(sorted(totals), key=totals.get)
+        assert lang == best
+        assert score == pytest.approx(1 / sum(math.exp(x - totals[best]) for x in totals.values()))
 
 
 def test_grams_do_not_depend_on_where_a_text_is_cut(monkeypatch):
     text = prose(random.Random(2), 20)
     whole = langid.Grams().counts(text)
+    assert whole.sum() == sum(len(" ".join(text.split())) + 3 - n for n in (1, 2, 3))
     monkeypatch.setattr(langid, "CHARACTERS_AT_A_TIME", 37)
     assert (langid.Grams().counts(text) == whole).all()
 
 
+def test_language_of_odd_tables(spark):
+    model = langid.fit(frame(spark, languages()))
+    wide = frame(spark, [(1, "la le lo", "krz", 1, True, 0.5)], "doc_id long, text string, lang_pred string, score int, held_out boolean, counts double")
+    assert [tuple(r)[:3] for r in langid.predict(wide, model).collect()] == [(1, True, "aa")]
+    long = "la le lo " * 300_000
+    assert model.predict([long, "krz"])[0] == ["aa", "bb"]
+
+
 def test_undetermined_and_nothing_learned(spark):
     rows = documents() + [(800, "123 !? \n", "en", "s", 0)]
     docs = frame(spark, rows).withColumn("held_out", langid.fold(3, 1))
