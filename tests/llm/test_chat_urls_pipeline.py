@@ -15,6 +15,8 @@ from test_repeats import slow
 from test_quality_and_mixing import targets
 
 import corpus_pipeline
+from pyspark.sql import functions as F
+
 from tripmarts.llm import bpe, chat, mixing, quality, urllists
 
 TURNS = f"conv_id long, turn long, role string, parts array<{chat.PART}>, formatted string"
@@ -118,6 +120,23 @@ def test_captures_are_judged_as_of_their_fetch(spark):
     assert urllists.judge(frame(spark, captures, "url string, fetched date, host int"), nothing).filter("blocked").count() == 0
 
 
+def test_long_urls_ask_only_for_what_the_list_can_hold(spark):
+    deep = "http://x.net/" + "/".join(f"s{i}" for i in range(20_000))
+    wide = "http://" + ".".join(["a"] * 3_000) + ".x.org/p"
+    entries = [
+        ("a", "x.net/" + "/".join(f"s{i}" for i in range(7)), False, date(2024, 1, 1), True), ("b", "x.org", False, date(2024, 1, 1), True),
+        ("c", "x.net/s0/s2", False, date(2024, 1, 1), True), ("d", "[::1]", False, date(2024, 1, 1), True),
+    ]
+    captures = [(deep, date(2024, 1, 2)), (wide, date(2024, 1, 2)), ("http://[::1]:80/a", date(2024, 1, 2))]
+    captures = [(*c, "u", "p", "s") for c in captures]
+    names = "url string, fetched date, __url string, asked string, sizes string"
+    found = urllists.judge(frame(spark, captures, names), urllists.validity_intervals(frame(spark, entries, CHANGES))).collect()
+    assert sorted((r.list, r.n_active, r["__url"], r.asked, r.sizes) for r in found) == [(x, 1, "u", "p", "s") for x in "abd"]
+    sizes = F.struct(F.array(F.lit(2)).alias("labels"), F.array(F.lit(7), F.lit(2)).alias("steps"))
+    asked = frame(spark, captures, names).select(urllists.patterns_of(F.col("url"), sizes).alias("p")).collect()
+    assert max(sum(map(len, r.p)) for r in asked) < 100
+
+
 def test_tied_turns_go_by_role_and_text(spark):
     rows = [(1, 0, "user", "ab"), (1, 0, "user", "ab "), (1, 0, "user", "a<s>"), (1, 0, "user", "a<"), (1, 0, None, "z"), (1, 0, "", "y"), (1, None, "x", "w")]
     turns = frame(spark, [(c, n, r, [("text", t, None, None)]) for c, n, r, t in rows], f"conv_id long, turn long, role string, parts array<{chat.PART}>")

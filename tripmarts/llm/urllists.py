@@ -12,9 +12,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tripmarts.llm.common import table
+from tripmarts.llm.common import let, table
 
-HOST = r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]+)"
+HOST = r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?(\[[^\]/?#]*\]|[^/?#:]+)"
 PATH = r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)"
 
 
@@ -24,17 +24,44 @@ def host_of(url: Column) -> Column:
     return F.when(host != "", host)
 
 
-def patterns_of(url: Column) -> Column:
-    """All patterns that match a URL: its host, the domains above it, its host with path prefixes."""
+def patterns_of(url: Column, sizes: Column) -> Column:
+    """The patterns that match a URL and that a list may hold: its host, the domains above it, its host with path prefixes.
+
+    `sizes` has the numbers of labels and of path segments that occur in the list (`labels`, `steps`), so a URL of
+    very many segments makes no more patterns than the list has sizes.
+    """
     host = host_of(url)
-    labels = F.split(host, r"\.")
-    domains = F.transform(
-        F.sequence(F.lit(1), F.size(labels)),
-        lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."),
+    return let(
+        F.struct(
+            F.split(host, r"\.").alias("labels"),
+            F.filter(F.split(F.regexp_extract(url, PATH, 1), "/"), lambda x: x != "").alias("steps"),
+        ),
+        lambda u: F.when(
+            host.isNotNull(),
+            F.array_distinct(
+                F.concat(
+                    F.transform(
+                        F.filter(sizes["labels"], lambda n: n <= F.size(u["labels"])),
+                        lambda n: F.array_join(F.slice(u["labels"], F.size(u["labels"]) - n + 1, n), "."),
+                    ),
+                    F.transform(
+                        F.filter(sizes["steps"], lambda n: n <= F.size(u["steps"])),
+                        lambda n: F.concat(host, F.lit("/"), F.array_join(F.slice(u["steps"], 1, n), "/")),
+                    ),
+                )
+            ),
+        ),
     )
-    steps = F.filter(F.split(F.regexp_extract(url, PATH, 1), "/"), lambda x: x != "")
-    prefixes = F.transform(steps, lambda _, i: F.concat(host, F.lit("/"), F.array_join(F.slice(steps, 1, i + 1), "/")))
-    return F.when(host.isNotNull(), F.array_distinct(F.concat(domains, prefixes)))
+
+
+def sizes_in(intervals: DataFrame) -> Column:
+    """The numbers of labels of listed hosts and domains, and of segments of listed paths, as one scalar."""
+    path = F.contains("pattern", F.lit("/"))
+    labels = F.when(~path, F.size(F.split("pattern", r"\.")))
+    steps = F.when(path, F.size(F.split("pattern", "/")) - 1)
+    return intervals.agg(F.collect_set(labels).alias("labels"), F.collect_set(steps).alias("steps")).select(
+        F.struct("labels", "steps").alias("sizes")
+    ).scalar()
 
 
 def validity_intervals(changes: DataFrame) -> DataFrame:
@@ -64,13 +91,16 @@ def judge(captures: DataFrame, intervals: DataFrame) -> DataFrame:
 
     n_active counts the entries active at the fetch that match; list and pattern are those of the
     deciding one, null if there is none. Captures without a host or a time match nothing and are not
-    blocked. Repeated rows stay apart. A column of `captures` with an added name is replaced.
+    blocked. Repeated rows stay apart. A column of `captures` with an added name is replaced; others keep their
+    values, whatever their names. A URL of any length asks only for patterns of sizes that the list has.
     """
     added = ("host", "n_active", "blocked", "list", "pattern")
-    captures = captures.select(*[F.col(f"`{c}`") for c in captures.columns if c not in added])
+    rest = [c for c in captures.columns if c not in added]
+    captures = captures.select("url", "fetched", F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row"))
     distinct = captures.select("url", "fetched").filter("url IS NOT NULL AND fetched IS NOT NULL").distinct()
-    asked = distinct.withColumn("__asked", F.explode(patterns_of(F.col("url"))))
-    active = (F.col("__asked") == F.col("pattern")) & (F.col("fetched") >= F.col("valid_from")) & (
+    sized = distinct.withColumn("sizes", sizes_in(intervals))
+    asked = sized.select("url", "fetched", F.explode(patterns_of(F.col("url"), F.col("sizes"))).alias("asked"))
+    active = (F.col("asked") == F.col("pattern")) & (F.col("fetched") >= F.col("valid_from")) & (
         F.col("valid_until").isNull() | (F.col("fetched") < F.col("valid_until"))
     )
     # Greater is stronger: longer pattern, then allowing; list and pattern settle what is left.
@@ -78,21 +108,15 @@ def judge(captures: DataFrame, intervals: DataFrame) -> DataFrame:
     verdicts = (
         asked.join(intervals, active)
         .groupBy("url", "fetched")
-        .agg(F.count("*").alias("n_active"), F.max(strength).alias("__best"))
-        .select(
-            F.col("url").alias("__url"), F.col("fetched").alias("__fetched"), "n_active",
-            (~F.col("__best.allows")).alias("blocked"), F.col("__best.list").alias("list"),
-            F.col("__best.pattern").alias("pattern"),
-        )
+        .agg(F.count("*").alias("n_active"), F.max(strength).alias("best"))
+        .select(F.col("url").alias("of_url"), F.col("fetched").alias("of_fetched"), "n_active", "best")
+    )
+    judged = captures.join(verdicts, (F.col("url") == F.col("of_url")) & (F.col("fetched") == F.col("of_fetched")), "left")
+    return judged.select(
+        *[F.col("row")[c].alias(c) for c in rest], host_of(F.col("url")).alias("host"),
+        F.coalesce("n_active", F.lit(0)).alias("n_active"), F.coalesce(~F.col("best.allows"), F.lit(False)).alias("blocked"),
+        F.col("best.list").alias("list"), F.col("best.pattern").alias("pattern"),
     )
-    judged = captures.join(
-        verdicts, (F.col("url") == F.col("__url")) & (F.col("fetched") == F.col("__fetched")), "left"
-    ).drop("__url", "__fetched")
-    return judged.withColumns({
-        "host": host_of(F.col("url")),
-        "n_active": F.coalesce("n_active", F.lit(0)),
-        "blocked": F.coalesce("blocked", F.lit(False)),
-    })
 
 
 def number(text: Column, first: int, digits: int) -> Column:
@@ -153,7 +177,7 @@ OP2_SQL = r"""
 WITH p AS (
     SELECT page_id, url,
            DATE '2024-01-01' + CAST(('0x' || substr(md5(coalesce(CAST(page_id AS VARCHAR), '')), 1, 4))::INTEGER % 366 AS INTEGER) AS fetched,
-           nullif(regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)), '\.$', ''), '') AS host,
+           nullif(regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?(\[[^\]/?#]*\]|[^/?#:]+)', 1)), '\.$', ''), '') AS host,
            list_filter(string_split(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)', 1), '/'), lambda x: x <> '') AS steps,
            regexp_extract(url, '^[^:]+://[^/?#]*/([^/?#]+)', 1) AS first
     FROM pages
