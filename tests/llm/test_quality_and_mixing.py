@@ -216,6 +216,9 @@ def test_mixing_reruns_agree_and_handles_nothing(spark):
     clash = frame(spark, [(1, "a b", "s", 9.0, "t")], "doc_id long, text string, source string, target double, copies string")
     row = mixing.curriculum_plan(mixing.with_size(clash)).first()
     assert row.target == 3.0 and row.source_size == 2
+    names = "doc_id long, __ticket string, size long, __bucket int, source string, row int, number int, __in int"
+    row = mixing.curriculum_plan(frame(spark, [(1, "t", 2, 3, "s", 4, 5, 6)], names)).first()
+    assert tuple(row)[:8] == (1, "t", 2, 3, "s", 4, 5, 6) and row.source_size == 2
 
 
 def test_first_words_keep_their_spaces(spark):

@@ -126,15 +126,15 @@ def curriculum_plan(docs: DataFrame, curriculum: Curriculum = Curriculum()) -> D
     pass that takes words of the document, `words` being fewer than its size if it is cut.
     Documents without words are never taken. Order within a source: md5 of the id as text (null:
     empty), then id and size, so reruns agree; equal rows are interchangeable and stay apart. A null source is
-    a source. A column of `docs` with one of the added names is replaced.
+    a source. A column of `docs` with one of the added names is replaced; others keep their values, whatever their names.
     """
     added = ("source_size", "target", "copies")
     kept = [c for c in docs.columns if c not in added]
     ticket = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    docs = docs.select(*[F.col(f"`{c}`") for c in kept]).withColumns({
-        "__ticket": ticket,
-        "__bucket": F.conv(F.substring(ticket, 1, BUCKET_DIGITS), 16, 10).cast("int"),
-    })
+    docs = docs.select(
+        "doc_id", "source", "size", F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), ticket.alias("__ticket"),
+        F.conv(F.substring(ticket, 1, BUCKET_DIGITS), 16, 10).cast("int").alias("__bucket"),
+    )
     sums = docs.groupBy("source", "__bucket").agg(F.sum("size").alias("__words"))
     targets = source_targets(sums.groupBy("source").agg(F.sum("__words").alias("source_size")), curriculum)
     earlier = Window.partitionBy("source").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -165,7 +165,7 @@ def curriculum_plan(docs: DataFrame, curriculum: Curriculum = Curriculum()) -> D
 
     return placed.withColumn(
         "copies", F.array_compact(F.array(*[copy(i) for i in range(curriculum.most_passes)]))
-    ).select(*kept, *added)
+    ).select(*[F.col("row")[c].alias(c) for c in kept], *added)
 
 
 def in_training_order(plan: DataFrame) -> DataFrame:
