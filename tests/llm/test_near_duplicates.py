@@ -92,7 +92,7 @@ def test_links_connect_what_brute_force_connects(spark, block):
     assert component_of(fps, lambda a, b: frozenset((a, b)) in pairs) == expected
 
 
-def test_simhash_of_documents_and_the_kept_one(spark):
+def test_simhash_of_documents(spark):
     rows = documents()
     found = plain(simhash.near_duplicates(frame(spark, rows)))
     ids = [r[0] for r in rows]
@@ -105,9 +105,6 @@ def test_simhash_of_documents_and_the_kept_one(spark):
     signed = [f - 2**64 if f >> 63 else f for f in fps]
     expected = sorted(((ids[i], signed[i], least.get(group[i])) for i in range(len(rows))), key=repr)
     assert found == expected
-    kept = simhash.keep_one(frame(spark, rows)).collect()
-    assert sorted(r.doc_id for r in kept if r.doc_id is not None) == sorted(set(least.values()))
-    assert sum(r.doc_id is None for r in kept) == 2 and kept[0].__fields__ == ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def odd_ids():
@@ -143,7 +140,17 @@ def test_simhash_of_nothing_and_clashing_columns(spark):
     assert simhash.near_duplicates(frame(spark, [])).count() == 0
     clash = frame(spark, [(1, "a", 5, 6), (2, "a", 7, 8)], "doc_id long, text string, fp long, component_id long")
     assert [r[2] for r in plain(simhash.near_duplicates(clash))] == [1, 1]
-    assert [tuple(r) for r in simhash.keep_one(clash).collect()] == [(1, "a", 5, 6)]
+    assert [tuple(r) for r in simhash.keep_one_row(clash).collect()] == [(1, "a", 5, 6)]
+    names = "doc_id long, __root int, text string, __row int, own string, place int, digest int, rest int"
+    assert [tuple(r) for r in simhash.keep_one_row(frame(spark, [(2, 1, "b", 2, "o", 3, 4, 5), (3, 1, "b", 2, "o", 3, 4, 5)], names)).collect()] == [(2, 1, "b", 2, "o", 3, 4, 5)]
+
+
+def test_components_of_a_hub_and_a_chain(spark):
+    links = [(0, i) for i in range(1, 400)] + [(i, i + 1) for i in range(1000, 1200)] + [(1100, 5), (2001, 2000), (2000, 2000)]
+    random.Random(3).shuffle(links)
+    roots = {r.node: r.root for r in components.components(spark.createDataFrame(links, "a long, b long").repartition(6)).collect()}
+    expected = {**{i: 0 for i in [*range(1, 400), *range(1000, 1201)]}, 2001: 2000}
+    assert roots == expected
 
 
 def vectors(seed: int = 3, size: int = 16) -> list[tuple]:
