@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import math
 import random
+import time
 import zlib
 
 import numpy as np
@@ -34,6 +35,18 @@ def test_ids_equal_the_library_and_decode_back():
             assert coder.decode(ids) == text.encode()
 
 
+def test_long_runs_of_one_letter_take_few_steps():
+    coder = bpe.Codec(public_tokenizers.path(bpe.VOCABULARY), public_tokenizers.PATTERN)
+    texts = ["a" * 100_000, "ab" * 50_001, "aab" * 30_000, "é" * 40_001]
+    began = time.monotonic()
+    found = coder.encode(texts)
+    assert time.monotonic() - began < 20
+    for text, ids in zip(texts, found):
+        assert coder.decode(ids) == text.encode()
+    for text in ("a" * 3001, "ab" * 1501, "aab" * 1000, "é" * 1501):
+        assert np.frombuffer(coder.encode([text])[0], "<u4").tolist() == REFERENCE.encode_ordinary(text)
+
+
 def test_a_worker_forgets_beyond_its_limit(monkeypatch):
     monkeypatch.setattr(bpe, "WORDS_REMEMBERED", 5)
     coder = bpe.Codec(public_tokenizers.path(bpe.VOCABULARY), public_tokenizers.PATTERN)

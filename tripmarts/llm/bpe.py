@@ -69,9 +69,10 @@ def replay(words: list[bytes], merges: Merges) -> tuple[np.ndarray, np.ndarray]:
 
     `index` has, for each rank, the positions where its pair may stand. Ranks are taken in order and
     applied to all their positions; the pairs that a merge makes with its neighbours are looked up
-    and enter the index, and a lower rank among them is next. Where a rank stands twice in a word and
-    its merges could overlap or make a lower rank possible, they are done one by one from the left,
-    and the rest of such a word waits until that rank is merged. Between words stands a token that no merge has.
+    and enter the index, and a lower rank among them is next. Of pairs that overlap, every second one
+    is merged. Where a rank stands twice in a word and its merges could make a lower rank possible, they are
+    done one by one from the left, and the rest of such a word waits until that rank is merged: the only
+    part that takes a step for each place, not for all. Between words stands a token that no merge has.
     """
     gap = merges.size - 1
     raw = np.frombuffer(b"\0" + b"\0".join(words) + b"\0", np.uint8)
@@ -141,7 +142,12 @@ def replay(words: list[bytes], merges: Merges) -> tuple[np.ndarray, np.ndarray]:
             words_of = owner[places]
             again = np.zeros(len(places), bool)
             again[1:] = words_of[1:] == words_of[:-1]
-            if again.any() and (merges.careful[rank] or (after[places[:-1]] == places[1:]).any()):
+            if again.any() and not merges.careful[rank]:
+                # Pairs of one token with itself overlap in a run; from its left, every second one is merged.
+                first = np.append(True, after[places[:-1]] != places[1:])
+                number = np.arange(len(places))
+                places = places[(number - np.maximum.accumulate(np.where(first, number, 0))) % 2 == 0]
+            elif again.any():
                 again[:-1] |= again[1:]
                 made += merge_singly(places[again], rank)
                 places = places[~again]
