@@ -5,21 +5,27 @@ from __future__ import annotations
 import math
 import os
 import re
+import subprocess
+import sys
 
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
-from checks import catalog, oracle, trips
+from checks import catalog, lake_queries, oracle, trips
+from tripmarts.operators import quantiles
+from tripmarts.plans import fare
 from tripmarts.sources import zones
+from tripmarts.sources.kept import kept as held
 
 SF_DIR = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 QUERIES = catalog.queries()
 ORACLE = oracle.queries()
-# Queries with quantiles: they count values apart from the measures.
+# Queries with quantiles read counts that are kept, and those of the lake read what the stages stored.
 RANKED = re.compile("fare_summary|duration_summary|distance_distribution|anomaly")
+STORED = re.compile("lake_|stored_")
 TYPES = {
     "int": "INTEGER",
     "bigint": "BIGINT",
@@ -80,17 +86,27 @@ def test_plans_stay_in_the_engine(spark, name):
     for unwanted in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin", "RoundRobin"):
         assert unwanted not in plan
     assert "l_shipdate" not in plan and "o_totalprice" not in plan
-    if not RANKED.search(name):
-        assert plan.count("FileScan parquet [l_orderkey") == 1
+    kept = RANKED.search(name) or STORED.match(name)
+    assert plan.count("FileScan parquet [l_orderkey") == (0 if kept else 1)
 
 
-@pytest.mark.parametrize("name", ["gold_fare_summary", "fhvhv_distance_distribution_by_borough"])
-def test_quantiles_scan_the_trips_once_beside_the_measures(spark, name):
-    """The levels share one count of the values, which reads the keys and the value only."""
-    frame = QUERIES[name](spark, SF_DIR)
-    frame.collect()
-    plan = frame._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    assert plan.count("FileScan parquet [l_orderkey") == 2 and "ReusedExchange" in plan
+@pytest.mark.parametrize(
+    "name", ["gold_fare_summary", "fhv_trip_duration_summary", "fhvhv_distance_distribution_by_borough", "fare_anomaly_detection"]
+)
+def test_quantiles_scan_the_trips_once(spark, monkeypatch, name):
+    """Counts, measures, quantiles and flags come from one scan and one range shuffle."""
+    plans = []
+
+    def watched(rows):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0])
+        return held(rows)
+
+    for module in (quantiles, fare):
+        monkeypatch.setattr(module, "kept", watched)
+    rest = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    assert len(plans) == 1
+    assert plans[0].count("FileScan parquet [l_orderkey") == 1 and plans[0].count("rangepartitioning") == 1
+    assert "FileScan parquet [l_orderkey" not in rest and "rangepartitioning" not in rest
 
 
 def test_payment_trend_counts_once(spark):
@@ -98,13 +114,6 @@ def test_payment_trend_counts_once(spark):
     assert plan.count("Exchange hashpartitioning(pickup_year") <= 1 and "Window" not in plan
 
 
-def test_anomalies_share_one_count_of_the_trips(spark):
-    frame = QUERIES["fare_anomaly_detection"](spark, SF_DIR)
-    frame.collect()
-    plan = frame._jdf.queryExecution().executedPlan().toString()
-    assert "ReusedExchange [pickup_year" in plan and "ReusedSubquery" in plan
-
-
 def test_flagship(spark):
     rows = entry_point.entry(spark)
     assert rows.columns == ["pickup_hour", "avg_trips", "avg_fare", "pct_of_daily_total"]
@@ -142,3 +151,26 @@ def test_a_hot_order_gives_the_same_answer(spark, tmp_path, monkeypatch):
         assert len(plain) == len(shuffled)
         for row, other in zip(plain, shuffled):
             assert same(row, other, rel=1e-9), (row, other)
+
+
+def test_a_cluster_without_a_shared_folder_is_refused(spark, monkeypatch):
+    monkeypatch.setattr(lake_queries, "shared_folder", lambda spark: None)
+    assert lake_queries.folder_for(spark)
+    monkeypatch.setattr(type(spark.sparkContext), "master", property(lambda self: "spark://far:7077"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        lake_queries.folder_for(spark)
+
+
+@pytest.mark.parametrize("missing", ["xxhash", "tiktoken", "regex"])
+def test_trip_queries_stand_without_the_libraries_of_the_corpus_part(missing):
+    """In a process of its own, where the library cannot be imported."""
+    words = (
+        f"import sys; sys.modules[{missing!r}] = None\n"
+        "import __spark_entry__ as entry\n"
+        "from checks import catalog\n"
+        "found = set(entry.queries())\n"
+        "assert set(catalog.queries()) <= found and set(entry.oracle_sql()) <= found\n"
+    )
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    done = subprocess.run([sys.executable, "-c", words], cwd=root, capture_output=True, text=True)
+    assert done.returncode == 0, done.stderr
