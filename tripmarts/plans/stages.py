@@ -116,19 +116,24 @@ def transform(
     log.info("silver: %s", kind)
     watch = Observation()
     lake.write_silver(silver.observe(watch, months_seen(*LOCAL_PARTITIONS)), kind, mode, rebalance)
-    if mode == "overwrite":
-        left = {divmod(number, 100) for number in watch.get[SEEN]}
-        lake.drop_months(lake.silver_path(kind), months, left)
+    left = {divmod(number, 100) for number in watch.get[SEEN]}
+
+    def tidy(path: str) -> None:
+        """Months that have no trips any more."""
+        if mode == "overwrite":
+            lake.drop_months(path, months, left)
+
+    tidy(lake.silver_path(kind))
 
     stored = lake.read_silver(kind, months)
     grains = [name for name, grain in GRAINS.items() if grain.supports(kind)]
     log.info("grains: %s", kind)
-    side_by_side(
-        lake.spark, [partial(lake.write_grain, GRAINS[name].build(stored), name, kind) for name in grains]
-    )
-    if mode == "overwrite":
-        for name in grains:
-            lake.drop_months(lake.grain_path(name, kind), months, left)
+
+    def write_grain(name: str) -> None:
+        lake.write_grain(GRAINS[name].build(stored), name, kind)
+        tidy(lake.grain_path(name, kind))
+
+    side_by_side(lake.spark, [partial(write_grain, name) for name in grains])
 
     if not skip_gold:
         counts = {name: lake.read_grain(name, kind, months) for name in grains}
@@ -136,14 +141,12 @@ def transform(
             log.info("gold: %s", kind)
             marts = mart_builders(stored, kind, slots, counts[DURATIONS], counts.get(FARES), accuracy)
 
-            def write(mart: str) -> None:
+            def write_mart(mart: str) -> None:
                 with keeping():
                     lake.write_mart(marts[mart](), mart, kind)
+                tidy(lake.mart_path(mart, kind))
 
-            one_then_others(lake.spark, [partial(write, mart) for mart in marts])
-        if mode == "overwrite":
-            for mart in marts:
-                lake.drop_months(lake.mart_path(mart, kind), months, left)
+            one_then_others(lake.spark, [partial(write_mart, mart) for mart in marts])
 
 
 def analyse(
