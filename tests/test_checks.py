@@ -156,7 +156,7 @@ def test_a_hot_order_gives_the_same_answer(spark, tmp_path, monkeypatch):
 def test_a_cluster_without_a_shared_folder_is_refused(spark, monkeypatch):
     monkeypatch.setattr(lake_queries, "shared_folder", lambda spark: None)
     assert lake_queries.folder_for(spark)
-    monkeypatch.setattr(type(spark.sparkContext), "master", property(lambda self: "spark://far:7077"))
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://far:7077")
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         lake_queries.folder_for(spark)
 
