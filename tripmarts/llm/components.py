@@ -57,9 +57,10 @@ def components(links: DataFrame) -> DataFrame:
 
     The root of a component is its smallest node. Alternates large and small stars, which
     converge in a number of rounds that grows with the logarithm of the nodes; each round joins
-    every link with the smallest neighbour of its end. That is pre-aggregated and stored, so both sides of
-    the join are plain exchanges and adaptive execution can split the links of a node with very many
-    neighbours. Before each round, partitions contract their own links.
+    every link with the smallest neighbour of its end, which is pre-aggregated. The links of one node stream
+    through one task of that join, in bounded memory; before each round partitions contract their own
+    links, which leaves fewer. So a hub of a very large component makes one task long. (Storing the smallest
+    neighbours would let the join be split, at four small writes a round instead of one.)
     """
 
     def contract(frame: DataFrame) -> DataFrame:
@@ -70,20 +71,15 @@ def components(links: DataFrame) -> DataFrame:
 
     def large(frame: DataFrame) -> DataFrame:
         both = frame.union(frame.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        lowest = stored(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("__low")))
+        lowest = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("__low"))
         found = reached(both.filter("b > a"), lowest)
-        linked = stored(found.select(F.col("b").alias("a"), F.col("__low").alias("b")).filter("a <> b"))
-        discard(lowest)
-        return linked
+        return found.select(F.col("b").alias("a"), F.col("__low").alias("b")).filter("a <> b")
 
     def small(frame: DataFrame) -> DataFrame:
         down = frame.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        lowest = stored(down.groupBy("a").agg(F.min("b").alias("__low")))
+        lowest = down.groupBy("a").agg(F.min("b").alias("__low"))
         sideways = reached(down, lowest).select(F.col("b").alias("a"), F.col("__low").alias("b"))
-        linked = stored(contract(sideways.filter("a <> b").union(lowest.select("a", F.col("__low").alias("b")))))
-        discard(lowest)
-        discard(frame)
-        return linked
+        return sideways.filter("a <> b").union(lowest.select("a", F.col("__low").alias("b")))
 
     def state(frame: DataFrame):
         return frame.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
@@ -91,7 +87,7 @@ def components(links: DataFrame) -> DataFrame:
     now = stored(contract(links.filter("a <> b")))
     before = state(now)
     while before[0]:
-        then = small(large(now))
+        then = stored(contract(small(large(now))))
         after = state(then)
         discard(now)
         now = then
