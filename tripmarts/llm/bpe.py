@@ -28,7 +28,7 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 WORDS_REMEMBERED = 300_000
 IDS_REMEMBERED = 4_000_000
 # Characters of text whose new words are merged at a time.
-SLICE = 8 << 20
+SLICE = 4 << 20
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
