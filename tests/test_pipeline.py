@@ -10,13 +10,14 @@ from conftest import ZONE_ROWS, as_set, raw_frame, trip
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from tripmarts import cli
+from tripmarts import cli, session
 from tripmarts.contracts import KINDS, BrokenContract
 from tripmarts.operators import marts
 from tripmarts.plans import stages
 from tripmarts.plans.grains import GRAINS
 from tripmarts.plans.registry import SUMMARIES
 from tripmarts.settings import MonthRange
+from tripmarts.sources import lake as lake_source
 from tripmarts.sources.kept import remove
 from tripmarts.sources.lake import Lake
 from tripmarts.sources.raw import month_path, scan_groups
@@ -443,3 +444,33 @@ def test_command_line_refuses_unknown_words():
     for words in (["fly"], ["ingest", "--trip-type", "tram"], ["run", "--stage", "half"]):
         with pytest.raises(SystemExit):
             cli.build_parser().parse_args(words)
+
+
+def test_layers_are_written_without_sorting_all_rows_of_a_task(scene, monkeypatch):
+    """Bronze and Silver have no order of their own; marts have one, which open files would break."""
+    asked = {}
+
+    def watched(rows, path, *rest, **more):
+        layer = path.removeprefix(scene.lake.root).split("/")[1]
+        asked.setdefault(layer, set()).add(scene.spark.conf.get(session.WRITERS))
+        return original(rows, path, *rest, **more)
+
+    original = lake_source._save
+    monkeypatch.setattr(lake_source, "_save", watched)
+    before = scene.spark.conf.get(session.WRITERS)
+    scene.ingest()
+    scene.transform()
+    many = str(session.OPEN_FILES)
+    assert asked.pop("bronze") == asked.pop("silver") == {many}
+    assert {"gold", "grains"} <= set(asked) and all(found == {before} for found in asked.values())
+    assert scene.spark.conf.get(session.WRITERS) == before != many
+    assert scene.counts() == (129, 126, 126)
+
+
+def test_a_task_with_more_months_than_open_files_loses_no_row(scene, monkeypatch):
+    monkeypatch.setattr(session, "OPEN_FILES", 1)
+    scene.ingest()
+    scene.transform()
+    assert scene.counts() == (129, 126, 126)
+    months = scene.lake.read_bronze("yellow").filter("year <> year(pickup_datetime) OR month <> month(pickup_datetime)")
+    assert months.count() == 0

@@ -18,7 +18,7 @@ from tripmarts.operators.marts import mart_builders, slot_grain
 from tripmarts.operators.silver import to_silver
 from tripmarts.plans.grains import DURATIONS, FARES, GRAINS
 from tripmarts.plans.registry import MARTS, SUMMARIES, Summary
-from tripmarts.session import pin_session_zone
+from tripmarts.session import files_side_by_side, pin_session_zone
 from tripmarts.settings import MonthRange, Refinement
 from tripmarts.sources.kept import held, keeping, kept
 from tripmarts.sources.lake import LOCAL_PARTITIONS, Lake
@@ -78,7 +78,8 @@ def ingest(
     def count(group: MonthGroup) -> None:
         altered.update(group.altered())
 
-    side_by_side(lake.spark, [partial(job, group) for group in groups for job in (write, count)])
+    with files_side_by_side(lake.spark):
+        side_by_side(lake.spark, [partial(job, group) for group in groups for job in (write, count)])
     for month in sorted(altered):
         lost = {name: counts for name, counts in altered[month].items() if any(counts)}
         if lost:
@@ -115,7 +116,8 @@ def transform(
         silver = silver.filter(months.covers(*LOCAL_PARTITIONS))
     log.info("silver: %s", kind)
     watch = Observation()
-    lake.write_silver(silver.observe(watch, months_seen(*LOCAL_PARTITIONS)), kind, mode, rebalance)
+    with files_side_by_side(lake.spark):
+        lake.write_silver(silver.observe(watch, months_seen(*LOCAL_PARTITIONS)), kind, mode, rebalance)
     left = {divmod(number, 100) for number in watch.get[SEEN]}
 
     def tidy(path: str) -> None:
