@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tripmarts.operators.bronze import to_bronze
 from tripmarts.operators.silver import to_silver
-from tripmarts.session import pin_session_zone
+from tripmarts.session import files_side_by_side, pin_session_zone
 from tripmarts.settings import MonthRange, Refinement
 from tripmarts.sources.raw import month_path
 from tripmarts.sources.zones import Zones, checked_zones
@@ -121,7 +121,9 @@ def store_months(spark: SparkSession, sf_dir: str, raw: str, kind: str = "yellow
     rows = raw_trips(spark, sf_dir, kind)
     start = next(name for name in rows.columns if name.endswith("pickup_datetime"))
     by_month = rows.withColumn("month", F.date_format(start, "yyyyMM"))
-    by_month.repartition("month").write.partitionBy("month").parquet(f"{raw}/by_month")
+    # Large months are split, small ones share a task.
+    with files_side_by_side(spark):
+        by_month.hint("rebalance", "month").write.partitionBy("month").parquet(f"{raw}/by_month")
     path = spark._jvm.org.apache.hadoop.fs.Path
     files = path(raw).getFileSystem(spark._jsc.hadoopConfiguration())
     files.mkdirs(path(f"{raw}/{kind}"))

@@ -18,6 +18,7 @@ from tripmarts.operators import quantiles
 from tripmarts.plans import fare
 from tripmarts.sources import zones
 from tripmarts.sources.kept import kept as held
+from tripmarts.sources.raw import month_path
 
 SF_DIR = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
@@ -174,3 +175,26 @@ def test_trip_queries_stand_without_the_libraries_of_the_corpus_part(missing):
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     done = subprocess.run([sys.executable, "-c", words], cwd=root, capture_output=True, text=True)
     assert done.returncode == 0, done.stderr
+
+
+def test_a_large_month_is_written_by_several_tasks(spark, tmp_path):
+    """All trips in one month and a few in another: none is lost, and the large month is no task of its own."""
+    keys = spark.range(0, 8000, 1, 4)
+    keys.selectExpr(
+        "id AS o_orderkey", "id % 50 AS o_custkey", "'O' AS o_orderstatus", "1D AS o_totalprice",
+        "IF(id < 40, TIMESTAMP_NTZ'1996-05-05', TIMESTAMP_NTZ'1996-03-03') AS o_orderdate", "'1' AS o_orderpriority",
+    ).write.parquet(str(tmp_path / "orders.parquet"))
+    keys.selectExpr(
+        "id AS l_orderkey", "id * 31 AS l_partkey", "id % 13 AS l_suppkey", "1 AS l_linenumber", "2D AS l_quantity",
+        "CAST(id AS DOUBLE) AS l_extendedprice", "0.1D AS l_discount", "0D AS l_tax", "'N' AS l_returnflag",
+    ).write.parquet(str(tmp_path / "lineitem.parquet"))
+    advised = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(advised, "8k")
+    try:
+        months = trips.store_months(spark, str(tmp_path), str(tmp_path / "raw"))
+    finally:
+        spark.conf.unset(advised)
+    assert [*months] == [(1996, 3), (1996, 4), (1996, 5)]
+    large, small = (spark.read.parquet(month_path(str(tmp_path / "raw"), "yellow", 1996, m)) for m in (3, 5))
+    assert (large.count(), small.count()) == (7960, 40)
+    assert len(large.inputFiles()) > 1

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tripmarts.settings import MonthRange
 from tripmarts.sources import zones as zone_source
-from tripmarts.sources.raw import month_path, month_paths, read_trip_data
+from tripmarts.sources.raw import month_path, month_paths, read_trip_data, scan_groups
 from tripmarts.sources.zones import load_zone_lookup
 
 
@@ -97,3 +97,19 @@ def test_repeated_zone_ids_are_refused(spark, tmp_path):
 def test_a_large_dimension_is_not_hinted(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(zone_source, "BROADCAST_ROWS", 3)
     assert not load_zone_lookup(spark, write_lookup(tmp_path / "zones.csv", ZONE_ROWS)).few
+
+
+def test_the_month_is_that_of_the_file_and_not_of_a_folder_above(spark, tmp_path):
+    root = tmp_path / "yellow_tripdata_2020-01.parquet" / "yellow" / "yellow_tripdata_2021-02.parquet"
+    months = MonthRange(2022, 3, 2022, 4)
+    for year, month in months:
+        write_month(raw_frame(spark, "yellow", YELLOW[:month]), root, "yellow", year, month)
+    groups = scan_groups(spark, str(root), "yellow", months)
+    found = [tuple(r) for group in groups for r in group.rows().groupBy("source_month").count().collect()]
+    assert sorted(found) == [(202203, 3), (202204, 4)]
+
+
+def test_the_month_of_a_row_takes_no_regular_expression(spark, tmp_path):
+    write_month(raw_frame(spark, "yellow", YELLOW), tmp_path, "yellow", 2022, 3)
+    (group,) = scan_groups(spark, str(tmp_path), "yellow", MonthRange(2022, 3, 2022, 3))
+    assert "regexp" not in group.rows()._jdf.queryExecution().executedPlan().toString()
