@@ -93,6 +93,13 @@ def raw_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _per_month_file(per_file: DataFrame, *keys: str) -> DataFrame:
+    """Counts and sums per stored file, added up per monthly file that it is a part of, named without its path."""
+    named = F.regexp_extract("_source_file", "([a-z]+_tripdata_[0-9-]+)[.]parquet", 1).alias("source_file")
+    added = [F.sum(name).alias(name) for name in per_file.columns if name not in ("_source_file", *keys)]
+    return per_file.groupBy(named, *keys).agg(*added)
+
+
 def zone_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = load_zone_lookup(spark, built(spark, sf_dir).lookup)
     return found.rows.select("location_id", "borough", "zone_name")
@@ -101,11 +108,12 @@ def zone_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored Bronze per source file and month of the raw clock."""
     rows = built(spark, sf_dir).lake.read_bronze(KIND)
-    source = F.regexp_extract("_source_file", "([a-z]+_tripdata_[0-9-]+)[.]parquet", 1).alias("source_file")
-    return rows.groupBy(source, "_trip_type", "year", "month").agg(
+    keys = "_trip_type", "year", "month"
+    per_file = rows.groupBy("_source_file", *keys).agg(
         F.count("*").alias("trip_count"), F.count("_ingested_at").alias("with_time"),
         F.sum("fare_amount").alias("sum_fare_amount"), F.sum("passenger_count").alias("sum_passenger_count"),
     )
+    return _per_month_file(per_file, *keys)
 
 
 def audit(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -177,6 +177,14 @@ def test_trip_queries_stand_without_the_libraries_of_the_corpus_part(missing):
     assert done.returncode == 0, done.stderr
 
 
+@pytest.mark.parametrize("name", ["lake_bronze"])
+def test_files_are_named_once_and_not_per_row(spark, name):
+    """The rows of a file are added up first; the name is cut out of what is left."""
+    plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    rows = plan.split("Exchange")[-1]
+    assert "FileScan" in rows and "regexp" not in rows and "regexp" in plan
+
+
 def test_a_large_month_is_written_by_several_tasks(spark, tmp_path):
     """All trips in one month and a few in another: none is lost, and the large month is no task of its own."""
     keys = spark.range(0, 8000, 1, 4)
