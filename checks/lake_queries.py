@@ -87,10 +87,11 @@ def raw_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw files as one DataFrame, with the file each row came from."""
     there = built(spark, sf_dir)
     rows = read_trip_data(spark, there.raw, KIND, there.months, skip_missing=True)
-    return rows.groupBy(F.regexp_extract("_source_file", "([a-z]+_tripdata_[0-9-]+)[.]parquet", 1).alias("source_file")).agg(
+    per_file = rows.groupBy("_source_file").agg(
         F.count("*").alias("trip_count"), F.sum("fare_amount").alias("sum_fare_amount"),
         F.sum("PULocationID").alias("sum_pu_location_id"), F.count("airport_fee").alias("with_airport_fee"),
     )
+    return _per_month_file(per_file)
 
 
 def _per_month_file(per_file: DataFrame, *keys: str) -> DataFrame:

@@ -177,7 +177,7 @@ def test_trip_queries_stand_without_the_libraries_of_the_corpus_part(missing):
     assert done.returncode == 0, done.stderr
 
 
-@pytest.mark.parametrize("name", ["lake_bronze"])
+@pytest.mark.parametrize("name", ["lake_raw_scan", "lake_bronze"])
 def test_files_are_named_once_and_not_per_row(spark, name):
     """The rows of a file are added up first; the name is cut out of what is left."""
     plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
