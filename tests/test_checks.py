@@ -182,7 +182,7 @@ def test_files_are_named_once_and_not_per_row(spark, name):
     """The rows of a file are added up first; the name is cut out of what is left."""
     plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     rows = plan.split("Exchange")[-1]
-    assert "FileScan" in rows and "regexp" not in rows and "regexp" in plan
+    assert "FileScan" in rows and "keys=[_source_file#" in rows and "_groupingexpression" not in rows
 
 
 def test_a_large_month_is_written_by_several_tasks(spark, tmp_path):
